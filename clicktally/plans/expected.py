@@ -28,9 +28,9 @@ log AS (
          l_shipdate AS conversion_time, l_shipdate + to_days(l_linenumber) AS redshift_time
   FROM lineitem
 ), tagged AS (
-  SELECT 'C' AS key_type, conversion_time AS at, * FROM log
+  SELECT 'C' AS key_type, conversion_time AS moment, * FROM log
   UNION ALL
-  SELECT 'R' AS key_type, redshift_time AS at, * FROM log
+  SELECT 'R' AS key_type, redshift_time AS moment, * FROM log
 )"""
 
 WINDOW = "BETWEEN TIMESTAMP '1995-06-01 00:00:00' AND TIMESTAMP '2001-06-30 12:00:00'"
@@ -62,7 +62,7 @@ MEASURES = """CAST(sum(received) AS DOUBLE) AS received_revenue,
 CATCH_UP = f"""
 SELECT '2001-06-30 12:00' AS key_dt, key_type, offer_id AS offerid, {MEASURES},
        count(*) AS click_count, {SETS}
-FROM tagged WHERE at {WINDOW}
+FROM tagged WHERE moment {WINDOW}
 GROUP BY key_type, offer_id"""
 
 
@@ -162,9 +162,9 @@ _WHOLE_LINES = "key_type <> 'error'"
 
 EXPECTED: dict[str, str] = {
     "conversion_both_clocks": _from_log(f"""
-SELECT strftime(at, '%Y-%m-%d') || ' 23:59' AS key_dt, key_type, offer_id AS offerid,
+SELECT strftime(moment, '%Y-%m-%d') || ' 23:59' AS key_dt, key_type, offer_id AS offerid,
        {MEASURES}, count(*) AS click_count, {SETS}
-FROM tagged GROUP BY strftime(at, '%Y-%m-%d'), key_type, offer_id"""),
+FROM tagged GROUP BY strftime(moment, '%Y-%m-%d'), key_type, offer_id"""),
     "conversion_catch_up": _from_log(CATCH_UP),
     "conversion_window_c": _window("conversion_time"),
     "conversion_window_r": _window("redshift_time"),

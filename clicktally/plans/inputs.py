@@ -51,8 +51,17 @@ def click_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("ts", "hour", F.when(broken, start).otherwise(whole).alias("value"))
 
 
+_written: dict[tuple[str, str], ClickLayout] = {}
+
+
 def write_click_files(spark: SparkSession, sf_dir: str) -> ClickLayout:
-    """Events as gzip click files, one folder per hour, in the stream of their day."""
+    """Events as gzip click files, one folder per hour, in the stream of their day.
+
+    A session writes them once.
+    """
+    application = spark.conf.get("spark.app.id")
+    if (application, sf_dir) in _written:
+        return _written[application, sf_dir]
     layout = ClickLayout(
         fresh_path(spark, "click-files"),
         odd_day_stream="stream=offer-stream-even",
@@ -74,6 +83,7 @@ def write_click_files(spark: SparkSession, sf_dir: str) -> ClickLayout:
         .option("compression", "gzip")
         .text(layout.root)
     )
+    _written[application, sf_dir] = layout
     return layout
 
 

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from clicktally.functions import minute_key
+from clicktally.functions import as_utc, minute_key
 from clicktally.operators.clicks import (
     click_counts,
     click_rejects,
@@ -39,6 +39,11 @@ def _write_rejects(rejects: DataFrame, path: str | None) -> None:
         rejects.write.mode("overwrite").parquet(path)
 
 
+def _run(as_of: datetime) -> Column:
+    """A run is named by its minute of the day."""
+    return F.lit(as_utc(as_of).strftime("%H%M"))
+
+
 def run_click_statistics(
     spark: SparkSession,
     layout: ClickLayout,
@@ -55,7 +60,7 @@ def run_click_statistics(
     clicks = parse_clicks(lines.observe(seen, F.count("*").alias("lines"))).observe(
         parsed := Observation(), F.count("*").alias("clicks")
     )
-    write_snapshots(click_counts(clicks, as_of), snapshots_path)
+    write_snapshots(click_counts(clicks, as_of), snapshots_path, _run(as_of))
     if seen.get["lines"] != parsed.get["clicks"]:
         _write_rejects(click_rejects(lines), rejects_path)
 
@@ -68,7 +73,8 @@ def run_conversion_statistics(
     since: datetime | None = None,
 ) -> None:
     """Store the snapshot of the day so far on both clocks, in one scan and one write."""
-    write_snapshots(conversion_snapshot(log, as_of, since), snapshots_path)
+    snapshot = conversion_snapshot(log, as_of, since)
+    write_snapshots(snapshot, snapshots_path, _run(as_of))
     _write_rejects(conversion_rejects(log), rejects_path)
 
 

@@ -226,7 +226,7 @@ def _consolidation(
 
 def _stored(rows: DataFrame, contract: TableContract) -> DataFrame:
     path = fresh_path(rows.sparkSession, contract.name)
-    write_snapshots(rows, path)
+    write_snapshots(rows, path, F.lit("history"))
     return read_snapshots(rows.sparkSession, path, contract)
 
 

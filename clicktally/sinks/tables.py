@@ -1,6 +1,6 @@
 """Result tables as Parquet folders.
 
-Snapshots lie in one folder per run and daily rows in one per day. A write replaces the
+Snapshots lie in one folder per day and run, daily rows in one per day. A write replaces the
 folders of its own rows and no others, so a repeated run leaves one copy. Rows are
 rebalanced by folder before a write: a large folder is split over tasks, small ones share one.
 """
@@ -10,14 +10,14 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clicktally.functions import day_key, day_of_key
 from clicktally.schemas import TableContract
 
-RUN_FOLDERS = ("snapshot_day", "snapshot_minute")
+RUN_FOLDERS = ("snapshot_day", "snapshot_run")
 DAY_FOLDER = "key_dt"
 
 
@@ -41,16 +41,10 @@ def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def write_snapshots(rows: DataFrame, path: str) -> None:
-    """Add the snapshots of one or more runs; a run that is there already is replaced."""
-    minute = F.translate(F.substring("key_dt", 12, 5), ":", "")
-    _replace_folders(
-        rows.withColumns(
-            {"snapshot_day": day_of_key(F.col("key_dt")), "snapshot_minute": minute}
-        ),
-        path,
-        RUN_FOLDERS,
-    )
+def write_snapshots(rows: DataFrame, path: str, run: Column) -> None:
+    """Add the snapshots of a run; in the days written, a run of the same name is replaced."""
+    folders = {"snapshot_day": day_of_key(F.col("key_dt")), "snapshot_run": run}
+    _replace_folders(rows.withColumns(folders), path, RUN_FOLDERS)
 
 
 def read_snapshots(

@@ -1,15 +1,15 @@
 """Click counts kept up to date from a stream of click files.
 
-Every file is read once. A micro-batch stores partial counts in one folder per hour and
+Every file is read once. A micro-batch stores partial counts in one folder per day and
 batch, and then makes the snapshots of the hours it touched from all partial counts of
-those hours. The counts so far therefore live in a table that is pruned by hour, not in
-a state store that would have to forget late hours, and a late file is counted in its own hour.
-Both writes replace their own folders, so a repeated micro-batch changes nothing.
+those hours. The counts so far therefore live in a table that is pruned by day and hour, not
+in a state store that would have to forget late hours, and a late file is counted in its own
+hour. Both writes replace their own folders, so a repeated micro-batch changes nothing.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -24,11 +24,15 @@ from clicktally.sinks import write_snapshots
 from clicktally.sources import ClickLayout
 
 PARTIALS_SCHEMA = (
-    "offer_id string, offer_advertiser_id string, clicks long, lowest_type string,"
-    " lowest_subid string, folder_hour string, batch long"
+    "hour string, offer_id string, offer_advertiser_id string, clicks long,"
+    " lowest_type string, lowest_subid string, day string, batch long"
 )
 
 
+def _day(hour: Column) -> Column:
+    return F.translate(F.substring(hour, 1, 10), "/", "-")
+
+
 def click_line_stream(
     spark: SparkSession, layout: ClickLayout, files_per_batch: int
 ) -> DataFrame:
@@ -62,37 +66,25 @@ def run_click_stream(
 
     def store(lines: DataFrame, batch: int) -> None:
         session = lines.sparkSession
-        counts = partial_counts(parse_clicks(lines), "hour").select(
-            "offer_id",
-            "offer_advertiser_id",
-            "clicks",
-            "lowest_type",
-            "lowest_subid",
-            F.translate("hour", "/", "-").alias("folder_hour"),
-            F.lit(batch).cast("long").alias("batch"),
-        )
+        counts = partial_counts(parse_clicks(lines), "hour")
         (
-            counts.hint("rebalance", "folder_hour")
+            counts.withColumns({"day": _day(F.col("hour")), "batch": F.lit(batch)})
+            .hint("rebalance", "day")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("folder_hour", "batch")
+            .partitionBy("day", "batch")
             .parquet(partials_path)
         )
         partials = session.read.schema(PARTIALS_SCHEMA).parquet(partials_path)
         # At most one hour per file of the batch.
-        touched = [
-            row.folder_hour
-            for row in partials.filter(F.col("batch") == batch)
-            .select("folder_hour")
-            .distinct()
-            .collect()
-        ]
-        hour = F.translate("folder_hour", "-", "/")
-        of_hours = partials.filter(F.col("folder_hour").isin(touched)).withColumn("hour", hour)
-        write_snapshots(
-            as_click_snapshot(merge_counts(of_hours, "hour"), hour_end_key(F.col("hour"))),
-            snapshots_path,
+        new = partials.filter(F.col("batch") == batch).select("day", "hour").distinct()
+        touched = new.collect()
+        hours = partials.filter(F.col("day").isin(list({row.day for row in touched}))).filter(
+            F.col("hour").isin([row.hour for row in touched])
         )
+        snapshot = as_click_snapshot(merge_counts(hours, "hour"), hour_end_key(F.col("hour")))
+        run = F.substring("key_dt", 12, 2)
+        write_snapshots(snapshot, snapshots_path, run)
 
     return (
         click_line_stream(spark, layout, files_per_batch)

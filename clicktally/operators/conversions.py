@@ -6,6 +6,8 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +32,11 @@ def in_window(
     return F.col(clock).between(time_literal(start, kind), time_literal(as_of, kind))
 
 
+def in_either_window(log: DataFrame, as_of: datetime, since: datetime | None = None) -> Column:
+    """Whether a conversion happened or was loaded in the window; can be pushed to a scan."""
+    return reduce(or_, (in_window(log, clock, as_of, since) for clock in CLOCKS.values()))
+
+
 def conversions_in_window(
     log: DataFrame, clock: str, as_of: datetime, since: datetime | None = None
 ) -> DataFrame:
@@ -135,8 +142,7 @@ def conversion_snapshot(
     The window is tested twice: on the log, where it can be pushed to the scan, and per
     clock. ``since`` opens the window earlier than the start of the day.
     """
-    windows = [in_window(log, clock, as_of, since) for clock in CLOCKS.values()]
-    tagged = on_both_clocks(log.filter(windows[0] | windows[1]))
+    tagged = on_both_clocks(log.filter(in_either_window(log, as_of, since)))
     rows = tagged.filter(in_window(tagged, "at", as_of, since))
     return as_conversion_snapshot(
         offer_statistics(rows, "key_type"), F.lit(minute_key(as_of))

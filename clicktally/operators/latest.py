@@ -32,12 +32,12 @@ def snapshot_rejects(snapshots: DataFrame, offer: str) -> DataFrame:
 def _latest(snapshots: DataFrame, by: list[str], columns: list[str]) -> DataFrame:
     """Per day and ``by``, the row with the latest key; the tie goes to the greatest others.
 
-    The largest struct of all columns is that row, so equal input gives equal output however
-    it is partitioned, and a partial aggregation leaves one row per group and task before the
-    shuffle.
+    The largest struct of all columns is that row, since minute keys sort as text like the
+    times they name. Equal input gives equal output however it is partitioned, and a partial
+    aggregation leaves one row per group and task before the shuffle.
     """
     kept = [name for name in columns if name not in ("key_dt", *by)]
-    row = F.struct(parsed_key(F.col("key_dt")).alias("at"), *kept)
+    row = F.struct(F.col("key_dt").alias("minute"), *kept)
     return (
         snapshots.filter(_reject_reason(by[-1]).isNull())
         .groupBy(day_of_key(F.col("key_dt")).alias("key_dt"), *by)

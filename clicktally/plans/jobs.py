@@ -14,7 +14,11 @@ from clicktally.operators.clicks import (
     parse_clicks,
     search_clicks,
 )
-from clicktally.operators.conversions import conversion_rejects, conversion_snapshot
+from clicktally.operators.conversions import (
+    conversion_rejects,
+    conversion_snapshot,
+    in_either_window,
+)
 from clicktally.operators.latest import (
     latest_clicks,
     latest_conversions,
@@ -75,7 +79,8 @@ def run_conversion_statistics(
     """Store the snapshot of the day so far on both clocks, in one scan and one write."""
     snapshot = conversion_snapshot(log, as_of, since)
     write_snapshots(snapshot, snapshots_path, _run(as_of))
-    _write_rejects(conversion_rejects(log), rejects_path)
+    seen = log.filter(in_either_window(log, as_of, since))
+    _write_rejects(conversion_rejects(seen), rejects_path)
 
 
 def _consolidate(

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from clicktally.operators.checks import require_contract
 from clicktally.schemas import TableContract
+from clicktally.session import fresh_path
 
 
 def _as_stored(rows: DataFrame, contract: TableContract) -> DataFrame:
@@ -31,9 +32,14 @@ def append_rows(
 ) -> None:
     """Append to a table by JDBC, after checking key and widths.
 
-    Tasks commit on their own, so a failed append can leave some rows behind: give a
-    staging table as ``contract.name`` where that matters.
+    The rows are stored first, so that they are computed once. Tasks commit on their own, so a
+    failed append can leave some rows behind: give a staging table as ``contract.name`` where
+    that matters.
     """
+    spark = rows.sparkSession
+    stored = fresh_path(spark, contract.name)
+    rows.select(*contract.columns).write.parquet(stored)
+    rows = spark.read.schema(contract.schema).parquet(stored)
     require_contract(rows, contract)
     _as_stored(rows, contract).write.jdbc(
         url, contract.name, mode="append", properties=properties

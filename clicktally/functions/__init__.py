@@ -1,5 +1,4 @@
 from clicktally.functions.timekeys import (
-    DAY_FORMAT,
     MINUTE_FORMAT,
     as_utc,
     day_key,
@@ -11,7 +10,6 @@ from clicktally.functions.timekeys import (
 )
 
 __all__ = [
-    "DAY_FORMAT",
     "MINUTE_FORMAT",
     "as_utc",
     "day_key",

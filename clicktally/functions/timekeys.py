@@ -12,8 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Fixed formats of the text keys.
-DAY_FORMAT = "yyyy-MM-dd"
+# Fixed format of the text keys.
 MINUTE_FORMAT = "yyyy-MM-dd HH:mm"
 
 

@@ -12,7 +12,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clicktally.functions import DAY_FORMAT, as_utc, day_start, minute_key, time_literal
+from clicktally.functions import as_utc, day_start, minute_key, time_literal
 from clicktally.schemas import CONVERSION_SNAPSHOT
 
 # Types of the two clocks and the separator of joined sets.
@@ -153,5 +153,5 @@ def conversion_snapshots_by_day(log: DataFrame) -> DataFrame:
     """The snapshots that runs in the last minute of every day would give, in one pass."""
     rows = on_both_clocks(log).filter(F.col("at").isNotNull())
     per_day = offer_statistics(rows.withColumn("day", F.to_date("at")), "day", "key_type")
-    last_minute = F.concat(F.date_format("day", DAY_FORMAT), F.lit(" 23:59"))
+    last_minute = F.concat(F.col("day").cast("string"), F.lit(" 23:59"))
     return as_conversion_snapshot(per_day, last_minute)

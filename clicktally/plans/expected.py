@@ -226,7 +226,7 @@ FROM click_snapshots WHERE key_type IN ('error', 'view')""",
     "upsert_conversion_consolidate": UPSERT_CONVERSIONS,
     "consolidate_clicks": UPSERT_CLICKS,
     "consolidate_conversions": UPSERT_CONVERSIONS,
-    "click_snapshot_append": _from_events(_counts()),
+    "click_snapshot_append": _from_events(_counts(_WHOLE_LINES)),
     "conversion_snapshot_append": _from_log(CATCH_UP),
     "key_violations": _from_events(f"""
 SELECT key_dt, key_type, offer_id, count(*) AS rows FROM ({_counts()})

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clicktally.functions import MINUTE_FORMAT
 from clicktally.schemas import CLICK, CLICK_SNAPSHOT, CONVERSION_DAILY
 from clicktally.session import fresh_path
 from clicktally.sources import ClickLayout
@@ -20,6 +19,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _time_text(length: int) -> Column:
+    """The time of an event as text, down to the hour or minute."""
+    return F.substring(F.col("ts").cast("string"), 1, length)
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events under the names of the click columns, with the hour of their folder."""
     return table(spark, sf_dir, "events").select(
@@ -30,7 +34,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("props").alias("destination_subid"),
         "value",
         "user_id",
-        F.date_format("ts", "yyyy/MM/dd/HH").alias("hour"),
+        F.translate(_time_text(13), "- ", "//").alias("hour"),
     )
 
 
@@ -38,7 +42,7 @@ def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events(spark, sf_dir).select("hour", *CLICK.names)
 
 
-def _line(*columns):
+def _line(*columns) -> Column:
     return F.concat_ws("\t", *columns)
 
 
@@ -70,12 +74,12 @@ def write_click_files(spark: SparkSession, sf_dir: str) -> ClickLayout:
     )
     lines = click_lines(spark, sf_dir)
     parts = {
-        name: F.date_format("ts", pattern)
-        for name, pattern in zip(FOLDER_COLUMNS[1:], ("yyyy", "MM", "dd", "HH"))
+        name: F.split_part("hour", F.lit("/"), F.lit(place + 1))
+        for place, name in enumerate(FOLDER_COLUMNS[1:])
     }
     (
         lines.withColumns(
-            {"stream": F.substring_index(layout.stream_of(F.col("ts")), "=", -1), **parts}
+            {**parts, "stream": F.substring_index(layout.stream_of(F.col("ts")), "=", -1)}
         )
         .select("value", *FOLDER_COLUMNS)
         .hint("rebalance", *FOLDER_COLUMNS)
@@ -119,7 +123,7 @@ def conversion_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def click_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as a click snapshot of its minute."""
     return events(spark, sf_dir).select(
-        F.date_format("ts", MINUTE_FORMAT).alias("key_dt"),
+        _time_text(16).alias("key_dt"),
         *CLICK_SNAPSHOT.columns[1:-1],
         F.floor("value").cast("long").alias("count_of_clicks"),
     )
@@ -128,7 +132,7 @@ def click_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 def conversion_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as a conversion snapshot of its minute."""
     return events(spark, sf_dir).select(
-        F.date_format("ts", MINUTE_FORMAT).alias("key_dt"),
+        _time_text(16).alias("key_dt"),
         "key_type",
         F.col("offer_id").alias("offerid"),
         F.col("value").alias("received_revenue"),

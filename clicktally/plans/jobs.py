@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from clicktally.functions import as_utc, minute_key
 from clicktally.operators.clicks import (
     click_counts,
+    click_counts_by_hour,
     click_rejects,
     parse_clicks,
     search_clicks,
@@ -17,6 +18,7 @@ from clicktally.operators.clicks import (
 from clicktally.operators.conversions import (
     conversion_rejects,
     conversion_snapshot,
+    conversion_snapshots_by_day,
     in_either_window,
 )
 from clicktally.operators.latest import (
@@ -37,6 +39,10 @@ from clicktally.sinks import read_daily, replace_days, stage_days, write_snapsho
 from clicktally.sources import ClickLayout, read_click_lines
 
 
+# The name of a run that stores the snapshots of many hours or days at once.
+HISTORY = "history"
+
+
 def _write_rejects(rejects: DataFrame, path: str | None) -> None:
     """Keep the rejects of a run in a folder of their own."""
     if path is not None:
@@ -69,6 +75,24 @@ def run_click_statistics(
         _write_rejects(click_rejects(lines), rejects_path)
 
 
+def run_click_history(
+    spark: SparkSession,
+    layout: ClickLayout,
+    first: datetime,
+    last: datetime,
+    snapshots_path: str,
+) -> None:
+    """Store the last snapshot of every hour from ``first`` to ``last``, in one pass."""
+    lines = read_click_lines(spark, layout, layout.range_glob(first, last))
+    counts = click_counts_by_hour(parse_clicks(lines))
+    write_snapshots(counts, snapshots_path, F.lit(HISTORY))
+
+
+def run_conversion_history(log: DataFrame, snapshots_path: str) -> None:
+    """Store the last snapshot of every day of the log, in one pass."""
+    write_snapshots(conversion_snapshots_by_day(log), snapshots_path, F.lit(HISTORY))
+
+
 def run_conversion_statistics(
     log: DataFrame,
     as_of: datetime,

@@ -37,7 +37,12 @@ from clicktally.operators.latest import (
 )
 from clicktally.operators.upsert import upsert
 from clicktally.plans import inputs
-from clicktally.plans.jobs import run_click_consolidation, run_conversion_consolidation
+from clicktally.plans.jobs import (
+    run_click_consolidation,
+    run_click_history,
+    run_conversion_consolidation,
+    run_conversion_statistics,
+)
 from clicktally.schemas import (
     CLICK_DAILY,
     CLICK_SNAPSHOT,
@@ -48,7 +53,7 @@ from clicktally.schemas import (
     TableContract,
 )
 from clicktally.session import fresh_path
-from clicktally.sinks import read_daily, read_snapshots, write_snapshots
+from clicktally.sinks import read_daily, read_snapshots
 from clicktally.sources import read_click_lines
 from clicktally.streaming import run_click_stream
 
@@ -224,18 +229,18 @@ def _consolidation(
     return query
 
 
-def _stored(rows: DataFrame, contract: TableContract) -> DataFrame:
-    path = fresh_path(rows.sparkSession, contract.name)
-    write_snapshots(rows, path, F.lit("history"))
-    return read_snapshots(rows.sparkSession, path, contract)
-
-
 def click_snapshot_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stored(click_counts_hour(spark, sf_dir), CLICK_SNAPSHOT)
+    layout = inputs.write_click_files(spark, sf_dir)
+    path = fresh_path(spark, CLICK_SNAPSHOT.name)
+    run_click_history(spark, layout, *inputs.event_span(spark, sf_dir), path)
+    return read_snapshots(spark, path, CLICK_SNAPSHOT)
 
 
 def conversion_snapshot_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stored(conversion_catch_up(spark, sf_dir), CONVERSION_SNAPSHOT)
+    path = fresh_path(spark, CONVERSION_SNAPSHOT.name)
+    log = inputs.conversion_log(spark, sf_dir)
+    run_conversion_statistics(log, AS_OF, path, since=SINCE)
+    return read_snapshots(spark, path, CONVERSION_SNAPSHOT)
 
 
 def key_violation(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 from clicktally.operators.checks import ContractViolation, require_contract, width_violations
 from clicktally.plans.jobs import (
     run_click_consolidation,
+    run_click_history,
     run_click_search,
     run_click_statistics,
     run_conversion_consolidation,
+    run_conversion_history,
     run_conversion_statistics,
 )
 from clicktally.schemas import (
@@ -76,6 +78,29 @@ def test_an_hour_without_rejects_writes_none(spark, tmp_path):
     assert not rejects.exists()
 
 
+def test_history_equals_the_last_runs_of_hours_and_days(spark, tmp_path):
+    put(tmp_path / "in", HOUR, "a.gz", LINES)
+    put(tmp_path / "in", "offer-stream-odd/2024/01/06/03", "a.gz", LINES[1:])
+    layout = ClickLayout(str(tmp_path / "in"))
+    runs, history = str(tmp_path / "runs"), str(tmp_path / "history")
+    hours = (datetime(2024, 1, 5, 10, 59), datetime(2024, 1, 6, 3, 59))
+    for as_of in hours:
+        run_click_statistics(spark, layout, as_of, runs)
+    run_click_history(spark, layout, *hours, history)
+    stored = rows(read_snapshots(spark, history, CLICK_SNAPSHOT))
+    assert stored == rows(read_snapshots(spark, runs, CLICK_SNAPSHOT))
+    assert len(stored) == 6
+
+    log = log_of(spark, GOLDEN)
+    runs, history = str(tmp_path / "c-runs"), str(tmp_path / "c-history")
+    for day in (4, 5):
+        run_conversion_statistics(log, datetime(2024, 1, day, 23, 59), runs)
+    run_conversion_history(log, history)
+    stored = rows(read_snapshots(spark, history, CONVERSION_SNAPSHOT))
+    assert stored == rows(read_snapshots(spark, runs, CONVERSION_SNAPSHOT))
+    assert len(stored) == 3
+
+
 def test_search_reads_the_whole_day(spark, tmp_path):
     put(tmp_path, HOUR, "a.gz", LINES)
     put(tmp_path, "offer-stream-even/2024/01/05/23", "a.gz", [LINES[1]])
@@ -248,6 +273,22 @@ def test_stream_counts_every_file_once(spark, tmp_path):
     assert run() == sorted(second)
 
 
+def test_a_repeated_micro_batch_changes_nothing(spark, tmp_path):
+    layout = ClickLayout(str(tmp_path / "in"))
+    partials, snapshots, progress = (str(tmp_path / name) for name in ("p", "s", "c"))
+    put(tmp_path / "in", HOUR, "a.gz", LINES)
+    results = []
+    for _ in range(2):
+        run_click_stream(spark, layout, partials, snapshots, progress).awaitTermination()
+        results.append(rows(read_snapshots(spark, snapshots, CLICK_SNAPSHOT)))
+        # A batch whose commit is missing is run again, as after a crash.
+        commits = list((tmp_path / "c" / "commits").glob("*0*"))
+        assert commits
+        for commit in commits:
+            commit.unlink()
+    assert results[0] == results[1] == [("2024-01-05 10:59", *row[1:]) for row in COUNTS]
+
+
 def test_shared_folder_is_that_of_the_session(spark):
     folder = spark.conf.get("spark.checkpoint.dir")
     assert shared_folder(spark) == folder

@@ -113,7 +113,7 @@ def hour_end_key(hour: Column) -> Column:
 
 
 def click_counts_by_hour(clicks: DataFrame) -> DataFrame:
-    """The snapshots that runs in the last minute of every ``hour`` would give, in one pass."""
+    """The snapshots that runs at the very end of every ``hour`` would give, in one pass."""
     return as_click_snapshot(partial_counts(clicks, "hour"), hour_end_key(F.col("hour")))
 
 

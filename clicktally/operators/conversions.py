@@ -150,7 +150,7 @@ def conversion_snapshot(
 
 
 def conversion_snapshots_by_day(log: DataFrame) -> DataFrame:
-    """The snapshots that runs in the last minute of every day would give, in one pass."""
+    """The snapshots that runs at the very end of every day would give, in one pass."""
     rows = on_both_clocks(log).filter(F.col("at").isNotNull())
     per_day = offer_statistics(rows.withColumn("day", F.to_date("at")), "day", "key_type")
     last_minute = F.concat(F.col("day").cast("string"), F.lit(" 23:59"))

@@ -94,7 +94,7 @@ def test_history_equals_the_last_runs_of_hours_and_days(spark, tmp_path):
     log = log_of(spark, GOLDEN)
     runs, history = str(tmp_path / "c-runs"), str(tmp_path / "c-history")
     for day in (4, 5):
-        run_conversion_statistics(log, datetime(2024, 1, day, 23, 59), runs)
+        run_conversion_statistics(log, datetime(2024, 1, day, 23, 59, 59), runs)
     run_conversion_history(log, history)
     stored = rows(read_snapshots(spark, history, CONVERSION_SNAPSHOT))
     assert stored == rows(read_snapshots(spark, runs, CONVERSION_SNAPSHOT))

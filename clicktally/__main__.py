@@ -1,4 +1,4 @@
-"""The jobs as commands: ``spark-submit --py-files clicktally.zip -m clicktally <job> ...``."""
+"""The jobs as commands: ``python -m clicktally <job> ...``, or this file with spark-submit."""
 
 from __future__ import annotations
 

@@ -2,7 +2,7 @@ from clicktally.sources.click_files import ClickLayout, read_click_lines
 from clicktally.sources.databases import (
     conversion_predicates,
     read_conversion_log,
-    read_snapshots,
+    read_snapshot_table,
     snapshot_predicates,
 )
 
@@ -11,6 +11,6 @@ __all__ = [
     "conversion_predicates",
     "read_click_lines",
     "read_conversion_log",
-    "read_snapshots",
+    "read_snapshot_table",
     "snapshot_predicates",
 ]

@@ -25,7 +25,7 @@ def snapshot_predicates(as_of: datetime) -> list[str]:
     return [*slices, f"key_dt >= '{bounds[-1]}'"]
 
 
-def read_snapshots(
+def read_snapshot_table(
     spark: SparkSession,
     url: str,
     contract: TableContract,

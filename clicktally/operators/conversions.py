@@ -64,17 +64,6 @@ def conversion_rejects(log: DataFrame) -> DataFrame:
     return log.filter(F.col("offer_id").isNull()).withColumn("reason", F.lit("no offer"))
 
 
-def on_both_clocks(log: DataFrame) -> DataFrame:
-    """Every conversion once per clock, as ``key_type`` and ``at``, in one scan."""
-    clocks = F.array(
-        *(
-            F.struct(F.lit(key_type).alias("key_type"), F.col(column).alias("at"))
-            for key_type, column in CLOCKS.items()
-        )
-    )
-    return log.select("*", F.inline(clocks)).drop(*CLOCKS.values())
-
-
 def offer_totals(conversions: DataFrame, *by: str) -> DataFrame:
     """Rows, revenue and cost per ``by`` and offer. A missing amount adds nothing."""
     return (
@@ -93,19 +82,25 @@ def joined_set(values: Column) -> Column:
     return F.array_join(F.array_sort(F.collect_set(values)), SEPARATOR)
 
 
-def offer_statistics(conversions: DataFrame, *by: str) -> DataFrame:
-    """Totals per ``by`` and offer, with the distinct affiliates, countries and zones.
+def combination_totals(conversions: DataFrame, *by: str) -> DataFrame:
+    """Totals per ``by``, offer and combination of affiliate, country and zone.
 
-    The first aggregation groups by the dimension values too: it is a hash aggregation with a
-    partial step, and it spreads the rows of a hot offer over all tasks. The sets are made
-    from its result, so no task sees a value of an offer more than once per combination.
+    This is the first of two aggregations. It is a hash aggregation with a partial step, and it
+    spreads the rows of a hot offer over all tasks.
     """
     values = [
         F.nullif(F.col(column).cast("string"), F.lit("")).alias(name)
         for name, column in DIMENSIONS.items()
     ]
     rows = conversions.select(*by, "offer_id", "received_revenue", "paid_revenue", *values)
-    combinations = offer_totals(rows, *by, *DIMENSIONS)
+    return offer_totals(rows, *by, *DIMENSIONS)
+
+
+def merge_combinations(combinations: DataFrame, *by: str) -> DataFrame:
+    """Totals per ``by`` and offer, with the distinct affiliates, countries and zones.
+
+    A combination comes in once, so no task meets a value as often as the log holds it.
+    """
     return combinations.groupBy(*by, "offer_id").agg(
         F.sum("click_count").alias("click_count"),
         F.sum("received").alias("received"),
@@ -114,6 +109,29 @@ def offer_statistics(conversions: DataFrame, *by: str) -> DataFrame:
     )
 
 
+def offer_statistics(conversions: DataFrame, *by: str) -> DataFrame:
+    """Totals and distinct values per ``by`` and offer."""
+    return merge_combinations(combination_totals(conversions, *by), *by)
+
+
+def clock_statistics(log: DataFrame, marks: dict[str, Column]) -> DataFrame:
+    """Statistics per offer, type and ``mark``, for all types in one scan.
+
+    ``marks`` gives, by type, the period a conversion belongs to, or null for none. A
+    combination is totalled over all marks at once and takes one row per type only then.
+    """
+    marked = log.select("*", *(mark.alias(key_type) for key_type, mark in marks.items()))
+    combinations = combination_totals(marked, *marks)
+    types = F.array(
+        *(
+            F.struct(F.lit(key_type).alias("key_type"), F.col(key_type).alias("mark"))
+            for key_type in marks
+        )
+    )
+    rows = combinations.select("*", F.inline(types)).filter(F.col("mark").isNotNull())
+    return merge_combinations(rows, "key_type", "mark")
+
+
 def as_measures(received: str = "received", paid: str = "paid") -> list[Column]:
     """Revenue, cost and their difference, subtracted exactly and shown as doubles."""
     return [
@@ -139,19 +157,19 @@ def conversion_snapshot(
 ) -> DataFrame:
     """Statistics of the day so far on both clocks, stamped with the batch time.
 
-    The window is tested twice: on the log, where it can be pushed to the scan, and per
-    clock. ``since`` opens the window earlier than the start of the day.
+    The windows are tested twice: for either of them on the log, where the test can be pushed
+    to the scan, and for each. ``since`` opens them earlier than the start of the day.
     """
-    tagged = on_both_clocks(log.filter(in_either_window(log, as_of, since)))
-    rows = tagged.filter(in_window(tagged, "at", as_of, since))
-    return as_conversion_snapshot(
-        offer_statistics(rows, "key_type"), F.lit(minute_key(as_of))
-    )
+    marks = {
+        key_type: F.when(in_window(log, clock, as_of, since), True)
+        for key_type, clock in CLOCKS.items()
+    }
+    seen = log.filter(in_either_window(log, as_of, since))
+    return as_conversion_snapshot(clock_statistics(seen, marks), F.lit(minute_key(as_of)))
 
 
 def conversion_snapshots_by_day(log: DataFrame) -> DataFrame:
     """The snapshots that runs at the very end of every day would give, in one pass."""
-    rows = on_both_clocks(log).filter(F.col("at").isNotNull())
-    per_day = offer_statistics(rows.withColumn("day", F.to_date("at")), "day", "key_type")
-    last_minute = F.concat(F.col("day").cast("string"), F.lit(" 23:59"))
-    return as_conversion_snapshot(per_day, last_minute)
+    days = {key_type: F.to_date(clock) for key_type, clock in CLOCKS.items()}
+    last_minute = F.concat(F.col("mark").cast("string"), F.lit(" 23:59"))
+    return as_conversion_snapshot(clock_statistics(log, days), last_minute)

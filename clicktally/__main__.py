@@ -59,7 +59,7 @@ def _parser() -> argparse.ArgumentParser:
 
 def _conversion_log(spark: SparkSession, options: argparse.Namespace) -> DataFrame:
     if options.log:
-        return spark.read.schema(CONVERSION_LOG).parquet(options.log)
+        return spark.read.parquet(options.log).select(*CONVERSION_LOG.names)
     properties = {}
     if options.jdbc_properties:
         with open(options.jdbc_properties) as file:

@@ -23,8 +23,8 @@ class ClickLayout:
     """Where the click files of an hour lie.
 
     The streams alternate by day of month, and an odd day uses the stream named even; swap the
-    two for data written the other way. ``hour_folder`` is a time format whose last four parts
-    are year, month, day and hour, each as digits or as ``name=digits``.
+    two for data written the other way. ``hour_folder`` is a time format of five parts: stream,
+    year, month, day and hour, the last four as digits or as ``name=digits``.
     """
 
     root: str
@@ -65,6 +65,10 @@ class ClickLayout:
             tail = F.regexp_replace(tail, r"(^|/)[^/=]*=", "$1")
         return F.substring_index(tail, "/", 4)
 
+    def stream_of_path(self, path: Column) -> Column:
+        """The stream in which a file lies."""
+        return F.substring_index(F.substring_index(path, "/", -6), "/", 1)
+
     def stream_of(self, time: Column) -> Column:
         """The stream that holds the clicks of a time."""
         return F.when(F.dayofmonth(time) % 2 == 1, self.odd_day_stream).otherwise(

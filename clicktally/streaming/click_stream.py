@@ -46,7 +46,7 @@ def click_line_stream(
     return (
         spark.readStream.option("maxFilesPerTrigger", files_per_batch)
         .text(f"{layout.root}/{anywhere}/*.gz")
-        .filter(F.contains(path, stream))
+        .filter(layout.stream_of_path(path) == stream)
         .select("value", hour.alias("hour"))
     )
 

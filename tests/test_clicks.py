@@ -120,6 +120,18 @@ def test_counts_add_up_to_the_clicks_with_long_keys(spark):
     }
 
 
+def test_a_hot_pair_is_counted_whole(spark):
+    hot = spark.range(30_000).select(
+        F.lit("C").alias("key_type"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("offer_id"),
+        F.lit("adv").alias("offer_advertiser_id"),
+        F.col("id").cast("string").alias("destination_subid"),
+    )
+    counts = {row[2]: (row[4], row[5]) for row in click_counts(hot, AS_OF).collect()}
+    assert counts.pop("hot") == ("NA", 10_000)
+    assert counts == {str(i): (str(i), 1) for i in range(30_000) if i % 3}
+
+
 def test_partial_counts_merge_to_the_whole(spark):
     clicks = parse_clicks(lines_of(spark, LINES * 3)).withColumn("hour", F.lit("2024/01/05/10"))
     halves = partial_counts(clicks, "hour").unionByName(partial_counts(clicks, "hour"))

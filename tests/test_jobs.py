@@ -257,7 +257,7 @@ def test_stream_counts_every_file_once(spark, tmp_path):
 
     put(root, HOUR, "a.gz", LINES)
     put(root, "offer-stream-even/2024/01/05/11", "a.gz", [line("C", "t1", "adv1", "off1")])
-    put(root, "offer-stream-odd/2024/01/05/10", "a.gz", LINES)
+    put(root, "offer-stream-odd/2024/01/05/10", "offer-stream-even.gz", LINES)
     first = [("2024-01-05 10:59", *row[1:]) for row in COUNTS] + [
         ("2024-01-05 11:59", "C", "off1", "adv1", "t1", 1)
     ]

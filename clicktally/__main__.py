@@ -51,7 +51,7 @@ def _parser() -> argparse.ArgumentParser:
             "staging",
         )
         job.add_argument("--rejects")
-    search = add("search", "find the clicks of the day with a destination subid", "root")
+    search = add("search", "find the clicks of the day with a destination subid", "root", "out")
     search.add_argument("subid")
     add("stream", "count the click files that are new", "root", "partials", "snapshots", "progress")
     return parser
@@ -77,7 +77,10 @@ def main(arguments: list[str] | None = None) -> None:
     as_of = options.as_of
     if options.job == "click-statistics":
         layout = ClickLayout(options.root)
-        run_click_statistics(spark, layout, as_of, options.snapshots, options.rejects)
+        rejected = run_click_statistics(
+            spark, layout, as_of, options.snapshots, options.rejects
+        )
+        print(f"{rejected} lines rejected")
     elif options.job == "conversion-statistics":
         log = _conversion_log(spark, options)
         run_conversion_statistics(log, as_of, options.snapshots, options.rejects)
@@ -91,8 +94,7 @@ def main(arguments: list[str] | None = None) -> None:
         )
     elif options.job == "search":
         found = run_click_search(spark, ClickLayout(options.root), as_of, options.subid)
-        for row in found.toLocalIterator():
-            print(f"{row.offer_id},{row.offer_advertiser_id}")
+        found.write.mode("overwrite").csv(options.out)
     elif options.job == "stream":
         run_click_stream(
             spark,

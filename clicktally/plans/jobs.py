@@ -60,10 +60,11 @@ def run_click_statistics(
     as_of: datetime,
     snapshots_path: str,
     rejects_path: str | None = None,
-) -> None:
-    """Count the clicks of the hour of ``as_of`` and store the snapshot.
+) -> int:
+    """Count the clicks of the hour of ``as_of``, store the snapshot, return the lines rejected.
 
-    The files are read again for the rejects only if the count saw any.
+    The files are read again for the rejects only if there are any and a path is given. The
+    number is exact unless a lost task was run again.
     """
     lines = read_click_lines(spark, layout, layout.hour_glob(as_of))
     seen = Observation()
@@ -71,8 +72,10 @@ def run_click_statistics(
         parsed := Observation(), F.count("*").alias("clicks")
     )
     write_snapshots(click_counts(clicks, as_of), snapshots_path, _run(as_of))
-    if seen.get["lines"] != parsed.get["clicks"]:
+    rejected = seen.get["lines"] - parsed.get["clicks"]
+    if rejected:
         _write_rejects(click_rejects(lines), rejects_path)
+    return rejected
 
 
 def run_click_history(

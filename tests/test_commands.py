@@ -13,15 +13,16 @@ def test_click_jobs(spark, tmp_path, capsys):
     daily, staging = str(tmp_path / "daily"), str(tmp_path / "staging")
     at = ["--as-of", "2024-01-05T10:35"]
     main(["click-statistics", *at, "--root", root, "--snapshots", snapshots])
+    assert "1 lines rejected" in capsys.readouterr().out
     assert read_snapshots(spark, snapshots, CLICK_SNAPSHOT).count() == 3
     main(
         ["consolidate-clicks", *at, "--snapshots", snapshots, "--daily", daily]
         + ["--staging", staging]
     )
     assert read_daily(spark, daily, CLICK_DAILY).count() == 2
-    capsys.readouterr()
-    main(["search", *at, "--root", root, "s2"])
-    assert capsys.readouterr().out == "off1,adv1\n"
+    found = str(tmp_path / "found")
+    main(["search", *at, "--root", root, "--out", found, "s2"])
+    assert [row.value for row in spark.read.text(found).collect()] == ["off1,adv1"]
 
 
 def test_conversion_jobs(spark, tmp_path):

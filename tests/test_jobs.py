@@ -22,6 +22,7 @@ from clicktally.schemas import (
 )
 from clicktally.session import fresh_path, shared_folder
 from clicktally.sinks import (
+    append_rows,
     read_daily,
     read_snapshots,
     replace_days,
@@ -48,7 +49,7 @@ def test_click_statistics_and_rejects(spark, tmp_path):
     layout = ClickLayout(str(tmp_path / "in"))
     out, rejects = str(tmp_path / "out"), str(tmp_path / "rejects")
     for _ in range(2):
-        run_click_statistics(spark, layout, AS_OF, out, rejects)
+        assert run_click_statistics(spark, layout, AS_OF, out, rejects) == 1
         assert rows(read_snapshots(spark, out, CLICK_SNAPSHOT)) == COUNTS
     assert [row.value for row in spark.read.parquet(rejects).collect()] == ["C\tx"]
 
@@ -65,7 +66,8 @@ def test_click_statistics_and_rejects(spark, tmp_path):
 
 def test_an_hour_without_files_stores_nothing(spark, tmp_path):
     out = str(tmp_path / "out")
-    run_click_statistics(spark, ClickLayout(str(tmp_path)), AS_OF, out, str(tmp_path / "r"))
+    layout = ClickLayout(str(tmp_path))
+    assert run_click_statistics(spark, layout, AS_OF, out, str(tmp_path / "r")) == 0
     assert rows(read_snapshots(spark, out, CLICK_SNAPSHOT)) == []
 
 
@@ -182,6 +184,12 @@ def test_contract_of_keys_and_widths(spark):
             require_contract(broken, CLICK_SNAPSHOT)
 
 
+def test_nothing_is_appended_that_breaks_the_contract(spark):
+    row = ("2024-01-05 10:00", "C", "o1", "a", "s", 5)
+    with pytest.raises(ContractViolation):
+        append_rows(snapshot(spark, row, row), "jdbc:none", CLICK_SNAPSHOT, {})
+
+
 def test_upsert_statements():
     names = "key_dt, key_type, offer_id, offer_advertiser_id, destination_subid, count_of_clicks"
     assert upsert_statement(CLICK_DAILY, CLICK_UPDATES, "mysql", "%s") == (

@@ -82,17 +82,45 @@ def joined_set(values: Column) -> Column:
     return F.array_join(F.array_sort(F.collect_set(values)), SEPARATOR)
 
 
+def _dimension_columns() -> dict[str, Column]:
+    """The values of a conversion that a snapshot lists, null where there is nothing to list."""
+    return {
+        name: F.nullif(F.col(column).cast("string"), F.lit(""))
+        for name, column in DIMENSIONS.items()
+    }
+
+
+def dimension_values(conversions: DataFrame, *by: str) -> DataFrame:
+    """The distinct affiliates, countries and zones per ``by`` and offer, one row each.
+
+    The sets of :func:`offer_statistics` are texts and have to fit one row; here an offer may
+    have any number of values, and no group is collected.
+    """
+    values = F.array(
+        *(
+            F.struct(F.lit(name).alias("dimension"), column.alias("value"))
+            for name, column in _dimension_columns().items()
+        )
+    )
+    rows = conversions.filter(F.col("offer_id").isNotNull()).select(
+        *by, "offer_id", F.inline(values)
+    )
+    return rows.filter(F.col("value").isNotNull()).distinct()
+
+
 def combination_totals(conversions: DataFrame, *by: str) -> DataFrame:
     """Totals per ``by``, offer and combination of affiliate, country and zone.
 
     This is the first of two aggregations. It is a hash aggregation with a partial step, and it
     spreads the rows of a hot offer over all tasks.
     """
-    values = [
-        F.nullif(F.col(column).cast("string"), F.lit("")).alias(name)
-        for name, column in DIMENSIONS.items()
-    ]
-    rows = conversions.select(*by, "offer_id", "received_revenue", "paid_revenue", *values)
+    rows = conversions.select(
+        *by,
+        "offer_id",
+        "received_revenue",
+        "paid_revenue",
+        *(column.alias(name) for name, column in _dimension_columns().items()),
+    )
     return offer_totals(rows, *by, *DIMENSIONS)
 
 

@@ -176,6 +176,13 @@ SELECT offer_id, count(*) AS click_count, CAST(sum(received) AS DOUBLE) AS recei
 FROM log GROUP BY offer_id"""),
     "conversion_dimension_sets": _from_log(f"""
 SELECT offer_id, {SETS} FROM log GROUP BY offer_id"""),
+    "conversion_dimension_values": _from_log("""
+SELECT DISTINCT offer_id, 'affiliates' AS dimension, affiliate_id AS value
+FROM log WHERE affiliate_id <> ''
+UNION ALL
+SELECT DISTINCT offer_id, 'geo', geo_country FROM log WHERE geo_country <> ''
+UNION ALL
+SELECT DISTINCT offer_id, 'zones', subid4 FROM log WHERE subid4 <> ''"""),
     "conversion_net": _from_log(f"""
 SELECT offer_id, {MEASURES} FROM log GROUP BY offer_id"""),
     "conversion_rejects": _from_log("""

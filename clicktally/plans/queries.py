@@ -25,6 +25,7 @@ from clicktally.operators.conversions import (
     conversion_snapshot,
     conversion_snapshots_by_day,
     conversions_in_window,
+    dimension_values,
     offer_statistics,
     offer_totals,
     tag_conversions,
@@ -108,6 +109,10 @@ def conversion_dimension_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return statistics.select("offer_id", *DIMENSIONS)
 
 
+def conversion_dimension_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dimension_values(inputs.conversion_log(spark, sf_dir))
+
+
 def conversion_net(spark: SparkSession, sf_dir: str) -> DataFrame:
     totals = offer_totals(inputs.conversion_log(spark, sf_dir))
     return totals.select("offer_id", *as_measures())
@@ -269,6 +274,7 @@ QUERIES: dict[str, Query] = {
     "conversion_tag_r": _conversion_tag("R"),
     "conversion_offer_totals": conversion_offer_totals,
     "conversion_dimension_sets": conversion_dimension_sets,
+    "conversion_dimension_values": conversion_dimension_values,
     "conversion_net": conversion_net,
     "conversion_rejects": conversion_without_offer,
     "click_parse": click_parse,

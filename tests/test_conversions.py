@@ -10,6 +10,7 @@ from clicktally.operators.conversions import (
     conversion_snapshot,
     conversion_snapshots_by_day,
     conversions_in_window,
+    dimension_values,
     offer_totals,
     tag_conversions,
 )
@@ -137,6 +138,8 @@ def test_a_hot_offer_is_counted_whole(spark):
     assert row.click_count == len(expected)
     assert row.zones.split("#") == sorted(str(i) for i in expected)
     assert row.affiliates.split("#") == sorted(str(i) for i in range(50))
+    values = dimension_values(hot).filter(F.col("offer_id") == "hot").groupBy("dimension").count()
+    assert rows(values) == [("affiliates", 50), ("geo", 1), ("zones", len(expected))]
 
 
 @pytest.mark.parametrize("slices", [1, 7, 24])

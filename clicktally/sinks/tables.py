@@ -71,14 +71,8 @@ def read_daily(
 
 
 def stage_days(rows: DataFrame, path: str) -> None:
-    """Write complete days beside the table they are to replace."""
-    (
-        rows.hint("rebalance", DAY_FOLDER)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy(DAY_FOLDER)
-        .parquet(path)
-    )
+    """Write complete days, in no folders yet, beside the table in which they replace others."""
+    rows.write.mode("overwrite").parquet(path)
 
 
 def replace_days(spark: SparkSession, staged: str, path: str, contract: TableContract) -> None:
@@ -87,4 +81,4 @@ def replace_days(spark: SparkSession, staged: str, path: str, contract: TableCon
     Nothing is read from ``path``, so a replacement that was cut short is finished by calling
     this again with the same staged days.
     """
-    _replace_folders(read_daily(spark, staged, contract), path, (DAY_FOLDER,))
+    _replace_folders(_read(spark, staged, contract.schema), path, (DAY_FOLDER,))

@@ -151,10 +151,11 @@ def test_click_consolidation_leaves_other_days_alone(spark, tmp_path):
 
 
 def test_a_replacement_cut_short_is_finished_from_the_staged_days(spark, tmp_path):
-    daily, staged = str(tmp_path / "daily"), str(tmp_path / "staged")
+    daily, part, staged = (str(tmp_path / name) for name in ("daily", "part", "staged"))
     whole = [("2024-01-05", "C", "o1", "a", "s", 5), ("2024-01-06", "C", "o1", "a", "s", 6)]
+    stage_days(spark.createDataFrame(whole[:1], CLICK_DAILY.schema), part)
+    replace_days(spark, part, daily, CLICK_DAILY)
     stage_days(spark.createDataFrame(whole, CLICK_DAILY.schema), staged)
-    stage_days(spark.createDataFrame(whole[:1], CLICK_DAILY.schema), daily)
     replace_days(spark, staged, daily, CLICK_DAILY)
     assert rows(read_daily(spark, daily, CLICK_DAILY)) == whole
 

@@ -12,7 +12,13 @@ from clicktally.operators.latest import latest_clicks, since_today
 from clicktally.operators.upsert import upsert
 from clicktally.plans import inputs
 from clicktally.schemas import CLICK_DAILY, CLICK_SNAPSHOT, CLICK_UPDATES
-from clicktally.sinks import read_daily, read_snapshots, stage_days, write_snapshots
+from clicktally.sinks import (
+    read_daily,
+    read_snapshots,
+    replace_days,
+    stage_days,
+    write_snapshots,
+)
 from tests.test_conversions import GOLDEN, log_of
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -83,10 +89,11 @@ def test_search_does_not_shuffle(spark):
 
 
 def test_only_folders_since_today_are_read(spark, tmp_path):
-    snapshots, daily = str(tmp_path / "snapshots"), str(tmp_path / "daily")
+    snapshots, daily, staged = (str(tmp_path / name) for name in ("snapshots", "daily", "staged"))
     rows = inputs.click_snapshots(spark, SF_DIR)
     write_snapshots(rows, snapshots, F.lit("history"))
-    stage_days(latest_clicks(rows), daily)
+    stage_days(latest_clicks(rows), staged)
+    replace_days(spark, staged, daily, CLICK_DAILY)
     today = datetime(2024, 1, 20, 10)
     stored = read_snapshots(spark, snapshots, CLICK_SNAPSHOT, today)
     updates = latest_clicks(since_today(stored, today))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -13,7 +12,6 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.ui.enabled": "false",
 }
 
 
@@ -33,23 +31,15 @@ def build_session(
     return builder.getOrCreate()
 
 
-_local_folders: dict[str, str] = {}
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``, which all executors can reach.
+    """The checkpoint folder of the session, which all executors can reach.
 
-    Only a local session, whose executors are this machine, may do without the setting.
+    It is the one of ``spark.checkpoint.dir``, or else the one set on the running context.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-    application = spark.conf.get("spark.app.id")
-    if application not in _local_folders:
-        _local_folders[application] = tempfile.mkdtemp(prefix="clicktally-")
-    return _local_folders[application]
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        raise ValueError("spark.checkpoint.dir must name a shared folder")
+    return folder.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

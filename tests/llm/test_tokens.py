@@ -1,0 +1,182 @@
+"""Ids, token files and packing against the tokenizers library."""
+
+import zlib
+from collections import defaultdict
+from itertools import accumulate
+
+import numpy as np
+import public_tokenizers
+import pyarrow.fs
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from clicktally.llm import chunks, elias_fano, packing
+from clicktally.llm.queries import op2_elias_fano_files, op3_tiered_packing
+from clicktally.session import fresh_path
+
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE = chunks.load_tokenizer(BYTE_BPE)
+WORD = chunks.load_tokenizer(WORD_BPE)
+
+PARTS = st.sampled_from(
+    [" ", "\n", " ", "\t", "\r\n", "a", "Bc", "é", "'s", "12", "²", "Σ", "İ", "́", " "]
+    + [" ", "\x1c", "\x85", "<|endoftext|>", "<|", "日本", "😀", ".", ",\n", "_"]
+)
+
+
+def ids_of(tokenizer, text):
+    return tokenizer.encode(text or "", add_special_tokens=False).ids
+
+
+def crc(ids):
+    return zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(PARTS, max_size=12).map("".join), max_size=6))
+def test_chunked_ids_are_those_of_the_library(texts):
+    for path, spaced, tokenizer in ((BYTE_BPE, True, BYTE), (WORD_BPE, False, WORD)):
+        ids, lengths = chunks.encoder(path, spaced).encode(texts)
+        assert ids.tolist() == [i for text in texts for i in ids_of(tokenizer, text)]
+        assert lengths.tolist() == [len(ids_of(tokenizer, text)) for text in texts]
+
+
+def test_forgetting_keeps_ids_right(monkeypatch, documents):
+    monkeypatch.setattr(chunks, "MEMORY", 500)
+    encoder = chunks.ChunkEncoder(BYTE_BPE, True)
+    for first in range(0, 40, 4):
+        texts = [text for _, text in documents[first : first + 4]]
+        assert encoder.encode(texts)[0].tolist() == [i for t in texts for i in ids_of(BYTE, t)]
+
+
+@given(
+    st.lists(st.integers(0, 10**6), max_size=300),
+    st.integers(-(2**62), 2**61),
+)
+def test_elias_fano_selects_every_value(steps, first):
+    values = np.array([first + s for s in accumulate(steps)], np.int64)
+    data = elias_fano.EliasFano.of(values).to_bytes()
+    sequence, size = elias_fano.EliasFano.from_bytes(memoryview(data + b"rest"))
+    assert size == len(data)
+    assert sequence.values().tolist() == values.tolist()
+    assert [sequence.select(i) for i in range(len(values))] == values.tolist()
+
+
+def test_elias_fano_is_near_minimal():
+    ends = np.cumsum(np.random.default_rng(1).integers(1, 2000, 100_000))
+    sequence = elias_fano.EliasFano.of(ends)
+    bits = 8 * len(sequence.to_bytes()) / len(ends)
+    assert bits < np.log2(ends[-1] / len(ends)) + 3.1
+
+
+def test_op2_against_the_library(spark, documents, sf_dir):
+    rows = sorted(op2_elias_fano_files(spark, sf_dir).collect())
+    start = 0
+    for row, (doc_id, text) in zip(rows, sorted(documents), strict=True):
+        ids = [*ids_of(BYTE, text), 0]
+        assert tuple(row) == (doc_id, start, len(ids), crc(ids))
+        start += len(ids)
+
+
+def test_token_files_of_odd_documents(spark, odd_documents, no_documents):
+    folder = fresh_path(spark, "token-files")
+    manifest = elias_fano.write_token_files(odd_documents, folder, BYTE_BPE, 0, file_tokens=40)
+    rows = elias_fano.read_token_files(manifest).collect()
+    wanted = sorted(
+        (row.doc_id is not None, row.doc_id or 0, crc([*ids_of(BYTE, row.text), 0]))
+        for row in odd_documents.collect()
+    )
+    assert sorted((r.doc_id is not None, r.doc_id or 0, r.ids_crc32) for r in rows) == wanted
+    by_start = sorted(rows, key=lambda row: row.start)
+    assert [row.start for row in by_start] == [
+        0, *accumulate(row.n_tokens for row in by_start)
+    ][:-1]
+    keys = [(row.doc_id is not None, row.doc_id or 0) for row in by_start]
+    assert keys == sorted(keys)
+    file = manifest.orderBy("part", "number").first()
+    store, path = pyarrow.fs.FileSystem.from_uri(f"file://{file.path.removeprefix('file:')}")
+    tokens = elias_fano.TokenFile(store.open_input_file(path).read())
+    assert len(tokens.document(0)) == by_start[0].n_tokens
+    empty = fresh_path(spark, "token-files")
+    manifest = elias_fano.write_token_files(no_documents, empty, BYTE_BPE, 0)
+    assert elias_fano.read_token_files(manifest).collect() == []
+
+
+def check_pieces(rows, documents, tokens=4096):
+    """Every id in one piece, sequences gapless; returns the used tokens of each sequence."""
+    pieces, sequences = defaultdict(list), defaultdict(list)
+    for row in rows:
+        pieces[row.doc_id, row.doc_tokens].append(row)
+        sequences[row.sequence_id].append((row.offset, row.length))
+    wanted = {}
+    for doc_id, text in documents:
+        ids = [*ids_of(WORD, text), 2]
+        wanted.setdefault((doc_id, len(ids)), []).append(ids)
+    assert pieces.keys() == wanted.keys()
+    for key, found in pieces.items():
+        if len(wanted[key]) == 1:
+            ids, at = wanted[key][0], 0
+            for row in sorted(found, key=lambda row: row.start):
+                assert row.start == at
+                at += row.length
+                assert row.ids_crc32 == crc(ids[row.start : at])
+            assert at == len(ids)
+    used = []
+    for parts in sequences.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= tokens
+        used.append(at)
+    return used
+
+
+def test_op3_against_the_library(spark, documents, sf_dir):
+    rows = op3_tiered_packing(spark, sf_dir).collect()
+    used = check_pieces(rows, documents)
+    full = [size for size in used if size in packing.TIERS]
+    assert len(used) - len(full) <= 8
+    assert {row.window for row in rows} == set(packing.TIERS)
+
+
+def test_packing_of_odd_documents(spark, odd_documents, no_documents):
+    from clicktally.llm.queries import pieces_digest
+
+    rows = pieces_digest(packing.pack_documents(odd_documents, WORD_BPE, 2)).collect()
+    check_pieces(rows, [(row.doc_id, row.text) for row in odd_documents.collect()])
+    assert packing.pack_documents(no_documents, WORD_BPE, 2).collect() == []
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 9000), max_size=60))
+def test_packer_loses_and_pads_little(lengths):
+    packer = packing.Packer(packing.TIERS)
+    windows = []
+    for number, length in enumerate(lengths):
+        packer.add(number, np.arange(length))
+        if number % 20 == 19:
+            windows += packer.round()
+    windows += packer.round(last=True)
+    found = defaultdict(list)
+    for size, window in windows:
+        assert sum(len(ids) for _, _, ids in window) <= size
+        for number, start, ids in window:
+            assert ids[0] == start
+            found[number] += ids.tolist()
+    assert {n: sorted(ids) for n, ids in found.items()} == {
+        n: list(range(length)) for n, length in enumerate(lengths)
+    }
+    short = [1 for size, window in windows if sum(len(ids) for _, _, ids in window) < size]
+    assert len(short) <= 1
+
+
+@pytest.mark.parametrize("sizes", [[4096] * 9 + [512] * 40, [512], []])
+def test_step_groups_are_even(sizes):
+    groups = packing.step_groups([(size, []) for size in sizes], 32_768)
+    loads = defaultdict(int)
+    for size, group in zip(sizes, groups, strict=True):
+        loads[group] += size
+    assert max(loads.values(), default=0) - min(loads.values(), default=0) <= max(sizes, default=0)

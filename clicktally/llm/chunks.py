@@ -40,10 +40,14 @@ def load_tokenizer(path: str):
 
 
 def blocks(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Slices of a batch whose texts are about ``BLOCK_CHARS`` bytes long together."""
-    sizes = np.nan_to_num(
-        pa.compute.binary_length(batch.column(column)).to_numpy(zero_copy_only=False)
-    )
+    """Slices of a batch whose texts are about ``BLOCK_CHARS`` bytes long together.
+
+    The texts are a column or the field ``text`` of one.
+    """
+    texts = batch.column(column)
+    if pa.types.is_struct(texts.type):
+        texts = texts.field("text")
+    sizes = np.nan_to_num(pa.compute.binary_length(texts).to_numpy(zero_copy_only=False))
     group = (np.cumsum(sizes) // BLOCK_CHARS).astype(np.int64)
     starts = np.flatnonzero(np.diff(group, prepend=-1))
     for start, end in zip(starts, [*starts[1:], batch.num_rows], strict=True):

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from clicktally.llm.elias_fano import read_token_files, write_token_files
 from clicktally.llm.packing import pack_documents
+from clicktally.llm.simhash import near_duplicate_classes
 from clicktally.session import fresh_path
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -44,11 +45,16 @@ def op3_tiered_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces_digest(pack_documents(docs, WORD_BPE, end_id=2))
 
 
+def op10_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_classes(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
         op2_elias_fano_files,
         op3_tiered_packing,
+        op10_simhash_pigeonring,
     )
 }
 

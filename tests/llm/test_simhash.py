@@ -1,0 +1,120 @@
+"""Fingerprints, links and components against brute force."""
+
+import random
+import re
+
+import numpy as np
+import pytest
+import xxhash
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from clicktally.llm import simhash
+from clicktally.llm.components import connected_components
+from clicktally.llm.queries import op10_simhash_pigeonring
+
+
+def plain_fingerprint(text):
+    lower = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", lower)
+    shingles = [words[i : i + 4] for i in range(max(1, len(words) - 3))] if words else []
+    hashes = [xxhash.xxh64_intdigest(" ".join(s).encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def plain_components(rows, distance=4):
+    """The smallest id reachable for each (doc_id, fingerprint)."""
+    parent = list(range(len(rows)))
+
+    def find(i):
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    prints = np.array([fp for _, fp in rows], np.uint64)
+    for i in range(len(rows)):
+        for j in np.flatnonzero(np.bitwise_count(prints ^ prints[i]) <= distance).tolist():
+            parent[find(j)] = find(i)
+    least = {}
+    for i, (doc_id, _) in enumerate(rows):
+        if doc_id is not None:
+            least[find(i)] = min(least.get(find(i), doc_id), doc_id)
+    return [least.get(find(i)) for i in range(len(rows))]
+
+
+@given(st.text(alphabet="aB é\n\t\x0b.Σ", max_size=60))
+def test_fingerprint(text):
+    assert simhash.fingerprint(text) == plain_fingerprint(text)
+
+
+def test_op10_against_brute_force(spark, documents, sf_dir):
+    wanted = [(doc_id, plain_fingerprint(text)) for doc_id, text in documents]
+    components = plain_components(wanted)
+    rows = op10_simhash_pigeonring(spark, sf_dir).collect()
+    assert sorted((r.doc_id, r.fingerprint, r.component_id) for r in rows) == sorted(
+        (doc_id, f"{fp:016x}", c) for (doc_id, fp), c in zip(wanted, components, strict=True)
+    )
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.integers(0, 2**32), st.sampled_from([3, 4, 7]))
+def test_pigeonring_finds_every_pair(seed, distance):
+    """Any two fingerprints within the distance share a key and stay within all chains."""
+    rng = random.Random(seed)
+    ring = simhash.Ring(distance)
+    a = rng.getrandbits(64)
+    b = a
+    for bit in rng.sample(range(64), rng.randint(0, distance)):
+        b ^= 1 << bit
+    one, two = (np.array([v], np.uint64) for v in (a, b))
+    assert any(ring.linked(one, two, start)[0] for start in range(ring.count))
+    for start in range(ring.count):
+        if ring.linked(one, two, start)[0]:
+            after = (start + 1) % ring.count
+            low = [(v >> ring.offsets[after]) & (2 ** ring.widths[after] - 1) for v in (a, b)]
+            assert (low[0] ^ low[1]).bit_count() <= 1
+
+
+@pytest.mark.parametrize("small_run", [1, 24])
+def test_links_of_clustered_fingerprints(spark, monkeypatch, small_run):
+    monkeypatch.setattr(simhash, "SMALL_RUN", small_run)
+    rng = random.Random(5)
+    prints = [rng.getrandbits(64) for _ in range(300)]
+    for _ in range(900):
+        value = rng.choice(prints)
+        for bit in rng.sample(range(64), rng.randint(1, 6)):
+            value ^= 1 << bit
+        prints.append(value)
+    prints = list(dict.fromkeys(prints))
+    signed = [(int(np.uint64(v).astype(np.int64)),) for v in prints]
+    links = simhash.fingerprint_links(spark.createDataFrame(signed, "fp long"))
+    roots = {row.node: row.root for row in connected_components(links, "a", "b").collect()}
+    found = [roots.get(fp, fp) for (fp,) in signed]
+    wanted = plain_components([(fp, v) for (fp,), v in zip(signed, prints, strict=True)])
+    assert found == wanted
+
+
+def test_components_of_a_long_path_and_a_star(spark):
+    path = [(i, i + 1) for i in range(100, 140)]
+    star = [(7, i) for i in range(200, 400)] + [(3, 399), (5, 5)]
+    links = spark.createDataFrame(path + star, "a long, b long")
+    roots = {row.node: row.root for row in connected_components(links, "a", "b").collect()}
+    assert all(roots[i] == 100 for i in range(101, 141))
+    assert all(roots[i] == 3 for i in [7, *range(200, 400)])
+    assert 5 not in roots
+
+
+def test_odd_documents(spark, odd_documents, no_documents):
+    rows = simhash.near_duplicate_classes(odd_documents).collect()
+    given_rows = [(row.doc_id, plain_fingerprint(row.text)) for row in odd_documents.collect()]
+    wanted = plain_components(given_rows)
+    key = repr
+    assert sorted(((r.doc_id, r.fingerprint, r.component_id) for r in rows), key=key) == sorted(
+        ((d, f"{fp:016x}", c) for (d, fp), c in zip(given_rows, wanted, strict=True)), key=key
+    )
+    kept = simhash.drop_near_duplicates(odd_documents)
+    assert kept.columns == odd_documents.columns
+    assert kept.count() == len({(c, fp if c is None else 0) for (_, fp), c in zip(given_rows, wanted)})
+    assert simhash.near_duplicate_classes(no_documents).collect() == []
+    assert simhash.drop_near_duplicates(no_documents).collect() == []

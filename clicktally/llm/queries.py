@@ -8,11 +8,15 @@ from pyspark.sql import functions as F
 
 from clicktally.llm.elias_fano import read_token_files, write_token_files
 from clicktally.llm.packing import pack_documents
+from clicktally.llm.quality import labelled_statistics, learn_rules, quality_verdicts
+from clicktally.llm.secrets import secret_spans
+from clicktally.llm.sharding import assign_shards, shard_sql
 from clicktally.llm.simhash import near_duplicate_classes
 from clicktally.session import fresh_path
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+SHARD_WEIGHTS = (1.0,) * 8
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +49,21 @@ def op3_tiered_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces_digest(pack_documents(docs, WORD_BPE, end_id=2))
 
 
+def op4_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shards = assign_shards(_table(spark, sf_dir, "documents"), SHARD_WEIGHTS)
+    return shards.withColumn("law", F.lit("key"))
+
+
+def op6_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    rules = learn_rules(labelled_statistics(docs, _table(spark, sf_dir, "labels")))
+    return quality_verdicts(docs, rules)
+
+
+def op7_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_spans(_table(spark, sf_dir, "documents"))
+
+
 def op10_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_classes(_table(spark, sf_dir, "documents"))
 
@@ -54,8 +73,13 @@ QUERIES = {
     for query in (
         op2_elias_fano_files,
         op3_tiered_packing,
+        op4_rendezvous_shards,
+        op6_decision_list,
+        op7_entropy_secrets,
         op10_simhash_pigeonring,
     )
 }
 
-EXPECTED: dict[str, str] = {}
+EXPECTED: dict[str, str] = {
+    "op4_rendezvous_shards": shard_sql(len(SHARD_WEIGHTS)),
+}

@@ -12,6 +12,7 @@ from clicktally.llm.quality import labelled_statistics, learn_rules, quality_ver
 from clicktally.llm.secrets import secret_spans
 from clicktally.llm.sharding import assign_shards, shard_sql
 from clicktally.llm.simhash import near_duplicate_classes
+from clicktally.llm.topk import top_k
 from clicktally.session import fresh_path
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -64,6 +65,10 @@ def op7_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_spans(_table(spark, sf_dir, "documents"))
 
 
+def op8_no_random_access_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op10_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_classes(_table(spark, sf_dir, "documents"))
 
@@ -76,10 +81,23 @@ QUERIES = {
         op4_rendezvous_shards,
         op6_decision_list,
         op7_entropy_secrets,
+        op8_no_random_access_top_k,
         op10_simhash_pigeonring,
     )
 }
 
 EXPECTED: dict[str, str] = {
     "op4_rendezvous_shards": shard_sql(len(SHARD_WEIGHTS)),
+    "op8_no_random_access_top_k": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+            FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
+        SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+            FROM scored) WHERE rank <= 5""",
 }

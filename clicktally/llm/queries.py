@@ -13,6 +13,7 @@ from clicktally.llm.secrets import secret_spans
 from clicktally.llm.sharding import assign_shards, shard_sql
 from clicktally.llm.simhash import near_duplicate_classes
 from clicktally.llm.topk import top_k
+from clicktally.llm.toxicity import fit_toxicity, severities
 from clicktally.session import fresh_path
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -55,6 +56,11 @@ def op4_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.withColumn("law", F.lit("key"))
 
 
+def op5_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return severities(docs, fit_toxicity(docs, _table(spark, sf_dir, "labels")))
+
+
 def op6_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     rules = learn_rules(labelled_statistics(docs, _table(spark, sf_dir, "labels")))
@@ -79,6 +85,7 @@ QUERIES = {
         op2_elias_fano_files,
         op3_tiered_packing,
         op4_rendezvous_shards,
+        op5_ordinal_toxicity,
         op6_decision_list,
         op7_entropy_secrets,
         op8_no_random_access_top_k,

@@ -169,13 +169,13 @@ class TokenFile:
         return b"".join([head, ends, keys, bytes(gap), body.tobytes()])
 
 
-def _store(folder: str) -> tuple[pyarrow.fs.FileSystem, str]:
-    """The file system of a folder, by its scheme; a plain path is a local or mounted one."""
+def open_store(folder: str) -> tuple[pyarrow.fs.FileSystem, str]:
+    """The file system of a path and the path in it; one without a scheme is local or mounted."""
     return pyarrow.fs.FileSystem.from_uri(folder if ":" in folder else f"file://{folder}")
 
 
 def _write_whole(folder: str, name: str, data: bytes, attempt: str) -> None:
-    store, path = _store(folder)
+    store, path = open_store(folder)
     with store.open_output_stream(f"{path}/.{name}-{attempt}") as out:
         out.write(data)
     store.move(f"{path}/.{name}-{attempt}", f"{path}/{name}")
@@ -198,7 +198,7 @@ def write_token_files(
     beside the files: writing is done when this returns.
     """
     spark = docs.sparkSession
-    store, path = _store(folder)
+    store, path = open_store(folder)
     store.create_dir(path, recursive=True)
     where = {"folder": folder, "tokenizer": tokenizer_path}
 
@@ -265,7 +265,7 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
                 batch.column("path").to_pylist(), batch.column("base").to_pylist(), strict=True
             ):
                 folder, _, name = path.rpartition("/")
-                store, place = _store(folder)
+                store, place = open_store(folder)
                 with store.open_input_file(f"{place}/{name}") as source:
                     tokens = TokenFile(source.read())
                 ends = tokens.ends.values()

@@ -12,8 +12,10 @@ from clicktally.llm.quality import labelled_statistics, learn_rules, quality_ver
 from clicktally.llm.secrets import secret_spans
 from clicktally.llm.sharding import assign_shards, shard_sql
 from clicktally.llm.simhash import near_duplicate_classes
+from clicktally.llm.token_counts import count_tokens
 from clicktally.llm.topk import top_k
 from clicktally.llm.toxicity import fit_toxicity, severities
+from clicktally.llm.transducer import build_transducer, decode_documents, encode_documents
 from clicktally.session import fresh_path
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -25,6 +27,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    encoded = encode_documents(docs, BYTE_BPE, build_transducer(docs, BYTE_BPE))
+    return decode_documents(encoded, BYTE_BPE).select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
 def op2_elias_fano_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     files = write_token_files(docs, fresh_path(spark, "token-files"), BYTE_BPE, end_id=0)
@@ -75,6 +88,10 @@ def op8_no_random_access_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+def op9_pre_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(_table(spark, sf_dir, "documents"), BYTE_BPE, limit=512)
+
+
 def op10_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_classes(_table(spark, sf_dir, "documents"))
 
@@ -82,6 +99,7 @@ def op10_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     query.__name__: query
     for query in (
+        op1_transducer_bpe,
         op2_elias_fano_files,
         op3_tiered_packing,
         op4_rendezvous_shards,
@@ -89,6 +107,7 @@ QUERIES = {
         op6_decision_list,
         op7_entropy_secrets,
         op8_no_random_access_top_k,
+        op9_pre_token_counts,
         op10_simhash_pigeonring,
     )
 }

@@ -313,3 +313,8 @@ def quality_verdicts(docs: DataFrame, rules: Rules) -> DataFrame:
         "judged.base_failed",
         "judged.kept",
     )
+
+
+def drop_poor(docs: DataFrame, rules: Rules) -> DataFrame:
+    """The rows whose text is kept, with all their columns."""
+    return docs.filter(judged(F.col("text"), rules)["kept"])

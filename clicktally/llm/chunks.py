@@ -11,7 +11,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterable, Iterator, Sequence
-from itertools import chain, islice
+from itertools import chain, compress, islice
 
 import numpy as np
 import pyarrow as pa
@@ -79,6 +79,9 @@ class ChunkEncoder:
         self.lengths = np.zeros(0, np.int64)
         self.uses = np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.int32)
+        self.stops = {
+            stop: self.tokenizer.encode(stop, add_special_tokens=False).ids[0] for stop in ".,"
+        }
 
     def _forget(self) -> None:
         """Keep the half of the pieces that was used most."""
@@ -109,14 +112,8 @@ class ChunkEncoder:
             return f"\n{text}".replace("\n", " \n").split(" ")[1:]
         return text.replace("\n", " ").split(" ")
 
-    def _add(self, lengths: np.ndarray, ids: np.ndarray) -> None:
-        starts = len(self.flat) + np.cumsum(lengths) - lengths
-        self.starts = np.concatenate([self.starts, starts])
-        self.lengths = np.concatenate([self.lengths, lengths])
-        self.uses = np.concatenate([self.uses, np.zeros(len(lengths), np.int64)])
-        self.flat = np.concatenate([self.flat, ids])
-
-    def _learn(self, pieces: Sequence[str]) -> None:
+    def _library(self, pieces: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces one after the other, and how many each has, by the library."""
         words = (
             [piece if piece[:1] == "\n" else f" {piece}" for piece in pieces]
             if self.spaced
@@ -124,7 +121,43 @@ class ChunkEncoder:
         )
         encoding = self.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
         lengths = np.bincount(np.array(encoding.word_ids, np.int64), minlength=len(words))
-        self._add(lengths, np.array(encoding.ids, np.int32))
+        return np.array(encoding.ids, np.int32), lengths
+
+    def _learn(self, known: int) -> None:
+        """Encode the pieces from a number on.
+
+        A full stop or comma after a Latin letter is always cut off and has an id of its own, so such a piece
+        is made from the one without it, which is encoded if it is new too.
+        """
+        ended = [
+            piece
+            for piece in islice(self.slot, known, None)
+            if piece[-1:] in self.stops and piece[-2:-1].isalpha() and piece[-2] < "\u0250"
+        ]
+        stems = np.fromiter(
+            map(self.slot.__getitem__, (piece[:-1] for piece in ended)), np.int64, len(ended)
+        )
+        made = np.fromiter(map(self.slot.__getitem__, ended), np.int64, len(ended))
+        new = len(self.slot) - known
+        by_library = np.ones(new, bool)
+        by_library[made - known] = False
+        pieces = list(compress(islice(self.slot, known, None), by_library))
+        ids, sizes = self._library(pieces)
+        lengths, starts = np.zeros(new, np.int64), np.zeros(new, np.int64)
+        lengths[by_library] = sizes
+        starts[by_library] = len(self.flat) + np.cumsum(sizes) - sizes
+        self.lengths = np.concatenate([self.lengths, lengths])
+        self.starts = np.concatenate([self.starts, starts])
+        self.uses = np.concatenate([self.uses, np.zeros(new, np.int64)])
+        self.flat = np.concatenate([self.flat, ids])
+        # A stem may itself be made of another one only if it ended in a stop, not in a letter.
+        sizes = self.lengths[stems]
+        ends = np.cumsum(sizes)
+        stops = np.array([self.stops[piece[-1]] for piece in ended], np.int32)
+        ids = np.insert(self.flat[expand(self.starts[stems], sizes)], ends, stops)
+        self.lengths[made] = sizes + 1
+        self.starts[made] = len(self.flat) + np.cumsum(sizes + 1) - (sizes + 1)
+        self.flat = np.concatenate([self.flat, ids.astype(np.int32)])
 
     def encode(self, texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and how many each text has; null is empty."""
@@ -138,7 +171,7 @@ class ChunkEncoder:
             map(self.slot.__getitem__, chain.from_iterable(cut)), np.int64, counts.sum()
         )
         if len(self.slot) > known:
-            self._learn(list(islice(self.slot, known, None)))
+            self._learn(known)
         self.uses += np.bincount(slots, minlength=len(self.uses))
         lengths = self.lengths[slots]
         ids = self.flat[expand(self.starts[slots], lengths)]

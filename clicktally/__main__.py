@@ -9,6 +9,8 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 
 from clicktally.plans.jobs import (
+    append_click_statistics,
+    append_conversion_statistics,
     run_click_consolidation,
     run_click_search,
     run_click_statistics,
@@ -33,10 +35,20 @@ def _parser() -> argparse.ArgumentParser:
             job.add_argument(f"--{argument}", required=True)
         return job
 
-    clicks = add("click-statistics", "count the clicks of the hour", "root", "snapshots")
-    clicks.add_argument("--rejects")
-    conversions = add("conversion-statistics", "sum up the conversions of the day", "snapshots")
-    conversions.add_argument("--rejects")
+    def database(job: argparse.ArgumentParser) -> None:
+        """Where results go: a folder or a database."""
+        sink = job.add_mutually_exclusive_group(required=True)
+        sink.add_argument("--snapshots", help="folder of the snapshots")
+        sink.add_argument("--out-url", help="JDBC address of the database of the snapshots")
+        job.add_argument("--out-properties", help="JSON file with driver and credentials")
+        job.add_argument("--rejects")
+
+    clicks = add("click-statistics", "count the clicks of the hour", "root")
+    database(clicks)
+    conversions = add("conversion-statistics", "sum up the conversions of the day")
+    database(conversions)
+    conversions.add_argument("--values", help="folder for the distinct values as rows")
+    conversions.add_argument("--jdbc-slices", type=int, default=24)
     source = conversions.add_mutually_exclusive_group(required=True)
     source.add_argument("--log", help="the conversion log as Parquet")
     source.add_argument("--jdbc-url")
@@ -53,19 +65,32 @@ def _parser() -> argparse.ArgumentParser:
         job.add_argument("--rejects")
     search = add("search", "find the clicks of the day with a destination subid", "root", "out")
     search.add_argument("subid")
-    add("stream", "count the click files that are new", "root", "partials", "snapshots", "progress")
+    search.add_argument("--rejects")
+    stream = add(
+        "stream", "count the click files that are new", "root", "partials", "snapshots", "progress"
+    )
+    stream.add_argument("--rejects")
     return parser
 
 
+def _properties(file_name: str | None) -> dict[str, str]:
+    if file_name is None:
+        return {}
+    with open(file_name) as file:
+        return json.load(file)
+
+
 def _conversion_log(spark: SparkSession, options: argparse.Namespace) -> DataFrame:
     if options.log:
         return spark.read.parquet(options.log).select(*CONVERSION_LOG.names)
-    properties = {}
-    if options.jdbc_properties:
-        with open(options.jdbc_properties) as file:
-            properties = json.load(file)
+    properties = _properties(options.jdbc_properties)
     return read_conversion_log(
-        spark, options.jdbc_url, options.jdbc_table, options.as_of, properties
+        spark,
+        options.jdbc_url,
+        options.jdbc_table,
+        options.as_of,
+        properties,
+        slices=options.jdbc_slices,
     )
 
 
@@ -75,15 +100,25 @@ def main(arguments: list[str] | None = None) -> None:
         options.as_of = datetime.now(timezone.utc)
     spark = build_session(f"clicktally {options.job}")
     as_of = options.as_of
-    if options.job == "click-statistics":
+    if options.job == "click-statistics" and options.out_url:
+        properties = _properties(options.out_properties)
+        layout = ClickLayout(options.root)
+        append_click_statistics(spark, layout, as_of, options.out_url, properties)
+    elif options.job == "click-statistics":
         layout = ClickLayout(options.root)
         rejected = run_click_statistics(
             spark, layout, as_of, options.snapshots, options.rejects
         )
         print(f"{rejected} lines rejected")
+    elif options.job == "conversion-statistics" and options.out_url:
+        properties = _properties(options.out_properties)
+        log = _conversion_log(spark, options)
+        append_conversion_statistics(log, as_of, options.out_url, properties)
     elif options.job == "conversion-statistics":
         log = _conversion_log(spark, options)
-        run_conversion_statistics(log, as_of, options.snapshots, options.rejects)
+        run_conversion_statistics(
+            log, as_of, options.snapshots, options.rejects, values_path=options.values
+        )
     elif options.job == "consolidate-clicks":
         rows = read_snapshots(spark, options.snapshots, CLICK_SNAPSHOT, as_of)
         run_click_consolidation(rows, as_of, options.daily, options.staging, options.rejects)
@@ -93,7 +128,9 @@ def main(arguments: list[str] | None = None) -> None:
             rows, as_of, options.daily, options.staging, options.rejects
         )
     elif options.job == "search":
-        found = run_click_search(spark, ClickLayout(options.root), as_of, options.subid)
+        found = run_click_search(
+            spark, ClickLayout(options.root), as_of, options.subid, options.rejects
+        )
         found.write.mode("overwrite").csv(options.out)
     elif options.job == "stream":
         run_click_stream(
@@ -102,6 +139,7 @@ def main(arguments: list[str] | None = None) -> None:
             options.partials,
             options.snapshots,
             options.progress,
+            rejects_path=options.rejects,
         ).awaitTermination()
 
 

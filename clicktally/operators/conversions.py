@@ -11,6 +11,7 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clicktally.functions import as_utc, day_start, minute_key, time_literal
 from clicktally.schemas import CONVERSION_SNAPSHOT
@@ -108,6 +109,33 @@ def dimension_values(conversions: DataFrame, *by: str) -> DataFrame:
     return rows.filter(F.col("value").isNotNull()).distinct()
 
 
+def dimension_sets(conversions: DataFrame, *by: str) -> DataFrame:
+    """The distinct values of the dimensions per ``by`` and offer as texts, without totals.
+
+    They are lists of the rows of :func:`dimension_values`, which spread a hot offer by its values.
+    A set of them would let the optimizer drop the distinct below it, and with it the spreading.
+    """
+    listed = {
+        name: F.collect_list(F.when(F.col("dimension") == name, F.col("value")))
+        for name in DIMENSIONS
+    }
+    none = F.lit(None).cast("string")
+    every = conversions.filter(F.col("offer_id").isNotNull()).select(
+        *by, "offer_id", none.alias("dimension"), none.alias("value")
+    )
+    return (
+        dimension_values(conversions, *by)
+        .unionByName(every.distinct())
+        .groupBy(*by, "offer_id")
+        .agg(
+            *(
+                F.array_join(F.array_sort(values), SEPARATOR).alias(name)
+                for name, values in listed.items()
+            )
+        )
+    )
+
+
 def combination_totals(conversions: DataFrame, *by: str) -> DataFrame:
     """Totals per ``by``, offer and combination of affiliate, country and zone.
 
@@ -142,6 +170,20 @@ def offer_statistics(conversions: DataFrame, *by: str) -> DataFrame:
     return merge_combinations(combination_totals(conversions, *by), *by)
 
 
+def by_type(log: DataFrame, marks: dict[str, Column]) -> DataFrame:
+    """The log once for each type, with the ``mark`` of the type where it has one.
+
+    ``marks`` gives, by type, the period a conversion belongs to, or null for none.
+    """
+    types = F.array(
+        *(
+            F.struct(F.lit(key_type).alias("key_type"), mark.alias("mark"))
+            for key_type, mark in marks.items()
+        )
+    )
+    return log.select("*", F.inline(types)).filter(F.col("mark").isNotNull())
+
+
 def clock_statistics(log: DataFrame, marks: dict[str, Column]) -> DataFrame:
     """Statistics per offer, type and ``mark``, for all types in one scan.
 
@@ -188,16 +230,31 @@ def conversion_snapshot(
     The windows are tested twice: for either of them on the log, where the test can be pushed
     to the scan, and for each. ``since`` opens them earlier than the start of the day.
     """
-    marks = {
+    seen = log.filter(in_either_window(log, as_of, since))
+    statistics = clock_statistics(seen, window_marks(log, as_of, since))
+    return as_conversion_snapshot(statistics, F.lit(minute_key(as_of)))
+
+
+def window_marks(
+    log: DataFrame, as_of: datetime, since: datetime | None = None
+) -> dict[str, Column]:
+    """By type, whether a conversion is in the window of the type, or null."""
+    return {
         key_type: F.when(in_window(log, clock, as_of, since), True)
         for key_type, clock in CLOCKS.items()
     }
-    seen = log.filter(in_either_window(log, as_of, since))
-    return as_conversion_snapshot(clock_statistics(seen, marks), F.lit(minute_key(as_of)))
+
+
+def _utc_day(log: DataFrame, clock: str) -> Column:
+    """The day of a clock in UTC, whatever the time zone of the session."""
+    time = F.col(clock)
+    if isinstance(log.schema[clock].dataType, T.TimestampType):
+        time = F.to_utc_timestamp(time, F.current_timezone())
+    return F.to_date(time)
 
 
 def conversion_snapshots_by_day(log: DataFrame) -> DataFrame:
-    """The snapshots that runs at the very end of every day would give, in one pass."""
-    days = {key_type: F.to_date(clock) for key_type, clock in CLOCKS.items()}
+    """The snapshots that runs at the very end of every day would give."""
+    days = {key_type: _utc_day(log, clock) for key_type, clock in CLOCKS.items()}
     last_minute = F.concat(F.col("mark").cast("string"), F.lit(" 23:59"))
     return as_conversion_snapshot(clock_statistics(log, days), last_minute)

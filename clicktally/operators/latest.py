@@ -17,8 +17,10 @@ def since_today(snapshots: DataFrame, as_of: datetime) -> DataFrame:
 
 
 def _reject_reason(offer: str) -> Column:
-    return F.when(F.col(offer).isNull(), "no offer").when(
-        parsed_key(F.col("key_dt")).isNull(), "key_dt is not a minute"
+    return (
+        F.when(F.col(offer).isNull(), "no offer")
+        .when(parsed_key(F.col("key_dt")).isNull(), "key_dt is not a minute")
+        .when(F.col("key_type").isNull(), "no type")
     )
 
 

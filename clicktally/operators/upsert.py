@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,16 +17,16 @@ def upsert(
 
     A row whose key is in ``updates`` takes the ``changed`` columns from there and keeps all
     others; new keys are added whole; the rest stays. Presence is told by markers, since a
-    null may be data. Applying the same updates again changes nothing.
+    null may be data, also in a key, where it equals another null. Applying the same updates again
+    changes nothing.
     """
     held = target.withColumn("held", F.lit(True)).alias("t")
     new = updates.withColumn("new", F.lit(True)).alias("u")
-    joined = held.join(new, list(key), "full_outer")
+    same = reduce(and_, (F.col(f"t.{name}").eqNullSafe(F.col(f"u.{name}")) for name in key))
+    joined = held.join(new, same, "full_outer")
     columns = []
     for name in target.columns:
-        if name in key:
-            columns.append(F.col(name))
-        elif name in changed:
+        if name in changed and name not in key:
             columns.append(
                 F.when(F.col("new"), F.col(f"u.{name}"))
                 .otherwise(F.col(f"t.{name}"))

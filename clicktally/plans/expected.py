@@ -66,6 +66,12 @@ FROM tagged WHERE moment {WINDOW}
 GROUP BY key_type, offer_id"""
 
 
+WHOLE_LOG = f"""
+SELECT '2100-01-01 00:00' AS key_dt, key_type, offer_id AS offerid, {MEASURES},
+       count(*) AS click_count, {SETS}
+FROM tagged GROUP BY key_type, offer_id"""
+
+
 def _window(clock: str) -> str:
     return _from_log(f"""
 SELECT CAST(received AS DOUBLE) AS received_revenue, offer_id,
@@ -234,19 +240,38 @@ FROM click_snapshots WHERE key_type IN ('error', 'view')""",
     "consolidate_clicks": UPSERT_CLICKS,
     "consolidate_conversions": UPSERT_CONVERSIONS,
     "click_snapshot_append": _from_events(_counts(_WHOLE_LINES)),
-    "conversion_snapshot_append": _from_log(CATCH_UP),
+    "conversion_snapshot_append": _from_log(f"""
+SELECT *, CASE WHEN length(affiliates) > 500 THEN 'too long: affiliates' END AS reason
+FROM ({WHOLE_LOG})"""),
     "key_violations": _from_events(f"""
-SELECT key_dt, key_type, offer_id, count(*) AS rows FROM ({_counts()})
-GROUP BY key_dt, key_type, offer_id HAVING count(*) > 1"""),
+SELECT key_dt, key_type, CASE WHEN key_type <> 'error' THEN offer_id END AS offer_id,
+       count(*) AS rows,
+       CASE WHEN key_type <> 'error' THEN 'repeated key' ELSE 'null in key' END AS reason
+FROM ({_counts()})
+GROUP BY 1, 2, 3, 5 HAVING count(*) > 1 OR key_type = 'error'"""),
     "width_violations": _from_log(f"""
 SELECT key_dt, key_type, offerid, "column", CAST(width AS INTEGER) AS width,
        CAST(length AS INTEGER) AS length
 FROM (
-  SELECT *, 'affiliates' AS "column", 500 AS width, length(affiliates) AS length FROM ({CATCH_UP})
+  SELECT *, 'affiliates' AS "column", 500 AS width, length(affiliates) AS length FROM named
+  UNION ALL
+  SELECT *, 'geo', 500, length(geo) FROM named
   UNION ALL
-  SELECT *, 'geo', 500, length(geo) FROM ({CATCH_UP})
+  SELECT *, 'zones', 500, length(zones) FROM named
   UNION ALL
-  SELECT *, 'zones', 500, length(zones) FROM ({CATCH_UP}))
-WHERE length > width"""),
+  SELECT *, 'offerid', 30, length(offerid) FROM named)
+WHERE length > width""", f"""
+named AS (
+  SELECT * REPLACE ('an offer with a long name, no. ' || offerid AS offerid) FROM ({WHOLE_LOG}))"""),
     "stream_click_counts": _from_events(_counts(_WHOLE_LINES)),
+    "stream_click_rejects": _from_events("""
+SELECT key_type || chr(9) || '-' || chr(9) || destination_subid AS value, hour,
+       'fewer than 7 tokens' AS reason
+FROM events_as_clicks WHERE key_type = 'error'"""),
+    "click_statistics_job": _from_events(_counts(f"""{_WHOLE_LINES} AND date_trunc('hour', ts) >=
+  (SELECT date_trunc('hour', max(ts)) - INTERVAL 2 HOURS FROM events)""")),
+    "click_search_job": _from_events(f"""
+SELECT offer_id, offer_advertiser_id FROM events_as_clicks
+WHERE destination_subid = '{{"k": 69}}' AND {_WHOLE_LINES}
+  AND ts >= (SELECT date_trunc('day', max(ts)) FROM events)"""),
 }

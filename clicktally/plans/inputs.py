@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clicktally.functions import day_start
 from clicktally.schemas import CLICK, CLICK_SNAPSHOT, CONVERSION_DAILY
 from clicktally.session import fresh_path
 from clicktally.sources import ClickLayout
@@ -55,17 +56,22 @@ def click_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("ts", "hour", F.when(broken, start).otherwise(whole).alias("value"))
 
 
-_written: dict[tuple[str, str], ClickLayout] = {}
+_written: dict[tuple[str, str, bool], ClickLayout] = {}
 
 
-def write_click_files(spark: SparkSession, sf_dir: str) -> ClickLayout:
+def write_click_files(spark: SparkSession, sf_dir: str, plain: bool = False) -> ClickLayout:
     """Events as gzip click files, one folder per hour, in the stream of their day.
 
-    A session writes them once.
+    The folders are ``name=digits``, or plain ones for the hours of the last day only, which Spark
+    has to write one by one. A session writes them once.
     """
     application = spark.conf.get("spark.app.id")
-    if (application, sf_dir) in _written:
-        return _written[application, sf_dir]
+    if (application, sf_dir, plain) in _written:
+        return _written[application, sf_dir, plain]
+    if plain:
+        layout = _write_plain_files(spark, sf_dir)
+        _written[application, sf_dir, plain] = layout
+        return layout
     layout = ClickLayout(
         fresh_path(spark, "click-files"),
         odd_day_stream="stream=offer-stream-even",
@@ -87,7 +93,19 @@ def write_click_files(spark: SparkSession, sf_dir: str) -> ClickLayout:
         .option("compression", "gzip")
         .text(layout.root)
     )
-    _written[application, sf_dir] = layout
+    _written[application, sf_dir, plain] = layout
+    return layout
+
+
+def _write_plain_files(spark: SparkSession, sf_dir: str) -> ClickLayout:
+    layout = ClickLayout(fresh_path(spark, "plain-click-files"))
+    _, last = event_span(spark, sf_dir)
+    lines = click_lines(spark, sf_dir).filter(F.col("ts") >= day_start(last))
+    for hour in range(last.hour + 1):
+        at = last.replace(hour=hour)
+        rows = lines.filter(F.col("hour") == at.strftime("%Y/%m/%d/%H")).select("value")
+        folder = layout.hour_glob(at).removesuffix("/*.gz")
+        rows.coalesce(4).write.option("compression", "gzip").text(folder)
     return layout
 
 

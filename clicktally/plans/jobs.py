@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from clicktally.functions import as_utc, minute_key
+from clicktally.operators.checks import require_contract, split_by_contract
 from clicktally.operators.clicks import (
     click_counts,
     click_counts_by_hour,
@@ -16,10 +19,13 @@ from clicktally.operators.clicks import (
     search_clicks,
 )
 from clicktally.operators.conversions import (
+    by_type,
     conversion_rejects,
     conversion_snapshot,
     conversion_snapshots_by_day,
+    dimension_values,
     in_either_window,
+    window_marks,
 )
 from clicktally.operators.latest import (
     latest_clicks,
@@ -30,28 +36,59 @@ from clicktally.operators.latest import (
 from clicktally.operators.upsert import upsert
 from clicktally.schemas import (
     CLICK_DAILY,
+    CLICK_SNAPSHOT,
     CLICK_UPDATES,
     CONVERSION_DAILY,
+    CONVERSION_SNAPSHOT,
     CONVERSION_UPDATES,
     TableContract,
 )
-from clicktally.sinks import read_daily, replace_days, stage_days, write_snapshots
+from clicktally.session import delete_path, fresh_path
+from clicktally.sinks import (
+    append_rows,
+    finish_replacements,
+    read_daily,
+    stage_and_replace,
+    upsert_rows,
+    write_run,
+    write_snapshots,
+)
 from clicktally.sources import ClickLayout, read_click_lines
 
 
-# The name of a run that stores the snapshots of many hours or days at once.
-HISTORY = "history"
+def _write_rejects(rejects: DataFrame, path: str | None, run: str) -> None:
+    """Keep the rejects of a run in the folder of the run; none empty it."""
+    if path is not None:
+        rejects.write.mode("overwrite").parquet(f"{path}/run={run}")
 
 
-def _write_rejects(rejects: DataFrame, path: str | None) -> None:
-    """Keep the rejects of a run in a folder of their own."""
-    if path is not None:
-        rejects.write.mode("overwrite").parquet(path)
+def _run_name(*times: datetime) -> str:
+    return "_".join(as_utc(time).strftime("%Y-%m-%dT%H%M") for time in times)
 
 
-def _run(as_of: datetime) -> Column:
-    """A run is named by its minute of the day."""
-    return F.lit(as_utc(as_of).strftime("%H%M"))
+@contextmanager
+def _fitting(
+    rows: DataFrame, contract: TableContract, rejects_path: str | None, run: str
+) -> Iterator[DataFrame]:
+    """Rows that keep the contract of their table; with a path, the others go to the rejects.
+
+    Without a path a violation ends the run. The rows are stored first, so that they are computed
+    once, and the copy is deleted when the block ends.
+    """
+    spark = rows.sparkSession
+    stored = fresh_path(spark, contract.name)
+    try:
+        rows.select(*contract.columns).write.parquet(stored)
+        rows = spark.read.schema(contract.schema).parquet(stored)
+        if rejects_path is None:
+            require_contract(rows, contract)
+            yield rows
+        else:
+            fitting, broken = split_by_contract(rows, contract)
+            _write_rejects(broken, f"{rejects_path}/{contract.name}", run)
+            yield fitting
+    finally:
+        delete_path(spark, stored)
 
 
 def run_click_statistics(
@@ -71,10 +108,13 @@ def run_click_statistics(
     clicks = parse_clicks(lines.observe(seen, F.count("*").alias("lines"))).observe(
         parsed := Observation(), F.count("*").alias("clicks")
     )
-    write_snapshots(click_counts(clicks, as_of), snapshots_path, _run(as_of))
+    run = _run_name(as_of)
+    with _fitting(click_counts(clicks, as_of), CLICK_SNAPSHOT, rejects_path, run) as counts:
+        write_run(counts, snapshots_path, as_of)
     rejected = seen.get["lines"] - parsed.get["clicks"]
-    if rejected:
-        _write_rejects(click_rejects(lines), rejects_path)
+    if rejects_path is not None:
+        found = click_rejects(lines) if rejected else click_rejects(lines.limit(0))
+        _write_rejects(found, f"{rejects_path}/lines", run)
     return rejected
 
 
@@ -84,16 +124,34 @@ def run_click_history(
     first: datetime,
     last: datetime,
     snapshots_path: str,
+    rejects_path: str | None = None,
 ) -> None:
-    """Store the last snapshot of every hour from ``first`` to ``last``, in one pass."""
+    """Store the last snapshot of every hour from ``first`` to ``last``, in one pass.
+
+    An hour has one folder, whichever run stores it; hours without clicks are left empty. With a path
+    for rejects the files are read twice.
+    """
     lines = read_click_lines(spark, layout, layout.range_glob(first, last))
     counts = click_counts_by_hour(parse_clicks(lines))
-    write_snapshots(counts, snapshots_path, F.lit(HISTORY))
+    run = _run_name(first, last)
+    hours = F.substring("key_dt", 1, 13).between(minute_key(first)[:13], minute_key(last)[:13])
+    at_end = F.substring("key_dt", 15, 2) == "59"
+    with _fitting(counts, CLICK_SNAPSHOT, rejects_path, run) as fitting:
+        write_snapshots(fitting, snapshots_path, CLICK_SNAPSHOT, hours & at_end)
+    if rejects_path is not None:
+        _write_rejects(click_rejects(lines), f"{rejects_path}/lines", run)
 
 
-def run_conversion_history(log: DataFrame, snapshots_path: str) -> None:
-    """Store the last snapshot of every day of the log, in one pass."""
-    write_snapshots(conversion_snapshots_by_day(log), snapshots_path, F.lit(HISTORY))
+def run_conversion_history(
+    log: DataFrame, snapshots_path: str, rejects_path: str | None = None
+) -> None:
+    """Store the last snapshot of every day of the log, in one pass; days without any are emptied."""
+    snapshots = conversion_snapshots_by_day(log)
+    at_end = F.substring("key_dt", 12, 5) == "23:59"
+    with _fitting(snapshots, CONVERSION_SNAPSHOT, rejects_path, "history") as rows:
+        write_snapshots(rows, snapshots_path, CONVERSION_SNAPSHOT, at_end)
+    if rejects_path is not None:
+        _write_rejects(conversion_rejects(log), f"{rejects_path}/conversions", "history")
 
 
 def run_conversion_statistics(
@@ -102,32 +160,51 @@ def run_conversion_statistics(
     snapshots_path: str,
     rejects_path: str | None = None,
     since: datetime | None = None,
+    values_path: str | None = None,
 ) -> None:
-    """Store the snapshot of the day so far on both clocks, in one scan and one write."""
+    """Store the snapshot of the day so far on both clocks, in one write.
+
+    With a path for rejects or for the values of the dimensions the log is scanned once more for each.
+    The values are rows of type, offer, dimension and value, whatever their number.
+    """
+    run = _run_name(as_of)
     snapshot = conversion_snapshot(log, as_of, since)
-    write_snapshots(snapshot, snapshots_path, _run(as_of))
+    with _fitting(snapshot, CONVERSION_SNAPSHOT, rejects_path, run) as rows:
+        write_run(rows, snapshots_path, as_of)
     seen = log.filter(in_either_window(log, as_of, since))
-    _write_rejects(conversion_rejects(seen), rejects_path)
+    if rejects_path is not None:
+        _write_rejects(conversion_rejects(seen), f"{rejects_path}/conversions", run)
+    if values_path is not None:
+        marks = window_marks(log, as_of, since)
+        values = dimension_values(by_type(seen, marks), "key_type")
+        values.write.mode("overwrite").parquet(f"{values_path}/run={run}")
 
 
 def _consolidate(
+    snapshots: DataFrame,
     latest: DataFrame,
+    offer: str,
     target_path: str,
     staging_path: str,
     contract: TableContract,
     changed: tuple[str, ...],
     as_of: datetime,
+    rejects_path: str | None,
 ) -> None:
     """Upsert into the days from that of ``as_of`` on, staging them before they are replaced.
 
-    If a run dies while replacing, finish it with ``replace_days`` from its staging folder.
+    A replacement that an earlier run left unfinished is finished before the table is read.
     """
     spark = latest.sparkSession
+    staging = f"{staging_path}/{contract.name}"
+    finish_replacements(spark, staging, target_path, contract)
     target = read_daily(spark, target_path, contract, as_of)
-    folder = minute_key(as_of).translate(str.maketrans(" :", "--"))
-    staged = f"{staging_path}/{contract.name}/{folder}"
-    stage_days(upsert(target, latest, contract.key, changed), staged)
-    replace_days(spark, staged, target_path, contract)
+    merged = upsert(target, latest, contract.key, changed)
+    run = _run_name(as_of)
+    with _fitting(merged, contract, rejects_path, run) as rows:
+        stage_and_replace(rows, staging, run, target_path, contract)
+    if rejects_path is not None:
+        _write_rejects(snapshot_rejects(snapshots, offer), f"{rejects_path}/snapshots", run)
 
 
 def run_click_consolidation(
@@ -140,9 +217,16 @@ def run_click_consolidation(
     """Upsert the latest click snapshot per day and offer, from the day of ``as_of`` on."""
     today = since_today(snapshots, as_of)
     _consolidate(
-        latest_clicks(today), target_path, staging_path, CLICK_DAILY, CLICK_UPDATES, as_of
+        today,
+        latest_clicks(today),
+        "offer_id",
+        target_path,
+        staging_path,
+        CLICK_DAILY,
+        CLICK_UPDATES,
+        as_of,
+        rejects_path,
     )
-    _write_rejects(snapshot_rejects(today, "offer_id"), rejects_path)
 
 
 def run_conversion_consolidation(
@@ -155,19 +239,78 @@ def run_conversion_consolidation(
     """Upsert the latest conversion snapshot per day, type and offer."""
     today = since_today(snapshots, as_of)
     _consolidate(
+        today,
         latest_conversions(today),
+        "offerid",
         target_path,
         staging_path,
         CONVERSION_DAILY,
         CONVERSION_UPDATES,
         as_of,
+        rejects_path,
     )
-    _write_rejects(snapshot_rejects(today, "offerid"), rejects_path)
+
+
+def append_click_statistics(
+    spark: SparkSession,
+    layout: ClickLayout,
+    as_of: datetime,
+    url: str,
+    properties: dict[str, str],
+) -> None:
+    """Count the clicks of the hour of ``as_of`` and append them to the table of snapshots."""
+    lines = read_click_lines(spark, layout, layout.hour_glob(as_of))
+    append_rows(click_counts(parse_clicks(lines), as_of), url, CLICK_SNAPSHOT, properties)
+
+
+def append_conversion_statistics(
+    log: DataFrame,
+    as_of: datetime,
+    url: str,
+    properties: dict[str, str],
+    since: datetime | None = None,
+) -> None:
+    """Append the snapshot of the day so far on both clocks to the table of snapshots."""
+    append_rows(conversion_snapshot(log, as_of, since), url, CONVERSION_SNAPSHOT, properties)
+
+
+def upsert_click_days(
+    snapshots: DataFrame,
+    as_of: datetime,
+    url: str,
+    execute: Callable[[str], None],
+    properties: dict[str, str],
+    dialect: str = "mysql",
+) -> None:
+    """Upsert the latest click snapshot per day and offer into the daily table."""
+    latest = latest_clicks(since_today(snapshots, as_of))
+    upsert_rows(latest, url, execute, CLICK_DAILY, CLICK_UPDATES, properties, dialect)
+
+
+def upsert_conversion_days(
+    snapshots: DataFrame,
+    as_of: datetime,
+    url: str,
+    execute: Callable[[str], None],
+    properties: dict[str, str],
+    dialect: str = "mysql",
+) -> None:
+    """Upsert the latest conversion snapshot per day, type and offer into the daily table."""
+    latest = latest_conversions(since_today(snapshots, as_of))
+    upsert_rows(latest, url, execute, CONVERSION_DAILY, CONVERSION_UPDATES, properties, dialect)
 
 
 def run_click_search(
-    spark: SparkSession, layout: ClickLayout, as_of: datetime, destination_subid: str
+    spark: SparkSession,
+    layout: ClickLayout,
+    as_of: datetime,
+    destination_subid: str,
+    rejects_path: str | None = None,
 ) -> DataFrame:
-    """Offer and advertiser of the clicks with a subid on the day of ``as_of``."""
+    """Offer and advertiser of the clicks with a subid on the day of ``as_of``.
+
+    With a path for rejects the files are read twice.
+    """
     lines = read_click_lines(spark, layout, layout.day_glob(as_of))
+    _write_rejects(click_rejects(lines), rejects_path, _run_name(as_of))
     return search_clicks(parse_clicks(lines), destination_subid)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,8 +25,8 @@ from clicktally.operators.conversions import (
     conversion_snapshot,
     conversion_snapshots_by_day,
     conversions_in_window,
+    dimension_sets,
     dimension_values,
-    offer_statistics,
     offer_totals,
     tag_conversions,
 )
@@ -41,6 +41,8 @@ from clicktally.plans import inputs
 from clicktally.plans.jobs import (
     run_click_consolidation,
     run_click_history,
+    run_click_search,
+    run_click_statistics,
     run_conversion_consolidation,
     run_conversion_statistics,
 )
@@ -63,6 +65,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 # A catch-up run: its window opens years before its batch time.
 SINCE = datetime(1995, 6, 1)
 AS_OF = datetime(2001, 6, 30, 12)
+# A window that takes in every order line on either clock.
+FIRST = datetime(1900, 1, 1)
+LAST = datetime(2100, 1, 1)
 # A consolidation run of the second week of the events.
 TODAY = datetime(2024, 1, 8, 10, 35)
 # The first events begin on this day; a consolidation as of it takes in all of them.
@@ -105,8 +110,7 @@ def conversion_offer_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def conversion_dimension_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    statistics = offer_statistics(inputs.conversion_log(spark, sf_dir))
-    return statistics.select("offer_id", *DIMENSIONS)
+    return dimension_sets(inputs.conversion_log(spark, sf_dir))
 
 
 def conversion_dimension_values(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -244,27 +248,67 @@ def click_snapshot_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 def conversion_snapshot_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, CONVERSION_SNAPSHOT.name)
     log = inputs.conversion_log(spark, sf_dir)
-    run_conversion_statistics(log, AS_OF, path, since=SINCE)
-    return read_snapshots(spark, path, CONVERSION_SNAPSHOT)
+    rejects = fresh_path(spark, "rejects")
+    run_conversion_statistics(log, LAST, path, rejects, since=FIRST)
+    stored = read_snapshots(spark, path, CONVERSION_SNAPSHOT)
+    # Snapshots whose list of affiliates is longer than its column.
+    set_aside = spark.read.parquet(f"{rejects}/{CONVERSION_SNAPSHOT.name}").drop("run")
+    return stored.withColumn("reason", F.lit(None).cast("string")).unionByName(set_aside)
 
 
 def key_violation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return key_violations(click_counts_hour(spark, sf_dir), CLICK_DAILY.key)
+    rows = click_counts_hour(spark, sf_dir)
+    spoilt = F.when(F.col("key_type") != "error", F.col("offer_id"))
+    return key_violations(rows.withColumn("offer_id", spoilt), CLICK_DAILY.key)
 
 
 def width_violation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return width_violations(conversion_catch_up(spark, sf_dir), CONVERSION_SNAPSHOT)
+    rows = conversion_snapshot(inputs.conversion_log(spark, sf_dir), LAST, FIRST)
+    # Offers as long as names, so that more than one column is hit.
+    named = F.concat(F.lit("an offer with a long name, no. "), F.col("offerid"))
+    return width_violations(rows.withColumn("offerid", named), CONVERSION_SNAPSHOT)
 
 
-def stream_click_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def click_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The click job at the end of each of the last hours, in the plain folder layout."""
+    layout = inputs.write_click_files(spark, sf_dir, plain=True)
+    path = fresh_path(spark, CLICK_SNAPSHOT.name)
+    _, last = inputs.event_span(spark, sf_dir)
+    for back in range(3):
+        as_of = last.replace(minute=59) - timedelta(hours=back)
+        run_click_statistics(spark, layout, as_of, path, fresh_path(spark, "rejects"))
+    return read_snapshots(spark, path, CLICK_SNAPSHOT)
+
+
+def click_search_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The search job over the last day, in the plain folder layout."""
+    layout = inputs.write_click_files(spark, sf_dir, plain=True)
+    _, last = inputs.event_span(spark, sf_dir)
+    return run_click_search(spark, layout, last, SUBID, fresh_path(spark, "rejects"))
+
+
+def _streamed(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Snapshots and rejects of a stream of all files."""
     layout = inputs.write_click_files(spark, sf_dir)
-    partials, snapshots, progress = (
-        fresh_path(spark, name) for name in ("partials", "snapshots", "progress")
+    partials, snapshots, progress, rejects = (
+        fresh_path(spark, name) for name in ("partials", "snapshots", "progress", "rejects")
     )
-    run_click_stream(spark, layout, partials, snapshots, progress).awaitTermination()
+    run_click_stream(
+        spark, layout, partials, snapshots, progress, rejects_path=rejects
+    ).awaitTermination()
+    return snapshots, rejects
+
+
+def stream_click_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    snapshots, _ = _streamed(spark, sf_dir)
     return read_snapshots(spark, snapshots, CLICK_SNAPSHOT)
 
 
+def stream_click_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, rejects = _streamed(spark, sf_dir)
+    return spark.read.parquet(rejects).select("value", "hour", "reason")
+
+
 QUERIES: dict[str, Query] = {
     "conversion_both_clocks": conversion_both_clocks,
     "conversion_catch_up": conversion_catch_up,
@@ -303,4 +347,7 @@ QUERIES: dict[str, Query] = {
     "key_violations": key_violation,
     "width_violations": width_violation,
     "stream_click_counts": stream_click_counts,
+    "stream_click_rejects": stream_click_rejects,
+    "click_statistics_job": click_job,
+    "click_search_job": click_search_job,
 }

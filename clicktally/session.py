@@ -45,3 +45,13 @@ def shared_folder(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that no other run uses."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete one intermediate table, named by its exact path in the shared folder."""
+    folder, _, name = path.rpartition("/")
+    if folder != shared_folder(spark) or not name:
+        raise ValueError(f"{path} is no intermediate table")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    configuration = spark.sparkContext._jsc.hadoopConfiguration()
+    target.getFileSystem(configuration).delete(target, True)

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator, Sequence
-from itertools import islice
-from typing import Any
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clicktally.operators.checks import require_contract
 from clicktally.schemas import TableContract
-from clicktally.session import fresh_path
+from clicktally.session import delete_path, fresh_path
+
+# Connections that a write opens at most.
+CONNECTIONS = 16
 
 
 def _as_stored(rows: DataFrame, contract: TableContract) -> DataFrame:
@@ -27,78 +29,80 @@ def _as_stored(rows: DataFrame, contract: TableContract) -> DataFrame:
     )
 
 
-def append_rows(
-    rows: DataFrame, url: str, contract: TableContract, properties: dict[str, str]
-) -> None:
-    """Append to a table by JDBC, after checking key and widths.
+@contextmanager
+def _checked(rows: DataFrame, contract: TableContract) -> Iterator[DataFrame]:
+    """Rows that keep the contract of their table, stored so that they are computed once.
 
-    The rows are stored first, so that they are computed once. Tasks commit on their own, so a
-    failed append can leave some rows behind: give a staging table as ``contract.name`` where
-    that matters.
+    The copy is deleted when the block ends.
     """
     spark = rows.sparkSession
     stored = fresh_path(spark, contract.name)
-    rows.select(*contract.columns).write.parquet(stored)
-    rows = spark.read.schema(contract.schema).parquet(stored)
-    require_contract(rows, contract)
-    _as_stored(rows, contract).write.jdbc(
-        url, contract.name, mode="append", properties=properties
-    )
+    try:
+        rows.select(*contract.columns).write.parquet(stored)
+        rows = spark.read.schema(contract.schema).parquet(stored)
+        require_contract(rows, contract)
+        yield _as_stored(rows, contract)
+    finally:
+        delete_path(spark, stored)
 
 
-def upsert_statement(
-    contract: TableContract, changed: Sequence[str], dialect: str, mark: str
-) -> str:
-    """One parameterised insert-or-update; names come from the contract, values are bound."""
-    names = contract.columns
-    insert = (
-        f"INSERT INTO {contract.name} ({', '.join(names)})"
-        f" VALUES ({', '.join([mark] * len(names))})"
-    )
+def append_rows(
+    rows: DataFrame,
+    url: str,
+    contract: TableContract,
+    properties: dict[str, str],
+    connections: int = CONNECTIONS,
+) -> None:
+    """Append to a table by JDBC, after checking keys and widths.
+
+    Tasks commit on their own, so a failed append can leave some rows behind: use
+    :func:`upsert_rows` where that matters.
+    """
+    with _checked(rows, contract) as checked:
+        checked.write.option("numPartitions", connections).jdbc(
+            url, contract.name, mode="append", properties=properties
+        )
+
+
+def staging_table(contract: TableContract) -> str:
+    """The table beside a result table that takes the rows of an upsert first."""
+    return f"{contract.name}_staging"
+
+
+def upsert_statement(contract: TableContract, changed: Sequence[str], dialect: str) -> str:
+    """One insert-or-update from the staging table; all names come from the contract."""
+    names = ", ".join(contract.columns)
+    staged = staging_table(contract)
+    insert = f"INSERT INTO {contract.name} ({names}) SELECT {names} FROM {staged}"
     if dialect == "mysql":
-        updates = ", ".join(f"{name} = VALUES({name})" for name in changed)
+        updates = ", ".join(f"{name} = {staged}.{name}" for name in changed)
         return f"{insert} ON DUPLICATE KEY UPDATE {updates}"
     if dialect == "postgresql":
         updates = ", ".join(f"{name} = excluded.{name}" for name in changed)
-        return f"{insert} ON CONFLICT ({', '.join(contract.key)}) DO UPDATE SET {updates}"
+        conflict = f"ON CONFLICT ({', '.join(contract.key)}) DO UPDATE SET {updates}"
+        # Without a condition the grammar would take the conflict for one of a join.
+        return f"{insert} WHERE true {conflict}"
     raise ValueError(f"unknown dialect {dialect!r}")
 
 
 def upsert_rows(
     rows: DataFrame,
-    connect: Callable[[], Any],
+    url: str,
+    execute: Callable[[str], None],
     contract: TableContract,
     changed: Sequence[str],
+    properties: dict[str, str],
     dialect: str = "mysql",
-    mark: str = "%s",
-    batch_size: int = 1000,
+    connections: int = CONNECTIONS,
 ) -> None:
-    """Insert or update rows from the tasks that hold them, in one transaction per task.
+    """Insert or update rows: by JDBC into a staging table, then from there in one statement.
 
-    ``connect`` opens a DB-API connection on an executor. A row gives the same result when
-    it is sent again, so tasks may be repeated. ``mark`` is the parameter mark of the driver.
+    ``execute`` runs a statement in the database and commits it. The staging table is made anew each
+    time, so a run that died before the statement has changed nothing, and one can be repeated.
     """
-    statement = upsert_statement(contract, changed, dialect, mark)
-
-    def send(part: Iterable[Row]) -> None:
-        batches = _batches(iter(part), batch_size)
-        first = next(batches, None)
-        if first is None:
-            return
-        connection = connect()
-        try:
-            cursor = connection.cursor()
-            cursor.executemany(statement, first)
-            for batch in batches:
-                cursor.executemany(statement, batch)
-            cursor.close()
-            connection.commit()
-        finally:
-            connection.close()
-
-    _as_stored(rows, contract).foreachPartition(send)
-
-
-def _batches(rows: Iterator[Row], size: int) -> Iterator[list[tuple]]:
-    while batch := [tuple(row) for row in islice(rows, size)]:
-        yield batch
+    statement = upsert_statement(contract, changed, dialect)
+    with _checked(rows, contract) as checked:
+        checked.write.option("numPartitions", connections).jdbc(
+            url, staging_table(contract), mode="overwrite", properties=properties
+        )
+    execute(statement)

@@ -1,8 +1,12 @@
 """Result tables as Parquet folders.
 
-Snapshots lie in one folder per day and run, daily rows in one per day. A write replaces the
-folders of its own rows and no others, so a repeated run leaves one copy. Rows are
-rebalanced by folder before a write: a large folder is split over tasks, small ones share one.
+Snapshots lie in one folder per day and minute of their key, whichever job makes them, daily rows in
+one per day. A write replaces the folders it stands for and no others, so a repeated run leaves
+one copy, and none if there is nothing left to count. Rows are rebalanced by folder before a write: a
+large folder is split over tasks, small ones share one.
+
+Days are replaced by way of a staging folder and a journal of what is staged and what is done. A job
+that starts first finishes what is staged and not done, so a run that died leaves nothing to repair.
 """
 
 from __future__ import annotations
@@ -10,11 +14,11 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clicktally.functions import day_key, day_of_key
+from clicktally.functions import as_utc, day_key, day_of_key
 from clicktally.schemas import TableContract
 
 RUN_FOLDERS = ("snapshot_day", "snapshot_run")
@@ -41,10 +45,39 @@ def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def write_snapshots(rows: DataFrame, path: str, run: Column) -> None:
-    """Add the snapshots of a run; in the days written, a run of the same name is replaced."""
-    folders = {"snapshot_day": day_of_key(F.col("key_dt")), "snapshot_run": run}
+def run_of_key(key_dt: Column) -> Column:
+    """The run of a snapshot: the minute of its key, whichever job made it."""
+    return F.translate(F.substring(key_dt, 12, 5), ":", "")
+
+
+def write_run(rows: DataFrame, path: str, as_of: datetime) -> None:
+    """Store the snapshots of one run in its folder; none empty the folder."""
+    day, run = day_key(as_of), as_utc(as_of).strftime("%H%M")
+    rows.write.mode("overwrite").parquet(f"{path}/snapshot_day={day}/snapshot_run={run}")
+
+
+def write_snapshots(
+    rows: DataFrame, path: str, contract: TableContract, covered: Column | None = None
+) -> None:
+    """Store the snapshots of many minutes, each in the folder of its day and minute.
+
+    ``covered`` tells by ``key_dt`` which minutes these rows are the whole of: a folder of such a
+    minute that gets no rows is emptied. Their number is that of the minutes, not of the rows.
+    """
+    spark = rows.sparkSession
+    key = F.col("key_dt")
+    before = []
+    if covered is not None:
+        minutes = read_snapshots(spark, path, contract).filter(covered).select(key).distinct()
+        before = [row.key_dt for row in minutes.collect()]
+    seen = Observation()
+    folders = {"snapshot_day": day_of_key(key), "snapshot_run": run_of_key(key)}
+    if before:
+        rows = rows.observe(seen, F.array_join(F.collect_set(key), ",").alias("minutes"))
     _replace_folders(rows.withColumns(folders), path, RUN_FOLDERS)
+    nothing = spark.createDataFrame([], contract.schema)
+    for minute in set(before) - set(seen.get["minutes"].split(",") if before else []):
+        write_run(nothing, path, datetime.fromisoformat(minute))
 
 
 def read_snapshots(
@@ -82,3 +115,49 @@ def replace_days(spark: SparkSession, staged: str, path: str, contract: TableCon
     this again with the same staged days.
     """
     _replace_folders(_read(spark, staged, contract.schema), path, (DAY_FOLDER,))
+
+
+_JOURNAL = T.StructType(
+    [T.StructField(name, T.StringType()) for name in ("staged", "target", "state")]
+    + [T.StructField("noted", T.TimestampType())]
+)
+
+
+def _note(spark: SparkSession, journal: str, staged: str, target: str, state: str) -> None:
+    row = spark.range(1).select(
+        F.lit(staged).alias("staged"),
+        F.lit(target).alias("target"),
+        F.lit(state).alias("state"),
+        F.current_timestamp().alias("noted"),
+    )
+    row.write.mode("append").parquet(journal)
+
+
+def finish_replacements(
+    spark: SparkSession, staging: str, path: str, contract: TableContract
+) -> None:
+    """Replace the days that an earlier run staged for ``path`` and did not get to replace."""
+    notes = _read(spark, f"{staging}/journal", _JOURNAL)
+    unfinished = (
+        notes.filter(F.col("target") == path)
+        .groupBy("staged")
+        .agg(F.max_by("state", "noted").alias("state"), F.max("noted").alias("noted"))
+        .filter(F.col("state") == "staged")
+        .orderBy("noted")
+    )
+    # One for each run that died since the last that did not.
+    for row in unfinished.collect():
+        replace_days(spark, row.staged, path, contract)
+        _note(spark, f"{staging}/journal", row.staged, path, "done")
+
+
+def stage_and_replace(
+    rows: DataFrame, staging: str, name: str, path: str, contract: TableContract
+) -> None:
+    """Stage complete days under a name, note that, replace them in the table and note that."""
+    spark = rows.sparkSession
+    staged = f"{staging}/{name}"
+    stage_days(rows, staged)
+    _note(spark, f"{staging}/journal", staged, path, "staged")
+    replace_days(spark, staged, path, contract)
+    _note(spark, f"{staging}/journal", staged, path, "done")

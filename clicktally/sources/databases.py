@@ -15,10 +15,11 @@ from clicktally.functions import as_utc, day_key, day_start
 from clicktally.schemas import CONVERSION_LOG, TableContract
 
 
-def snapshot_predicates(as_of: datetime) -> list[str]:
-    """One slice per hour of the day of ``as_of``; the last has no upper end."""
+def snapshot_predicates(as_of: datetime, slices: int = 24) -> list[str]:
+    """Slices of the day of ``as_of`` by minutes of equal number; the last has no upper end."""
     day = day_key(as_of)
-    bounds = [day] + [f"{day} {hour:02d}" for hour in range(1, 24)]
+    minutes = [24 * 60 * i // slices for i in range(1, slices)]
+    bounds = [day] + [f"{day} {minute // 60:02d}:{minute % 60:02d}" for minute in minutes]
     slices = [
         f"key_dt >= '{low}' AND key_dt < '{high}'" for low, high in zip(bounds, bounds[1:])
     ]
@@ -31,10 +32,14 @@ def read_snapshot_table(
     contract: TableContract,
     as_of: datetime,
     properties: dict[str, str],
+    slices: int = 24,
 ) -> DataFrame:
     """Snapshots of a table since the start of the day of ``as_of``."""
     rows = spark.read.jdbc(
-        url, contract.name, predicates=snapshot_predicates(as_of), properties=properties
+        url,
+        contract.name,
+        predicates=snapshot_predicates(as_of, slices),
+        properties=properties,
     )
     return rows.select(*contract.columns)
 

@@ -1,34 +1,48 @@
 """Click counts kept up to date from a stream of click files.
 
-Every file is read once. A micro-batch stores partial counts in one folder per day and
-batch, and then makes the snapshots of the hours it touched from all partial counts of
-those hours. The counts so far therefore live in a table that is pruned by day and hour, not
-in a state store that would have to forget late hours, and a late file is counted in its own
-hour. Both writes replace their own folders, so a repeated micro-batch changes nothing.
+Every file is read once. A micro-batch stores partial counts in folders by day, hour, stream and
+batch, and then makes the snapshots of the hours it touched from all partial counts of those
+hours. The counts so far therefore live in a table that is pruned by day and hour, not in a state
+store that would have to forget late hours, and a late file is counted in its own hour. All writes
+replace their own folders, so a repeated micro-batch changes nothing.
+
+The partial counts belong to one checkpoint, whose id is part of their folders. A stream does not
+start over partial counts of another checkpoint, which would count files twice.
 """
 
 from __future__ import annotations
 
+from concurrent.futures import Future
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clicktally.operators.clicks import (
     as_click_snapshot,
+    click_rejects,
     hour_end_key,
     merge_counts,
     parse_clicks,
     partial_counts,
 )
+from clicktally.schemas import CLICK_SNAPSHOT
 from clicktally.sinks import write_snapshots
 from clicktally.sources import ClickLayout
 
+PARTIAL_FOLDERS = ("day", "hour_of_day", "writer", "batch")
 PARTIALS_SCHEMA = (
     "hour string, offer_id string, offer_advertiser_id string, clicks long,"
-    " lowest_type string, lowest_subid string, day string, batch long"
+    " lowest_type string, lowest_subid string,"
+    " day string, hour_of_day string, writer string, batch long"
 )
 
 
+class ForeignPartials(ValueError):
+    """The partial counts belong to another checkpoint."""
+
+
 def _day(hour: Column) -> Column:
     return F.translate(F.substring(hour, 1, 10), "/", "-")
 
@@ -36,7 +50,7 @@ def _day(hour: Column) -> Column:
 def click_line_stream(
     spark: SparkSession, layout: ClickLayout, files_per_batch: int
 ) -> DataFrame:
-    """New lines of the stream that holds the clicks of their day, with their hour."""
+    """New lines with their hour, and whether their file lies in the stream of its day."""
     anywhere = layout.hour_folder.format(stream="*")
     for part in ("%Y", "%m", "%d", "%H"):
         anywhere = anywhere.replace(part, "*")
@@ -46,11 +60,69 @@ def click_line_stream(
     return (
         spark.readStream.option("maxFilesPerTrigger", files_per_batch)
         .text(f"{layout.root}/{anywhere}/*.gz")
-        .filter(layout.stream_of_path(path) == stream)
-        .select("value", hour.alias("hour"))
+        .select(
+            "value",
+            hour.alias("hour"),
+            F.coalesce(layout.stream_of_path(path) == stream, F.lit(False)).alias("in_place"),
+        )
+    )
+
+
+def stream_rejects(lines: DataFrame) -> DataFrame:
+    """Lines in files of the wrong stream, and lines in the right one that are not complete."""
+    misplaced = lines.filter(~F.col("in_place")).withColumn("reason", F.lit("wrong stream"))
+    broken = click_rejects(lines.filter("in_place"))
+    return misplaced.unionByName(broken).select("value", "hour", "reason")
+
+
+def _read_partials(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.schema(PARTIALS_SCHEMA).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def _checkpoint_id(spark: SparkSession, checkpoint: str) -> str | None:
+    """The id of the query that a checkpoint belongs to, if it has begun."""
+    try:
+        return spark.read.schema("id string").json(f"{checkpoint}/metadata").first().id
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def _require_own_partials(spark: SparkSession, partials_path: str, checkpoint: str) -> None:
+    partials = _read_partials(spark, partials_path)
+    if partials is None:
+        return
+    own = _checkpoint_id(spark, checkpoint)
+    foreign = partials.filter(~F.col("writer").eqNullSafe(F.lit(own))).select("writer").take(1)
+    if foreign:
+        raise ForeignPartials(
+            f"{partials_path} holds counts of {foreign[0].writer}, {checkpoint} is that of {own}"
+        )
+
+
+def _write_partials(rows: DataFrame, path: str) -> None:
+    (
+        rows.hint("rebalance", *PARTIAL_FOLDERS)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*PARTIAL_FOLDERS)
+        .parquet(path)
     )
 
 
+def hours_of_batch(partials: DataFrame, writer: str, batch: int) -> DataFrame:
+    """All partial counts of the hours that a batch touched, found by a join on their folders."""
+    hours = ["day", "hour_of_day"]
+    own = partials.filter((F.col("writer") == writer) & (F.col("batch") == batch))
+    return partials.join(own.select(*hours).distinct(), hours, "left_semi")
+
+
 def run_click_stream(
     spark: SparkSession,
     layout: ClickLayout,
@@ -58,38 +130,40 @@ def run_click_stream(
     snapshots_path: str,
     checkpoint: str,
     files_per_batch: int = 10_000,
+    rejects_path: str | None = None,
 ) -> StreamingQuery:
     """Count all files that have arrived since the last run, then stop.
 
-    A snapshot carries the last minute of its hour as key and is replaced as the hour grows.
+    A snapshot carries the last minute of its hour as key and is replaced as the hour grows. With a
+    path for rejects the files of a batch are read twice.
     """
+    _require_own_partials(spark, partials_path, checkpoint)
+    started: Future[str] = Future()
 
     def store(lines: DataFrame, batch: int) -> None:
         session = lines.sparkSession
-        counts = partial_counts(parse_clicks(lines), "hour")
-        (
-            counts.withColumns({"day": _day(F.col("hour")), "batch": F.lit(batch)})
-            .hint("rebalance", "day")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("day", "batch")
-            .parquet(partials_path)
-        )
-        partials = session.read.schema(PARTIALS_SCHEMA).parquet(partials_path)
-        # At most one hour per file of the batch.
-        new = partials.filter(F.col("batch") == batch).select("day", "hour").distinct()
-        touched = new.collect()
-        hours = partials.filter(F.col("day").isin(list({row.day for row in touched}))).filter(
-            F.col("hour").isin([row.hour for row in touched])
-        )
-        snapshot = as_click_snapshot(merge_counts(hours, "hour"), hour_end_key(F.col("hour")))
-        run = F.substring("key_dt", 12, 2)
-        write_snapshots(snapshot, snapshots_path, run)
+        writer = started.result()
+        own = {"writer": F.lit(writer), "batch": F.lit(batch)}
+        in_place = lines.filter("in_place").drop("in_place")
+        counts = partial_counts(parse_clicks(in_place), "hour")
+        folders = {"day": _day(F.col("hour")), "hour_of_day": F.substring("hour", 12, 2)}
+        _write_partials(counts.withColumns({**folders, **own}), partials_path)
+        if rejects_path is not None:
+            folder = f"{rejects_path}/writer={writer}/batch={batch}"
+            stream_rejects(lines).write.mode("overwrite").parquet(folder)
+        partials = _read_partials(session, partials_path)
+        if partials is None:
+            return
+        merged = merge_counts(hours_of_batch(partials, writer, batch), "hour")
+        snapshot = as_click_snapshot(merged, hour_end_key(F.col("hour")))
+        write_snapshots(snapshot, snapshots_path, CLICK_SNAPSHOT)
 
-    return (
+    query = (
         click_line_stream(spark, layout, files_per_batch)
         .writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+    started.set_result(query.id)
+    return query

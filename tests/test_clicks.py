@@ -58,7 +58,9 @@ def test_counts_per_offer_and_advertiser(spark):
 
 def test_offer_with_two_advertisers_breaks_the_narrow_key_only(spark):
     counts = click_counts(parse_clicks(lines_of(spark, LINES)), AS_OF)
-    assert rows(key_violations(counts, CLICK_DAILY.key)) == [("2024-01-05 10:35", "C", "off1", 2)]
+    assert rows(key_violations(counts, CLICK_DAILY.key)) == [
+        ("2024-01-05 10:35", "C", "off1", 2, "repeated key")
+    ]
     assert rows(key_violations(counts, CLICK_SNAPSHOT.key)) == []
 
 

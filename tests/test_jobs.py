@@ -3,8 +3,17 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from clicktally.operators.checks import ContractViolation, require_contract, width_violations
+from clicktally.operators.checks import (
+    ContractViolation,
+    key_violations,
+    require_contract,
+    width_violations,
+)
+from clicktally.operators.conversions import conversion_snapshots_by_day
+from clicktally.operators.upsert import upsert
 from clicktally.plans.jobs import (
+    append_click_statistics,
+    append_conversion_statistics,
     run_click_consolidation,
     run_click_history,
     run_click_search,
@@ -12,6 +21,7 @@ from clicktally.plans.jobs import (
     run_conversion_consolidation,
     run_conversion_history,
     run_conversion_statistics,
+    upsert_click_days,
 )
 from clicktally.schemas import (
     CLICK_DAILY,
@@ -20,19 +30,19 @@ from clicktally.schemas import (
     CONVERSION_DAILY,
     CONVERSION_SNAPSHOT,
 )
-from clicktally.session import fresh_path, shared_folder
+from clicktally.session import delete_path, fresh_path, shared_folder
 from clicktally.sinks import (
     append_rows,
     read_daily,
     read_snapshots,
     replace_days,
     stage_days,
-    upsert_rows,
     upsert_statement,
     write_snapshots,
 )
 from clicktally.sources import ClickLayout
-from clicktally.streaming import run_click_stream
+from clicktally.streaming import click_stream, run_click_stream
+from clicktally.streaming.click_stream import ForeignPartials
 from tests.test_clicks import COUNTS, LINES, line, put
 from tests.test_conversions import GOLDEN, log_of
 
@@ -51,7 +61,7 @@ def test_click_statistics_and_rejects(spark, tmp_path):
     for _ in range(2):
         assert run_click_statistics(spark, layout, AS_OF, out, rejects) == 1
         assert rows(read_snapshots(spark, out, CLICK_SNAPSHOT)) == COUNTS
-    assert [row.value for row in spark.read.parquet(rejects).collect()] == ["C\tx"]
+    assert [row.value for row in spark.read.parquet(f"{rejects}/lines").collect()] == ["C\tx"]
 
     put(tmp_path / "in", HOUR, "b.gz", LINES[:1])
     later = datetime(2024, 1, 5, 10, 40)
@@ -77,7 +87,7 @@ def test_an_hour_without_rejects_writes_none(spark, tmp_path):
     run_click_statistics(
         spark, ClickLayout(str(tmp_path / "in")), AS_OF, str(tmp_path / "out"), str(rejects)
     )
-    assert not rejects.exists()
+    assert spark.read.parquet(f"{rejects}/lines").count() == 0
 
 
 def test_history_equals_the_last_runs_of_hours_and_days(spark, tmp_path):
@@ -169,7 +179,8 @@ def test_spoilt_snapshots_are_kept_apart(spark, tmp_path):
         str(tmp_path / "staging"),
         rejects,
     )
-    assert [row.reason for row in spark.read.parquet(rejects).collect()] == ["no offer"]
+    found = spark.read.parquet(f"{rejects}/snapshots").collect()
+    assert [row.reason for row in found] == ["no offer"]
 
 
 def test_contract_of_keys_and_widths(spark):
@@ -193,65 +204,66 @@ def test_nothing_is_appended_that_breaks_the_contract(spark):
 
 def test_upsert_statements():
     names = "key_dt, key_type, offer_id, offer_advertiser_id, destination_subid, count_of_clicks"
-    assert upsert_statement(CLICK_DAILY, CLICK_UPDATES, "mysql", "%s") == (
-        f"INSERT INTO v2_s3_consolidate_stats ({names}) VALUES (%s, %s, %s, %s, %s, %s)"
-        " ON DUPLICATE KEY UPDATE count_of_clicks = VALUES(count_of_clicks)"
+    staged = "v2_s3_consolidate_stats_staging"
+    start = f"INSERT INTO v2_s3_consolidate_stats ({names}) SELECT {names} FROM {staged}"
+    assert upsert_statement(CLICK_DAILY, CLICK_UPDATES, "mysql") == (
+        f"{start} ON DUPLICATE KEY UPDATE count_of_clicks = {staged}.count_of_clicks"
     )
-    assert upsert_statement(CLICK_DAILY, CLICK_UPDATES, "postgresql", "%s").endswith(
-        " ON CONFLICT (key_dt, key_type, offer_id)"
+    assert upsert_statement(CLICK_DAILY, CLICK_UPDATES, "postgresql") == (
+        f"{start} WHERE true ON CONFLICT (key_dt, key_type, offer_id)"
         " DO UPDATE SET count_of_clicks = excluded.count_of_clicks"
     )
+    with pytest.raises(ValueError):
+        upsert_statement(CLICK_DAILY, CLICK_UPDATES, "other")
 
 
-def test_upsert_rows_binds_values_and_commits_per_task(spark, tmp_path):
-    folder = str(tmp_path)
-
-    def connect():
-        import json
-        import uuid
-
-        class Recorder:
-            """Stands for a database: keeps what is executed, writes it on commit."""
-
-            def __init__(self):
-                self.calls = []
+class Recorder:
+    """Stands for the writer of a DataFrame to a database."""
 
-            def cursor(self):
-                return self
+    def __init__(self, monkeypatch):
+        self.calls = []
+        from pyspark.sql import DataFrameWriter
 
-            def executemany(self, statement, values):
-                self.calls.append([statement, values])
+        def jdbc(writer, url, table, mode=None, properties=None):
+            rows = sorted(map(tuple, writer._df.collect()), key=repr)
+            self.calls.append((url, table, mode, properties, rows))
 
-            def commit(self):
-                with open(f"{folder}/{uuid.uuid4().hex}.json", "w") as file:
-                    json.dump(self.calls, file)
+        monkeypatch.setattr(DataFrameWriter, "jdbc", jdbc)
 
-            def close(self):
-                pass
+    def execute(self, statement):
+        self.calls.append(statement)
 
-        return Recorder()
 
-    frame = spark.range(25).select(
-        F.lit("2024-01-05").alias("key_dt"),
-        F.lit("C'); --").alias("key_type"),
-        F.col("id").cast("string").alias("offer_id"),
-        F.lit("a").alias("offer_advertiser_id"),
-        F.lit(None).cast("string").alias("destination_subid"),
-        F.col("id").alias("count_of_clicks"),
+def test_upsert_stages_rows_and_sends_one_statement(spark, monkeypatch):
+    database = Recorder(monkeypatch)
+    today = [
+        ("2024-01-05 10:00", "C", "o1", "a", "s", 5),
+        ("2024-01-05 11:00", "C", "o1", "a", "s", 7),
+    ]
+    upsert_click_days(
+        snapshot(spark, *today), AS_OF, "jdbc:x", database.execute, {"user": "u"}, "postgresql"
     )
-    upsert_rows(
-        frame.repartition(4), connect, CLICK_DAILY, CLICK_UPDATES, batch_size=3
+    staged, statement = database.calls
+    assert staged == (
+        "jdbc:x",
+        "v2_s3_consolidate_stats_staging",
+        "overwrite",
+        {"user": "u"},
+        [("2024-01-05", "C", "o1", "a", "s", 7)],
     )
-    import json
+    assert statement == upsert_statement(CLICK_DAILY, CLICK_UPDATES, "postgresql")
 
-    sent = [json.loads(path.read_text()) for path in tmp_path.iterdir()]
-    assert len(sent) <= 4
-    calls = [call for commit in sent for call in commit]
-    assert {statement for statement, _ in calls} == {
-        upsert_statement(CLICK_DAILY, CLICK_UPDATES, "mysql", "%s")
-    }
-    assert max(len(values) for _, values in calls) == 3
-    assert sorted(value[5] for _, values in calls for value in values) == list(range(25))
+
+def test_jobs_append_to_a_database(spark, tmp_path, monkeypatch):
+    database = Recorder(monkeypatch)
+    put(tmp_path, HOUR, "a.gz", LINES)
+    append_click_statistics(spark, ClickLayout(str(tmp_path)), AS_OF, "jdbc:x", {})
+    append_conversion_statistics(
+        log_of(spark, GOLDEN), datetime(2024, 1, 5, 12), "jdbc:x", {}
+    )
+    clicks, conversions = database.calls
+    assert clicks[:3] == ("jdbc:x", "v2_s3_stats", "append") and clicks[4] == COUNTS
+    assert conversions[1] == "v2_agg_stats" and len(conversions[4]) == 2
 
 
 def test_stream_counts_every_file_once(spark, tmp_path):
@@ -309,6 +321,197 @@ def test_a_repeated_run_replaces_its_own_snapshots_only(spark, tmp_path):
     path = str(tmp_path)
     first = snapshot(spark, ("2024-01-05 10:00", "C", "o1", "a", "s", 5))
     second = snapshot(spark, ("2024-01-05 10:05", "C", "o1", "a", "s", 6))
-    for frame, run in ((first, "1000"), (second, "1005"), (first, "1000")):
-        write_snapshots(frame, path, F.lit(run))
+    for frame in (first, second, first):
+        write_snapshots(frame, path, CLICK_SNAPSHOT)
     assert [row[-1] for row in rows(read_snapshots(spark, path, CLICK_SNAPSHOT))] == [5, 6]
+
+
+def test_two_histories_of_one_day_leave_each_other_alone(spark, tmp_path):
+    root, path = tmp_path / "in", str(tmp_path / "out")
+    layout = ClickLayout(str(root))
+    for hour in (10, 11, 13):
+        put(root, f"offer-stream-even/2024/01/05/{hour}", "a.gz", [LINES[1]])
+    run_click_history(spark, layout, datetime(2024, 1, 5, 10), datetime(2024, 1, 5, 11), path)
+    run_click_history(spark, layout, datetime(2024, 1, 5, 13), datetime(2024, 1, 5, 13), path)
+    found = [row[0] for row in rows(read_snapshots(spark, path, CLICK_SNAPSHOT))]
+    assert found == [f"2024-01-05 {hour}:59" for hour in (10, 11, 13)]
+
+
+def test_a_repeat_without_rows_empties_its_own_folder(spark, tmp_path):
+    root, path = tmp_path / "in", str(tmp_path / "out")
+    layout = ClickLayout(str(root))
+    for hour in (10, 11):
+        put(root, f"offer-stream-even/2024/01/05/{hour}", "a.gz", [LINES[1]])
+    first, last = datetime(2024, 1, 5, 10), datetime(2024, 1, 5, 11, 59)
+    run_click_history(spark, layout, first, last, path)
+    run_click_statistics(spark, layout, AS_OF, path)
+    assert read_snapshots(spark, path, CLICK_SNAPSHOT).count() == 3
+    put(root, HOUR, "a.gz", [line("C", "s", "", "")])
+    run_click_statistics(spark, layout, AS_OF, path)
+    run_click_history(spark, layout, first, last, path)
+    found = [row[0] for row in rows(read_snapshots(spark, path, CLICK_SNAPSHOT))]
+    assert found == ["2024-01-05 11:59"]
+
+
+def test_stream_history_and_run_of_one_minute_store_one_snapshot(spark, tmp_path):
+    root, path = tmp_path / "in", str(tmp_path / "out")
+    layout = ClickLayout(str(root))
+    put(root, HOUR, "a.gz", LINES)
+    end = datetime(2024, 1, 5, 10, 59)
+    run_click_history(spark, layout, end, end, path)
+    run_click_stream(
+        spark, layout, str(tmp_path / "p"), path, str(tmp_path / "c")
+    ).awaitTermination()
+    run_click_statistics(spark, layout, end, path)
+    stored = read_snapshots(spark, path, CLICK_SNAPSHOT)
+    assert rows(stored) == [("2024-01-05 10:59", *row[1:]) for row in COUNTS]
+    require_contract(stored, CLICK_SNAPSHOT)
+
+
+def test_null_types_are_set_aside_and_null_keys_match(spark, tmp_path):
+    daily, staging = str(tmp_path / "daily"), str(tmp_path / "staging")
+    spoilt = snapshot(
+        spark,
+        ("2024-01-05 10:00", None, "o1", "a", "s", 5),
+        ("2024-01-05 10:00", "C", "o2", "a", "s", 6),
+    )
+    for _ in range(2):
+        run_click_consolidation(spoilt, AS_OF, daily, staging, str(tmp_path / "rejects"))
+        assert rows(read_daily(spark, daily, CLICK_DAILY)) == [
+            ("2024-01-05", "C", "o2", "a", "s", 6)
+        ]
+    held = spark.createDataFrame([("d", None, "o", "a", "s", 1)], CLICK_DAILY.schema)
+    new = spark.createDataFrame([("d", None, "o", "a", "s", 2)], CLICK_DAILY.schema)
+    assert rows(upsert(held, new, CLICK_DAILY.key, CLICK_UPDATES)) == [
+        ("d", None, "o", "a", "s", 2)
+    ]
+    reasons = [row.reason for row in key_violations(held, CLICK_DAILY.key).collect()]
+    assert reasons == ["null in key"]
+
+
+def test_the_next_run_finishes_a_replacement_that_died(spark, tmp_path, monkeypatch):
+    from clicktally.sinks import tables
+
+    daily, staging = str(tmp_path / "daily"), str(tmp_path / "staging")
+    early = snapshot(spark, ("2024-01-05 09:00", "C", "o1", "a", "s", 5))
+    run_click_consolidation(early, AS_OF, daily, staging)
+    replace = tables._replace_folders
+
+    def die(frame, path, folders):
+        import shutil
+
+        shutil.rmtree(f"{path}/key_dt=2024-01-05")
+        raise RuntimeError("died between delete and move")
+
+    monkeypatch.setattr(tables, "_replace_folders", die)
+    middle = snapshot(spark, ("2024-01-05 10:00", "C", "o2", "a", "s", 6))
+    with pytest.raises(RuntimeError):
+        run_click_consolidation(middle, datetime(2024, 1, 5, 10, 36), daily, staging)
+    monkeypatch.setattr(tables, "_replace_folders", replace)
+    late = snapshot(spark, ("2024-01-05 11:00", "C", "o3", "a", "s", 7))
+    run_click_consolidation(late, datetime(2024, 1, 5, 11, 35), daily, staging)
+    assert [row[2] for row in rows(read_daily(spark, daily, CLICK_DAILY))] == ["o1", "o2", "o3"]
+
+
+def test_a_stream_refuses_partials_of_another_checkpoint(spark, tmp_path):
+    root = tmp_path / "in"
+    layout = ClickLayout(str(root))
+    put(root, HOUR, "a.gz", LINES)
+    partials, snapshots = str(tmp_path / "p"), str(tmp_path / "s")
+    for _ in range(2):
+        run_click_stream(
+            spark, layout, partials, snapshots, str(tmp_path / "c1")
+        ).awaitTermination()
+    with pytest.raises(ForeignPartials):
+        run_click_stream(spark, layout, partials, snapshots, str(tmp_path / "c2"))
+
+
+def test_stream_rejects_broken_lines_and_files_in_the_wrong_stream(spark, tmp_path):
+    root, rejects = tmp_path / "in", str(tmp_path / "rejects")
+    layout = ClickLayout(str(root))
+    put(root, HOUR, "a.gz", LINES)
+    put(root, HOUR.replace("even", "odd"), "b.gz", LINES[:1])
+    paths = [str(tmp_path / name) for name in ("p", "s", "c")]
+    run_click_stream(spark, layout, *paths, rejects_path=rejects).awaitTermination()
+    found = spark.read.parquet(rejects).groupBy("reason").count().collect()
+    assert {row.reason: row["count"] for row in found} == {
+        "fewer than 7 tokens": 1,
+        "wrong stream": 1,
+    }
+
+
+def test_only_hours_that_a_batch_touched_are_read(spark, tmp_path):
+    schema = click_stream.PARTIALS_SCHEMA
+    held = [
+        ("2024/01/05/10", "o", "a", 1, "C", "s", "2024-01-05", "10", "w", 0),
+        ("2024/01/05/11", "o", "a", 1, "C", "s", "2024-01-05", "11", "w", 0),
+        ("2024/01/05/10", "o", "a", 2, "C", "s", "2024-01-05", "10", "w", 1),
+    ]
+    path = str(tmp_path / "partials")
+    click_stream._write_partials(spark.createDataFrame(held, schema), path)
+    found = click_stream.hours_of_batch(spark.read.schema(schema).parquet(path), "w", 1)
+    assert sorted(row.clicks for row in found.collect()) == [1, 2]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Semi" in plan
+
+
+def test_search_and_history_keep_their_rejects(spark, tmp_path):
+    root, rejects = tmp_path / "in", str(tmp_path / "rejects")
+    layout = ClickLayout(str(root))
+    put(root, HOUR, "a.gz", LINES)
+    run_click_search(spark, layout, AS_OF, "s2", f"{rejects}/search")
+    run_click_history(spark, layout, AS_OF, AS_OF, str(tmp_path / "out"), f"{rejects}/history")
+    for path in (f"{rejects}/search", f"{rejects}/history/lines"):
+        assert [row.value for row in spark.read.parquet(path).collect()] == ["C\tx"]
+
+
+def test_rows_that_break_the_contract_end_a_run_or_are_set_aside(spark, tmp_path):
+    root, path, rejects = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "rejects")
+    layout = ClickLayout(str(root))
+    put(root, HOUR, "a.gz", [line("C", "s", "adv", "o" * 31), line("C", "s", "adv", "o1")])
+    with pytest.raises(ContractViolation):
+        run_click_statistics(spark, layout, AS_OF, path)
+    run_click_statistics(spark, layout, AS_OF, path, rejects)
+    assert [row[2] for row in rows(read_snapshots(spark, path, CLICK_SNAPSHOT))] == ["o1"]
+    found = spark.read.parquet(f"{rejects}/v2_s3_stats").collect()
+    assert [row.reason for row in found] == ["too long: offer_id"]
+
+
+def test_values_of_dimensions_are_stored_as_rows(spark, tmp_path):
+    values = str(tmp_path / "values")
+    as_of = datetime(2024, 1, 5, 12)
+    run_conversion_statistics(log_of(spark, GOLDEN), as_of, str(tmp_path / "s"), values_path=values)
+    found = spark.read.parquet(values)
+    stored = read_snapshots(spark, str(tmp_path / "s"), CONVERSION_SNAPSHOT).collect()
+    for row in stored:
+        for name in ("affiliates", "geo", "zones"):
+            wanted = found.filter((F.col("key_type") == row.key_type) & (F.col("dimension") == name))
+            listed = {r.value for r in wanted.filter(F.col("offer_id") == row.offerid).collect()}
+            assert listed == set(filter(None, row[name].split("#")))
+
+
+def test_days_are_those_of_utc_in_any_time_zone(spark):
+    log = log_of(spark, GOLDEN).selectExpr(
+        "* except (conversion_time, redshift_time)",
+        "cast(conversion_time as timestamp) as conversion_time",
+        "cast(redshift_time as timestamp) as redshift_time",
+    )
+    wanted = rows(conversion_snapshots_by_day(log))
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert rows(conversion_snapshots_by_day(log)) == wanted
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_intermediate_tables_are_deleted_and_nothing_else_is(spark, tmp_path):
+    import pathlib
+
+    folder = pathlib.Path(shared_folder(spark))
+    before = set(folder.iterdir())
+    put(tmp_path / "in", HOUR, "a.gz", LINES)
+    run_click_statistics(spark, ClickLayout(str(tmp_path / "in")), AS_OF, str(tmp_path / "out"))
+    assert set(folder.iterdir()) == before
+    for path in (str(tmp_path), shared_folder(spark), f"{shared_folder(spark)}/"):
+        with pytest.raises(ValueError):
+            delete_path(spark, path)

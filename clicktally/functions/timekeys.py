@@ -12,8 +12,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Fixed format of the text keys.
+# Fixed formats of the text keys: of a minute for Spark and for Python, and of a day.
 MINUTE_FORMAT = "yyyy-MM-dd HH:mm"
+MINUTE_KEY = "%Y-%m-%d %H:%M"
+DAY_KEY = "%Y-%m-%d"
 
 
 def as_utc(as_of: datetime) -> datetime:
@@ -28,11 +30,11 @@ def day_start(as_of: datetime) -> datetime:
 
 
 def day_key(as_of: datetime) -> str:
-    return as_utc(as_of).strftime("%Y-%m-%d")
+    return as_utc(as_of).strftime(DAY_KEY)
 
 
 def minute_key(as_of: datetime) -> str:
-    return as_utc(as_of).strftime("%Y-%m-%d %H:%M")
+    return as_utc(as_of).strftime(MINUTE_KEY)
 
 
 def time_literal(moment: datetime, data_type: T.DataType) -> Column:

@@ -199,10 +199,11 @@ def _consolidate(
     staging = f"{staging_path}/{contract.name}"
     finish_replacements(spark, staging, target_path, contract)
     target = read_daily(spark, target_path, contract, as_of)
-    merged = upsert(target, latest, contract.key, changed)
     run = _run_name(as_of)
-    with _fitting(merged, contract, rejects_path, run) as rows:
-        stage_and_replace(rows, staging, run, target_path, contract)
+    # The days in the table keep the contract already, so only what is new is checked.
+    with _fitting(latest, contract, rejects_path, run) as rows:
+        merged = upsert(target, rows, contract.key, changed)
+        stage_and_replace(merged, staging, run, target_path, contract)
     if rejects_path is not None:
         _write_rejects(snapshot_rejects(snapshots, offer), f"{rejects_path}/snapshots", run)
 

@@ -28,6 +28,7 @@ class ClickLayout:
     """
 
     root: str
+    # The names of the streams and of the folders of an hour.
     odd_day_stream: str = "offer-stream-even"
     even_day_stream: str = "offer-stream-odd"
     hour_folder: str = "{stream}/%Y/%m/%d/%H"

@@ -198,7 +198,8 @@ def _best_test(rows: Sequence[dict], names: Sequence[str], cuts: int) -> tuple[f
         for place, (value, is_bad) in enumerate(ordered[:-1], 1):
             bad_below += is_bad
             following = ordered[place][0]
-            if value == following or (place % step and place > 3 * step and place < len(rows) - 3 * step):
+            inner = 3 * step < place < len(rows) - 3 * step
+            if value == following or (inner and place % step):
                 continue
             threshold = (value + following) / 2
             for above, hits, size in (

@@ -192,7 +192,9 @@ def written(spans: Column) -> Column:
     return F.array_join(
         F.transform(
             spans,
-            lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string")),
+            lambda s: F.concat_ws(
+                ":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string")
+            ),
         ),
         ",",
     )

@@ -166,9 +166,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, scale: int = 256) -> Dat
         arrays = [ids[query], hashes[query], lists.ids[place], score.astype(np.int64)]
         return pa.Table.from_arrays([pa.array(values) for values in arrays], names)
 
-    found = (
-        left.groupBy("row", "column").cogroup(right.groupBy("row", "column")).applyInArrow(search, FOUND)
-    )
+    cells = left.groupBy("row", "column").cogroup(right.groupBy("row", "column"))
+    found = cells.applyInArrow(search, FOUND)
     best = Window.partitionBy("query_id", "query_hash").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -4,11 +4,12 @@ The labels only tell toxic from not, so the grades are made from them: 0 for the
 ones 1 to 3 by how dense the features are that tell the toxic apart in the sample, cut at the terciles.
 The model has one weight for each feature, shared by all grades, and one threshold for each grade:
 ``P(grade >= g) = sigmoid(weights . x - threshold[g])``. The expected severity is the sum of these
-probabilities. A feature is ``log(1 + occurrences among 100 words)`` of a word or of a beginning of words,
-which catches what is inflected.
+probabilities. A feature is ``log(1 + occurrences among 100 words)`` of a word or of a beginning of
+words, which catches what is inflected.
 
-The features come from a chi-squared test on a sample of labelled documents, counted by Spark; the model is
-fitted on the driver to the features of the same sample, both of a size that a parameter bounds.
+The features come from a chi-squared test on a sample of labelled documents, counted by Spark; the
+model is fitted on the driver to the features of the same sample, both of a size that a parameter
+bounds.
 """
 
 from __future__ import annotations
@@ -175,8 +176,9 @@ def fit_toxicity(
     """The model of at most ``sample`` labelled documents and ``most_features`` features.
 
     Of documents that share their smallest hash of three words, as copies do, one teaches, so that the
-    label of a much copied text counts once. Labels without id or verdict are left out, of several for one id the highest counts. Without
-    toxic and other documents the model has no features and gives the rate of the labels.
+    label of a much copied text counts once. Labels without id or verdict are left out, of several
+    for one id the highest counts. Without toxic and other documents the model has no features and
+    gives the rate of the labels.
     """
     chosen = (
         labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())

@@ -47,11 +47,11 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def delete_path(spark: SparkSession, path: str) -> None:
-    """Delete one intermediate table, named by its exact path in the shared folder."""
-    folder, _, name = path.rpartition("/")
-    if folder != shared_folder(spark) or not name:
-        raise ValueError(f"{path} is no intermediate table")
+def delete_path(spark: SparkSession, path: str, folder: str | None = None) -> None:
+    """Delete one table by its exact path, which lies right in ``folder``, the shared one by default."""
+    parent, _, name = path.rpartition("/")
+    if parent != (folder or shared_folder(spark)) or not name:
+        raise ValueError(f"{path} is no table in the folder")
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     configuration = spark.sparkContext._jsc.hadoopConfiguration()
     target.getFileSystem(configuration).delete(target, True)

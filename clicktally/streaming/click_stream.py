@@ -1,13 +1,15 @@
 """Click counts kept up to date from a stream of click files.
 
-Every file is read once. A micro-batch stores partial counts in folders by day, hour, stream and
-batch, and then makes the snapshots of the hours it touched from all partial counts of those
-hours. The counts so far therefore live in a table that is pruned by day and hour, not in a state
-store that would have to forget late hours, and a late file is counted in its own hour. All writes
-replace their own folders, so a repeated micro-batch changes nothing.
-
-The partial counts belong to one checkpoint, whose id is part of their folders. A stream does not
-start over partial counts of another checkpoint, which would count files twice.
+Every file is read once. A micro-batch counts its lines, adds them to the counts so far of the hours
+it touched, and stores these as the counts so far up to this batch, in folders by day, hour, checkpoint
+and batch. The snapshots of the hours are made from that. The counts therefore live in a table that is
+pruned by folder, not in a state store that would have to forget late hours, and a late file is counted
+in its own hour. A batch reads one folder for each hour it touches, whatever came before.
+
+A repeated batch starts from the counts before it, which are kept until a later batch of the hour is
+stored, and replaces its own folders, so it changes nothing. The counts belong to one checkpoint, whose
+id is part of their folders: a stream does not start over counts of another one, which would count
+files twice.
 """
 
 from __future__ import annotations
@@ -28,19 +30,20 @@ from clicktally.operators.clicks import (
     partial_counts,
 )
 from clicktally.schemas import CLICK_SNAPSHOT
+from clicktally.session import delete_path, fresh_path
 from clicktally.sinks import write_snapshots
 from clicktally.sources import ClickLayout
 
-PARTIAL_FOLDERS = ("day", "hour_of_day", "writer", "batch")
-PARTIALS_SCHEMA = (
+COUNT_FOLDERS = ("day", "hour_of_day", "writer", "batch")
+COUNTS_SCHEMA = (
     "hour string, offer_id string, offer_advertiser_id string, clicks long,"
-    " lowest_type string, lowest_subid string,"
-    " day string, hour_of_day string, writer string, batch long"
+    " lowest_type string, lowest_subid string"
 )
+STORED_SCHEMA = f"{COUNTS_SCHEMA}, day string, hour_of_day string, writer string, batch long"
 
 
-class ForeignPartials(ValueError):
-    """The partial counts belong to another checkpoint."""
+class ForeignCounts(ValueError):
+    """The counts belong to another checkpoint."""
 
 
 def _day(hour: Column) -> Column:
@@ -75,13 +78,13 @@ def stream_rejects(lines: DataFrame) -> DataFrame:
     return misplaced.unionByName(broken).select("value", "hour", "reason")
 
 
-def _read_partials(spark: SparkSession, path: str) -> DataFrame | None:
+def _read_counts(spark: SparkSession, path: str) -> DataFrame:
     try:
-        return spark.read.schema(PARTIALS_SCHEMA).parquet(path)
+        return spark.read.schema(STORED_SCHEMA).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return None
+        return spark.createDataFrame([], STORED_SCHEMA)
 
 
 def _checkpoint_id(spark: SparkSession, checkpoint: str) -> str | None:
@@ -94,39 +97,61 @@ def _checkpoint_id(spark: SparkSession, checkpoint: str) -> str | None:
         return None
 
 
-def _require_own_partials(spark: SparkSession, partials_path: str, checkpoint: str) -> None:
-    partials = _read_partials(spark, partials_path)
-    if partials is None:
-        return
+def _require_own_counts(spark: SparkSession, counts_path: str, checkpoint: str) -> None:
     own = _checkpoint_id(spark, checkpoint)
-    foreign = partials.filter(~F.col("writer").eqNullSafe(F.lit(own))).select("writer").take(1)
+    counts = _read_counts(spark, counts_path).select("writer")
+    foreign = counts.filter(~F.col("writer").eqNullSafe(F.lit(own))).take(1)
     if foreign:
-        raise ForeignPartials(
-            f"{partials_path} holds counts of {foreign[0].writer}, {checkpoint} is that of {own}"
+        raise ForeignCounts(
+            f"{counts_path} holds counts of {foreign[0].writer}, {checkpoint} is that of {own}"
         )
 
 
-def _write_partials(rows: DataFrame, path: str) -> None:
+def _write_counts(rows: DataFrame, path: str) -> None:
     (
-        rows.hint("rebalance", *PARTIAL_FOLDERS)
+        rows.hint("rebalance", *COUNT_FOLDERS)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*PARTIAL_FOLDERS)
+        .partitionBy(*COUNT_FOLDERS)
         .parquet(path)
     )
 
 
-def hours_of_batch(partials: DataFrame, writer: str, batch: int) -> DataFrame:
-    """All partial counts of the hours that a batch touched, found by a join on their folders."""
+def _with_hour_folders(counts: DataFrame) -> DataFrame:
+    folders = {"day": _day(F.col("hour")), "hour_of_day": F.substring("hour", 12, 2)}
+    return counts.withColumns(folders)
+
+
+def counts_before(stored: DataFrame, new: DataFrame, writer: str, batch: int) -> DataFrame:
+    """The counts before a batch of the hours in its ``new`` counts, found by their folders.
+
+    Those of an hour are in the folder of the last batch before that touched it.
+    """
+    hours = ["day", "hour_of_day"]
+    earlier = stored.filter((F.col("writer") == writer) & (F.col("batch") < batch))
+    touched = earlier.join(_with_hour_folders(new).select(*hours).distinct(), hours, "left_semi")
+    last = touched.groupBy(*hours).agg(F.max("batch").alias("batch"))
+    return touched.join(last, [*hours, "batch"], "left_semi")
+
+
+def _drop_older(spark: SparkSession, stored: DataFrame, path: str, writer: str, batch: int) -> None:
+    """Delete the counts of hours that this batch touched but for its own and those before it."""
     hours = ["day", "hour_of_day"]
-    own = partials.filter((F.col("writer") == writer) & (F.col("batch") == batch))
-    return partials.join(own.select(*hours).distinct(), hours, "left_semi")
+    own = stored.filter(F.col("writer") == writer).select(*hours, "batch").distinct()
+    touched = own.join(own.filter(F.col("batch") == batch).select(*hours), hours, "left_semi")
+    earlier = touched.filter(F.col("batch") < batch)
+    last = earlier.groupBy(*hours).agg(F.max("batch").alias("last"))
+    older = earlier.join(last, hours).filter(F.col("batch") < F.col("last"))
+    # At most one folder for each hour of a batch, since every batch deletes them.
+    for row in older.collect():
+        folder = f"{path}/day={row.day}/hour_of_day={row.hour_of_day}/writer={writer}"
+        delete_path(spark, f"{folder}/batch={row.batch}", folder)
 
 
 def run_click_stream(
     spark: SparkSession,
     layout: ClickLayout,
-    partials_path: str,
+    counts_path: str,
     snapshots_path: str,
     checkpoint: str,
     files_per_batch: int = 10_000,
@@ -137,26 +162,29 @@ def run_click_stream(
     A snapshot carries the last minute of its hour as key and is replaced as the hour grows. With a
     path for rejects the files of a batch are read twice.
     """
-    _require_own_partials(spark, partials_path, checkpoint)
+    _require_own_counts(spark, counts_path, checkpoint)
     started: Future[str] = Future()
 
     def store(lines: DataFrame, batch: int) -> None:
         session = lines.sparkSession
         writer = started.result()
-        own = {"writer": F.lit(writer), "batch": F.lit(batch)}
         in_place = lines.filter("in_place").drop("in_place")
-        counts = partial_counts(parse_clicks(in_place), "hour")
-        folders = {"day": _day(F.col("hour")), "hour_of_day": F.substring("hour", 12, 2)}
-        _write_partials(counts.withColumns({**folders, **own}), partials_path)
+        scratch = fresh_path(session, "batch-counts")
+        partial_counts(parse_clicks(in_place), "hour").write.parquet(scratch)
+        new = session.read.schema(COUNTS_SCHEMA).parquet(scratch)
+        before = counts_before(_read_counts(session, counts_path), new, writer, batch)
+        merged = merge_counts(new.unionByName(before.select(*new.columns)), "hour")
+        own = {"writer": F.lit(writer), "batch": F.lit(batch)}
+        _write_counts(_with_hour_folders(merged).withColumns(own), counts_path)
+        delete_path(session, scratch)
         if rejects_path is not None:
             folder = f"{rejects_path}/writer={writer}/batch={batch}"
             stream_rejects(lines).write.mode("overwrite").parquet(folder)
-        partials = _read_partials(session, partials_path)
-        if partials is None:
-            return
-        merged = merge_counts(hours_of_batch(partials, writer, batch), "hour")
-        snapshot = as_click_snapshot(merged, hour_end_key(F.col("hour")))
+        stored = _read_counts(session, counts_path)
+        counts = stored.filter((F.col("writer") == writer) & (F.col("batch") == batch))
+        snapshot = as_click_snapshot(counts, hour_end_key(F.col("hour")))
         write_snapshots(snapshot, snapshots_path, CLICK_SNAPSHOT)
+        _drop_older(session, stored, counts_path, writer, batch)
 
     query = (
         click_line_stream(spark, layout, files_per_batch)

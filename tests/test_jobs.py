@@ -42,7 +42,7 @@ from clicktally.sinks import (
 )
 from clicktally.sources import ClickLayout
 from clicktally.streaming import click_stream, run_click_stream
-from clicktally.streaming.click_stream import ForeignPartials
+from clicktally.streaming.click_stream import ForeignCounts
 from tests.test_clicks import COUNTS, LINES, line, put
 from tests.test_conversions import GOLDEN, log_of
 
@@ -422,7 +422,7 @@ def test_a_stream_refuses_partials_of_another_checkpoint(spark, tmp_path):
         run_click_stream(
             spark, layout, partials, snapshots, str(tmp_path / "c1")
         ).awaitTermination()
-    with pytest.raises(ForeignPartials):
+    with pytest.raises(ForeignCounts):
         run_click_stream(spark, layout, partials, snapshots, str(tmp_path / "c2"))
 
 
@@ -440,21 +440,36 @@ def test_stream_rejects_broken_lines_and_files_in_the_wrong_stream(spark, tmp_pa
     }
 
 
-def test_only_hours_that_a_batch_touched_are_read(spark, tmp_path):
-    schema = click_stream.PARTIALS_SCHEMA
-    held = [
-        ("2024/01/05/10", "o", "a", 1, "C", "s", "2024-01-05", "10", "w", 0),
-        ("2024/01/05/11", "o", "a", 1, "C", "s", "2024-01-05", "11", "w", 0),
-        ("2024/01/05/10", "o", "a", 2, "C", "s", "2024-01-05", "10", "w", 1),
-    ]
-    path = str(tmp_path / "partials")
-    click_stream._write_partials(spark.createDataFrame(held, schema), path)
-    found = click_stream.hours_of_batch(spark.read.schema(schema).parquet(path), "w", 1)
-    assert sorted(row.clicks for row in found.collect()) == [1, 2]
+def test_a_batch_reads_the_last_counts_of_the_hours_it_touched(spark, tmp_path):
+    def counts(hour, clicks, batch):
+        return (f"2024/01/05/{hour}", "o", "a", clicks, "C", "s", "2024-01-05", hour, "w", batch)
+
+    held = [counts("10", 1, 0), counts("10", 3, 2), counts("10", 9, 5), counts("11", 4, 2)]
+    path = str(tmp_path / "counts")
+    schema = click_stream.STORED_SCHEMA
+    click_stream._write_counts(spark.createDataFrame(held, schema), path)
+    stored = spark.read.schema(schema).parquet(path)
+    new = spark.createDataFrame([counts("10", 1, 5)[:6]], click_stream.COUNTS_SCHEMA)
+    found = click_stream.counts_before(stored, new, "w", 5)
+    assert [row.clicks for row in found.collect()] == [3]
     plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "(batch#" in plan.split("PartitionFilters: [")[1].split("]")[0]
     assert "Semi" in plan
 
 
+def test_counts_of_an_hour_are_kept_for_the_last_two_batches(spark, tmp_path):
+    root = tmp_path / "in"
+    layout = ClickLayout(str(root))
+    paths = [str(tmp_path / name) for name in ("p", "s", "c")]
+    for number in range(4):
+        put(root, HOUR, f"{number}.gz", [line("B", "s9", "adv2", "off1")])
+        run_click_stream(spark, layout, *paths).awaitTermination()
+    kept = sorted(path.name for path in (tmp_path / "p").glob("*/*/*/*") if path.is_dir())
+    assert kept == ["batch=2", "batch=3"]
+    found = rows(read_snapshots(spark, paths[1], CLICK_SNAPSHOT))
+    assert found == [("2024-01-05 10:59", "B", "off1", "adv2", "NA", 4)]
+
+
 def test_search_and_history_keep_their_rejects(spark, tmp_path):
     root, rejects = tmp_path / "in", str(tmp_path / "rejects")
     layout = ClickLayout(str(root))

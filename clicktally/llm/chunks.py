@@ -39,8 +39,10 @@ def load_tokenizer(path: str):
     return tokenizer
 
 
-def blocks(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Slices of a batch whose texts are about ``BLOCK_CHARS`` bytes long together.
+def blocks(
+    batch: pa.RecordBatch, column: str = "text", chars: int = BLOCK_CHARS
+) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose texts are about ``chars`` bytes long together.
 
     The texts are a column or the field ``text`` of one.
     """
@@ -48,7 +50,7 @@ def blocks(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBat
     if pa.types.is_struct(texts.type):
         texts = texts.field("text")
     sizes = np.nan_to_num(pa.compute.binary_length(texts).to_numpy(zero_copy_only=False))
-    group = (np.cumsum(sizes) // BLOCK_CHARS).astype(np.int64)
+    group = (np.cumsum(sizes) // chars).astype(np.int64)
     starts = np.flatnonzero(np.diff(group, prepend=-1))
     for start, end in zip(starts, [*starts[1:], batch.num_rows], strict=True):
         yield batch.slice(start, end - start)
@@ -126,8 +128,8 @@ class ChunkEncoder:
     def _learn(self, known: int) -> None:
         """Encode the pieces from a number on.
 
-        A full stop or comma after a Latin letter is always cut off and has an id of its own, so such a piece
-        is made from the one without it, which is encoded if it is new too.
+        A full stop or comma after a Latin letter is always cut off and has an id of its own, so such
+        a piece is made from the one without it, which is encoded if it is new too.
         """
         ended = [
             piece

@@ -34,8 +34,8 @@ _NARROW = re.compile(
     rf"|[{_NARROW_SPACE}]+(?![^{_NARROW_SPACE}])|[{_NARROW_SPACE}]+"
 )
 
-# Different pre-tokens that a task counts before it hands them on: about 100 MB.
-COUNTED = 600_000
+# Different pre-tokens that a task counts before it hands them on: about 50 MB.
+COUNTED = 250_000
 
 
 def pre_tokens(text: str | None) -> list[str]:

@@ -15,7 +15,7 @@ from clicktally.llm.simhash import near_duplicate_classes
 from clicktally.llm.token_counts import count_tokens
 from clicktally.llm.topk import top_k
 from clicktally.llm.toxicity import fit_toxicity, severities
-from clicktally.llm.transducer import build_transducer, decode_documents, encode_documents
+from clicktally.llm.transducer import build_transducer, encode_documents
 from clicktally.session import fresh_path
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -29,8 +29,9 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    encoded = encode_documents(docs, BYTE_BPE, build_transducer(docs, BYTE_BPE))
-    return decode_documents(encoded, BYTE_BPE).select(
+    transducer = build_transducer(docs, BYTE_BPE)
+    # Encoding and decoding share a worker: two at a time for each task take twice the memory.
+    return encode_documents(docs, BYTE_BPE, transducer, decoded=True).select(
         "doc_id",
         "n_tokens",
         F.sha2("ids", 256).alias("ids_sha256"),

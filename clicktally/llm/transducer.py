@@ -1,10 +1,10 @@
 """BPE by a minimal acyclic transducer of frequent words, and exact merges for all others.
 
 Frequent pre-tokens of the corpus are merged once. Their bytes are the paths of an automaton in which
-words with equal endings share states; every arc carries how many words come before those behind it,
-so the sum along a path is the number of the word, and with it the place of its ids. The automaton is a file
-of sorted arrays that all workers of an executor map into memory. A batch of words walks it in
-step, byte by byte. Words that it does not hold are merged by the merge ranks of the vocabulary, all
+words with equal endings share states; every arc carries how many words come before those behind
+it, so the sum along a path is the number of the word, and with it the place of its ids. The automaton
+is a file of sorted arrays that all workers of an executor map into memory. A batch of words walks it
+in step, byte by byte. Words that it does not hold are merged by the merge ranks of the vocabulary, all
 words of a batch at a time: each round merges the best pair of every word.
 """
 
@@ -14,7 +14,7 @@ import json
 import mmap
 import struct
 from collections.abc import Iterator, Sequence
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -28,10 +28,13 @@ from clicktally.llm.pretokens import SPECIAL, frequent, pre_token_counts, pre_to
 from clicktally.session import fresh_path
 
 # Most words of the automaton: those that are one of so many pre-tokens of the corpus.
-LEXICON_WORDS = 2**18
+LEXICON_WORDS = 2**20
 
 # Words outside the automaton whose ids a worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
+
+# Bytes of text that are encoded at once: the arrays of a block take about 50 times as much.
+CODEC_CHARS = 500_000
 
 NO_PAIR = np.int32(2**31 - 1)
 
@@ -123,6 +126,11 @@ class Vocabulary:
         return self.piece_bytes[expand(self.piece_starts[ids], self.piece_sizes[ids])].tobytes()
 
 
+    def text(self, ids: np.ndarray) -> str:
+        """The text of ids; bytes that are not UTF-8 become U+FFFD."""
+        return self.decode(ids).decode("utf-8", "replace")
+
+
 HEADER = struct.Struct("<8sqqqq")
 MAGIC = b"BPEMAT01"
 
@@ -253,40 +261,60 @@ class Transducer:
         return cls(keys, targets, before, final, ends, all_ids)
 
 
+class Numbers(dict):
+    """Numbers words in the order they are first asked for."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        return number
+
+
 class Codec:
     """Encodes lists of texts with a transducer, and merges what it lacks."""
 
     def __init__(self, vocabulary: Vocabulary, transducer: Transducer):
         self.vocabulary, self.transducer = vocabulary, transducer
-        self.merged: dict[str, np.ndarray] = {}
+        self._forget()
 
-    def _others(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of words outside the transducer; the special token is one of them."""
+    def _forget(self) -> None:
+        self.others = Numbers()
+        self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat = np.zeros(0, np.int32)
+
+    def _merge(self, words: list[str]) -> None:
+        """Merge new words; a special token has its own id and is not merged."""
         special = self.vocabulary.special
-        new = [word for word in words if word not in self.merged]
-        if new:
-            if len(self.merged) + len(new) > REMEMBERED:
-                self.merged.clear()
-                new = words
-            ids, lengths = self.vocabulary.merge([word.encode() for word in new])
-            self.merged.update(zip(new, np.split(ids, np.cumsum(lengths)[:-1]), strict=True))
-            self.merged.update(
-                {word: np.array([special[word]], np.int64) for word in new if word in special}
-            )
-        parts = [self.merged[word] for word in words]
-        return np.concatenate(parts), np.fromiter(map(len, parts), np.int64, len(parts))
+        ids, lengths = self.vocabulary.merge([word.encode() for word in words])
+        starts = len(self.flat) + np.cumsum(lengths) - lengths
+        self.flat = np.concatenate([self.flat, ids.astype(np.int32)])
+        for place in [i for i, word in enumerate(words) if word in special]:
+            starts[place], lengths[place] = len(self.flat), 1
+            self.flat = np.append(self.flat, np.int32(special[words[place]]))
+        self.starts = np.concatenate([self.starts, starts])
+        self.lengths = np.concatenate([self.lengths, lengths])
+
+    def _others(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words outside the transducer, and how many each has."""
+        if len(self.others) > REMEMBERED:
+            self._forget()
+        known = len(self.others)
+        places = np.fromiter(map(self.others.__getitem__, words), np.int64, len(words))
+        if len(self.others) > known:
+            self._merge(list(islice(self.others, known, None)))
+        lengths = self.lengths[places]
+        return self.flat[expand(self.starts[places], lengths)].astype(np.int64), lengths
 
     def encode(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and how many each text has; null is empty."""
         cut = [pre_tokens(text) for text in texts]
-        words = list(dict.fromkeys(chain.from_iterable(cut)))
-        if not words:
-            return np.zeros(0, np.int64), np.zeros(len(texts), np.int64)
-        slot = dict(zip(words, range(len(words)), strict=True))
         counts = np.fromiter(map(len, cut), np.int64, len(cut))
+        slot = Numbers()
         slots = np.fromiter(
             map(slot.__getitem__, chain.from_iterable(cut)), np.int64, counts.sum()
         )
+        words = list(slot)
+        if not words:
+            return np.zeros(0, np.int64), counts
         numbers = self.transducer.numbers([word.encode() for word in words])
         held = np.flatnonzero(numbers >= 0)
         lengths = np.zeros(len(words), np.int64)
@@ -335,11 +363,14 @@ def _vocabulary(path: str) -> Vocabulary:
     return _vocabularies[path]
 
 
-def encode_documents(docs: DataFrame, tokenizer_path: str, transducer_path: str) -> DataFrame:
+def encode_documents(
+    docs: DataFrame, tokenizer_path: str, transducer_path: str, decoded: bool = False
+) -> DataFrame:
     """``doc_id``, ``n_tokens`` and ``ids``, unsigned 32-bit integers, for ``doc_id`` and ``text``.
 
     Spark copies the transducer to every executor, whose workers map it. A null text is empty and
-    has no ids. Repeated rows get a row each, null ids are carried, other columns are left out.
+    has no ids. Repeated rows get a row each, null ids are carried, other columns are left out. With
+    ``decoded`` there is a column ``text`` of what the ids decode to, made by the same worker.
     """
     spark = docs.sparkSession
     spark.sparkContext.addFile(transducer_path)
@@ -354,20 +385,27 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, transducer_path: str)
             _codecs[key] = Codec(_vocabulary(tokenizer_path), Transducer.map(SparkFiles.get(name)))
         codec = _codecs[key]
         for batch in batches:
-            for block in blocks(batch):
+            for block in blocks(batch, chars=CODEC_CHARS):
                 ids, lengths = codec.encode(block.column("text").to_pylist())
-                offsets = pa.array(np.concatenate([[0], 4 * np.cumsum(lengths)]), pa.int32())
+                ends = np.concatenate([[0], np.cumsum(lengths)])
+                offsets = pa.array(4 * ends, pa.int32())
                 data = pa.py_buffer(ids.astype("<u4").tobytes())
                 binary = pa.Array.from_buffers(
                     pa.binary(), len(lengths), [None, offsets.buffers()[1], data]
                 )
-                yield pa.RecordBatch.from_arrays(
-                    [block.column("doc_id"), pa.array(lengths), binary],
-                    ["doc_id", "n_tokens", "ids"],
-                )
-
+                columns = [block.column("doc_id"), pa.array(lengths), binary]
+                if decoded:
+                    texts = [
+                        codec.vocabulary.text(ids[a:b])
+                        for a, b in zip(ends.tolist(), ends[1:].tolist(), strict=False)
+                    ]
+                    columns.append(pa.array(texts, pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    fields = ["doc_id long", "n_tokens long", "ids binary", *["text string"] * decoded]
+    names = [field.split()[0] for field in fields]
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        encode, "doc_id long, n_tokens long, ids binary"
+        encode, ", ".join(fields)
     )
 
 
@@ -382,11 +420,7 @@ def decode_documents(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
         vocabulary = _vocabulary(tokenizer_path)
         for batch in batches:
             texts = [
-                None
-                if ids is None
-                else vocabulary.decode(np.frombuffer(ids, "<u4").astype(np.int64)).decode(
-                    "utf-8", "replace"
-                )
+                None if ids is None else vocabulary.text(np.frombuffer(ids, "<u4").astype(np.int64))
                 for ids in batch.column("ids").to_pylist()
             ]
             yield pa.RecordBatch.from_arrays(

@@ -125,7 +125,7 @@ def digests(frame):
     return frame.select("doc_id", "n_tokens", F.sha2("ids", 256), F.sha2("text", 256)).collect()
 
 
-@pytest.mark.parametrize("most", [1, 50, 2**18])
+@pytest.mark.parametrize("most", [1, 50, 2**20])
 def test_odd_documents_whatever_the_lexicon_holds(spark, odd_documents, no_documents, most):
     path = transducer.build_transducer(odd_documents, BYTE_BPE, most)
     encoded = transducer.encode_documents(odd_documents, BYTE_BPE, path)

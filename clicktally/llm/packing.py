@@ -4,8 +4,8 @@ Every task packs the documents it reads, so nothing is shuffled. A document goes
 smallest window that holds it; a longer one is first cut into whole windows of the largest size.
 Windows are filled from the largest tier down: the gap behind a long piece takes whole pieces of
 shorter tiers, and at last a cut one that closes it exactly. A tier that has no shorter pieces left
-to fill from cuts its own. What is left of a task, less than one largest window, fills one window
-of each size that it can and then a last one, the only one of the task with padding.
+to fill from cuts its own. What is left of a task, less than one largest window, is cut into windows
+of falling powers of two, below the smallest tier too, so that nothing is padded.
 
 The windows of one round are dealt to step groups of one token budget, largest first to the least
 filled group, so that every step of a training run costs about the same.
@@ -82,7 +82,10 @@ class Packer:
         return window, gap
 
     def round(self, last: bool = False) -> list[tuple[int, list]]:
-        """Closed windows with their size; what does not fill one waits, unless it is the last."""
+        """Closed windows with their size; what does not fill one waits, unless it is the last.
+
+        The largest tier is a power of two, so the rest of the last round can be cut into such sizes.
+        """
         closed, waiting = [], []
         for tier in reversed(self.tiers):
             while self.pieces[tier]:
@@ -92,13 +95,9 @@ class Packer:
                 else:
                     closed.append((tier, window))
         if last and waiting:
-            left = sum(len(ids) for _, _, ids in waiting)
-            for tier in reversed(self.tiers):
-                while left >= tier:
-                    closed.append((tier, self._take(waiting, tier)))
-                    left -= tier
-            if left:
-                closed.append((self.tiers[-1], waiting))
+            while left := sum(len(ids) for _, _, ids in waiting):
+                size = min(self.tiers[-1], 1 << (left.bit_length() - 1))
+                closed.append((size, self._take(waiting, size)))
         else:
             for piece in waiting:
                 self._route(*piece)
@@ -141,9 +140,8 @@ def pack_documents(
     """One row per piece of ``doc_id`` and ``text``, with its ids as unsigned 32-bit integers.
 
     Every document ends with ``end_id``, so an empty or null text has one token; a null or repeated
-    id is carried as it is, and other columns are left out. Every id lies in exactly one piece. A
-    window is as full as its size; the last one of a task may be shorter. ``sequence_id`` and
-    ``step_group`` hold the number of the task in their upper bits.
+    id is carried as it is, and other columns are left out. Every id lies in exactly one piece. Every
+    window is full. ``sequence_id`` and ``step_group`` hold the number of the task in their upper bits.
     """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -105,6 +105,9 @@ class ChunkEncoder:
             return True
         if any(pair in text for pair in ("  ", "\n\n", " \n", "\n ")):
             return True
+        # No white space but the space is printable, and this test is the faster one.
+        if text.replace("\n", "").isprintable():
+            return False
         return bool(OTHER_SPACE.search(text) and NEXT_TO_SPACE.search(text))
 
     def _pieces(self, text: str) -> list[str]:
@@ -129,12 +132,15 @@ class ChunkEncoder:
         """Encode the pieces from a number on.
 
         A full stop or comma after a Latin letter is always cut off and has an id of its own, so such
-        a piece is made from the one without it, which is encoded if it is new too.
+        a piece is made from the one without it, which is encoded if it is new too. Not after a
+        letter that ends in a mark when it is made small, since marks and stops are one pre-token.
         """
         ended = [
             piece
             for piece in islice(self.slot, known, None)
-            if piece[-1:] in self.stops and piece[-2:-1].isalpha() and piece[-2] < "\u0250"
+            if piece[-1:] in self.stops
+            and piece[-2:-1].lower()[-1:].isalpha()
+            and piece[-2] < "\u0250"
         ]
         stems = np.fromiter(
             map(self.slot.__getitem__, (piece[:-1] for piece in ended)), np.int64, len(ended)
@@ -151,15 +157,15 @@ class ChunkEncoder:
         self.lengths = np.concatenate([self.lengths, lengths])
         self.starts = np.concatenate([self.starts, starts])
         self.uses = np.concatenate([self.uses, np.zeros(new, np.int64)])
-        self.flat = np.concatenate([self.flat, ids])
         # A stem may itself be made of another one only if it ended in a stop, not in a letter.
         sizes = self.lengths[stems]
         ends = np.cumsum(sizes)
         stops = np.array([self.stops[piece[-1]] for piece in ended], np.int32)
-        ids = np.insert(self.flat[expand(self.starts[stems], sizes)], ends, stops)
+        of_stems = np.concatenate([self.flat, ids])
+        ended_ids = np.insert(of_stems[expand(self.starts[stems], sizes)], ends, stops)
         self.lengths[made] = sizes + 1
-        self.starts[made] = len(self.flat) + np.cumsum(sizes + 1) - (sizes + 1)
-        self.flat = np.concatenate([self.flat, ids.astype(np.int32)])
+        self.starts[made] = len(of_stems) + np.cumsum(sizes + 1) - (sizes + 1)
+        self.flat = np.concatenate([of_stems, ended_ids.astype(np.int32)])
 
     def encode(self, texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and how many each text has; null is empty."""

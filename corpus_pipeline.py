@@ -27,7 +27,7 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _with_shared_folder(stage: Callable) -> Callable:
-    """Sets a folder for intermediate tables where a local session has none; a cluster names its own."""
+    """Sets a folder for intermediate tables where a local session has none."""
 
     @wraps(stage)
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

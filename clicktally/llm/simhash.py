@@ -32,6 +32,9 @@ SHINGLE_WORDS = 4
 MAX_DISTANCE = 4
 SEED = 42
 
+# Parts over which the fingerprints of one component are spread.
+SALTS = 16
+
 # Keys of at most so many members are compared by shifting, larger ones from pivots.
 SMALL_RUN = 24
 
@@ -219,12 +222,28 @@ def near_duplicates(prints: DataFrame, max_distance: int = MAX_DISTANCE) -> Data
     ).checkpoint()
     links = fingerprint_links(classes, max_distance)
     roots = connected_components(links, "a", "b")
-    members = classes.join(
-        roots.select(F.col("node").alias("fp"), "root"), "fp", "left"
-    ).withColumn("root", F.coalesce("root", "fp"))
-    firsts = members.groupBy("root").agg(F.min("first").alias("first"))
-    labels = members.select("fp", "root").join(firsts, "root").select(
-        "fp", F.col("first.doc_id").alias("component_id"), F.col("first.row").alias("first_row")
+    linked = roots.select(F.col("node").alias("fp"), "root").unionByName(
+        roots.select(F.col("root").alias("fp"), "root").distinct()
+    )
+    salt = F.pmod(F.xxhash64("fp"), F.lit(SALTS)).cast("int")
+    members = classes.join(linked, "fp", "left").withColumn("salt", salt)
+    # A component may have any number of fingerprints: they collapse before the shuffle here, and
+    # are spread over the copies of its first row below.
+    firsts = (
+        members.filter(F.col("root").isNotNull())
+        .groupBy("root")
+        .agg(F.min("first").alias("first_of_all"))
+        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        # The copies look small when compressed, and would be sent to every task.
+        .hint("merge")
+    )
+    labels = (
+        members.withColumn("root", F.coalesce("root", "fp"))
+        .join(firsts, ["root", "salt"], "left")
+        .withColumn("first", F.coalesce("first_of_all", "first"))
+        .select(
+            "fp", F.col("first.doc_id").alias("component_id"), F.col("first.row").alias("first_row")
+        )
     )
     return prints.join(labels, "fp")
 

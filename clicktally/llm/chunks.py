@@ -73,7 +73,8 @@ class _Slots(dict):
 class ChunkEncoder:
     """Encodes lists of texts; ``spaced`` tells that a word keeps the space before it."""
 
-    def __init__(self, path: str, spaced: bool):
+    def __init__(self, path: str, spaced: bool, memory: int = MEMORY):
+        self.memory = memory
         self.tokenizer = load_tokenizer(path)
         self.spaced = spaced
         self.slot = _Slots()
@@ -87,7 +88,8 @@ class ChunkEncoder:
 
     def _forget(self) -> None:
         """Keep the half of the pieces that was used most."""
-        kept = np.sort(np.argpartition(-self.uses, MEMORY // 2)[: MEMORY // 2])
+        half = self.memory // 2
+        kept = np.sort(np.argpartition(-self.uses, half)[:half])
         pieces = list(self.slot)
         self.slot = _Slots(zip((pieces[i] for i in kept.tolist()), range(len(kept))))
         self.flat = self.flat[expand(self.starts[kept], self.lengths[kept])]
@@ -171,7 +173,7 @@ class ChunkEncoder:
         """Ids of all texts one after the other, and how many each text has; null is empty."""
         texts = [text or "" for text in texts]
         cut = [self._pieces(text) for text in texts]
-        if len(self.slot) > MEMORY:
+        if len(self.slot) > self.memory:
             self._forget()
         known = len(self.slot)
         counts = np.fromiter(map(len, cut), np.int64, len(cut))
@@ -204,11 +206,12 @@ class ChunkEncoder:
         return np.concatenate([*parts, ids[at:]]), doc_lengths
 
 
-_encoders: dict[tuple[str, bool], ChunkEncoder] = {}
+_encoders: dict[tuple[str, bool, int], ChunkEncoder] = {}
 
 
-def encoder(path: str, spaced: bool) -> ChunkEncoder:
+def encoder(path: str, spaced: bool, memory: int = MEMORY) -> ChunkEncoder:
     """The encoder of this Python worker, which keeps its memory from task to task."""
-    if (path, spaced) not in _encoders:
-        _encoders[path, spaced] = ChunkEncoder(path, spaced)
-    return _encoders[path, spaced]
+    key = path, spaced, memory
+    if key not in _encoders:
+        _encoders[key] = ChunkEncoder(*key)
+    return _encoders[key]

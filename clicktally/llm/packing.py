@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from clicktally.llm.chunks import blocks, encoder
+from clicktally.llm.chunks import MEMORY, blocks, encoder
 
 TIERS = (512, 1024, 2048, 4096)
 
@@ -136,19 +136,21 @@ def pack_documents(
     spaced: bool = False,
     tiers: tuple[int, ...] = TIERS,
     step_tokens: int = STEP_TOKENS,
+    memory: int = MEMORY,
 ) -> DataFrame:
     """One row per piece of ``doc_id`` and ``text``, with its ids as unsigned 32-bit integers.
 
     Every document ends with ``end_id``, so an empty or null text has one token; a null or repeated
     id is carried as it is, and other columns are left out. Every id lies in exactly one piece. Every
     window is full. ``sequence_id`` and ``step_group`` hold the number of the task in their upper bits.
+    ``memory`` is the number of pieces of text that a worker remembers.
     """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         base = TaskContext.get().partitionId() << 40
-        encode = encoder(tokenizer_path, spaced).encode
+        encode = encoder(tokenizer_path, spaced, memory).encode
         packer = Packer(tiers)
         sequences, steps = base, base
 

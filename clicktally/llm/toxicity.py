@@ -35,7 +35,7 @@ GRADES = 3
 
 # Beginnings of words that are features beside the words, and words whose features are remembered.
 BEGINNINGS = (4, 5, 6, 7)
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 
 # Latin letters; the pattern splits words the same way in Java and in Python.
 WORD = r"[a-zà-öø-ÿ]+"

@@ -22,6 +22,11 @@ from clicktally.llm.toxicity import drop_toxic, fit_toxicity
 from clicktally.session import fresh_path
 
 
+# Pieces of text that a worker remembers while it packs. Workers live on through all stages, beside
+# what the other stages hold, so this is less than the operator's own number.
+REMEMBERED = 300_000
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -72,7 +77,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 @_with_shared_folder
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in windows of several sizes."""
-    return pieces_digest(pack_documents(docs, WORD_BPE, end_id=2))
+    return pieces_digest(pack_documents(docs, WORD_BPE, end_id=2, memory=REMEMBERED))
 
 
 STAGES = [

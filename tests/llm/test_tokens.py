@@ -51,9 +51,8 @@ def test_every_narrow_letter_before_a_stop():
         assert ids.tolist() == [i for text in texts for i in ids_of(tokenizer, text)]
 
 
-def test_forgetting_keeps_ids_right(monkeypatch, documents):
-    monkeypatch.setattr(chunks, "MEMORY", 500)
-    encoder = chunks.ChunkEncoder(BYTE_BPE, True)
+def test_forgetting_keeps_ids_right(documents):
+    encoder = chunks.ChunkEncoder(BYTE_BPE, True, memory=500)
     for first in range(0, 40, 4):
         texts = [text for _, text in documents[first : first + 4]]
         assert encoder.encode(texts)[0].tolist() == [i for t in texts for i in ids_of(BYTE, t)]

@@ -142,13 +142,15 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, scale: int = 256) -> Dat
     columns = max(1, -(-counts["all"] // CELL_CANDIDATES))
     rows = max(1, -(-counts["queries"] // CELL_QUERIES))
 
-    def dealt(frame: DataFrame, own: str, cells: int, other: str, others: int) -> DataFrame:
-        place = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(cells)).cast("int")
+    def dealt(frame: DataFrame, key: Column, own: str, cells: int, other: str, others: int) -> DataFrame:
+        place = F.pmod(F.xxhash64(key), F.lit(cells)).cast("int")
         every = F.explode(F.sequence(F.lit(0), F.lit(others - 1)))
         return frame.withColumn(own, place).withColumn(other, every)
 
-    left = dealt(queries, "row", rows, "column", columns)
-    right = dealt(usable, "column", columns, "row", rows)
+    # Queries come out of a shuffle, where the place of a row can change when a task runs again; they
+    # are distinct, so their values deal them. Repeated candidates are only told apart by their place.
+    left = dealt(queries, F.struct("vec_id", "v"), "row", rows, "column", columns)
+    right = dealt(usable, F.monotonically_increasing_id(), "column", columns, "row", rows)
 
     def search(asked: pa.Table, held: pa.Table) -> pa.Table:
         empty = [pa.array([], pa.int64())] * 4

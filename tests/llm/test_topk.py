@@ -52,6 +52,16 @@ def test_cells_ties_and_odd_vectors(spark, monkeypatch, cell):
     assert sorted(map(tuple, found.collect())) == plain(rows, lambda i: i % 10 == 0, 4)
 
 
+def test_queries_are_dealt_by_their_values(spark, monkeypatch):
+    monkeypatch.setattr(topk, "CELL_QUERIES", 5)
+    rows = [(i, [float(i % 7), 1.0]) for i in range(60)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    plan = topk.top_k(frame, F.col("vec_id") % 2 == 0, 3)._jdf.queryExecution().analyzed().toString()
+    placed = [line for line in plan.split("\n") if "monotonically_increasing_id" in line]
+    # Only candidates, which no shuffle comes before, are dealt by their place.
+    assert len(placed) == 1 and "AS column" in placed[0]
+
+
 def test_few_or_no_vectors(spark):
     frame = spark.createDataFrame([(0, [1.0]), (1, [2.0])], "vec_id long, embedding array<float>")
     assert [tuple(r) for r in topk.top_k(frame, F.col("vec_id") == 0, 5).collect()] == [

@@ -5,7 +5,7 @@ positive components from the top and those of its negative ones from the bottom,
 in the score that it adds. At a depth every candidate has a lower bound, its components read so far
 plus the end of every list not yet seen, and an upper bound, the same with the place reached instead of
 the end. The lists are read further until few candidates have an upper bound that reaches the k-th
-best score known; what is left gets its whole score, and ties go to the smaller id.
+best lower bound; only what is left then gets its whole score, and ties go to the smaller id.
 
 Queries and candidates are dealt to cells, each with a bounded number of both, and every pair of a
 query and a candidate meets in one cell: all work is that of the stated query set against all rows,
@@ -70,7 +70,8 @@ class Lists:
         """Place of the query, place of the candidate and score of the best k of every query."""
         count, found = len(self.ids), []
         reach = np.abs(queries).max(1, initial=0) * np.abs(self.columns).max(initial=0)
-        slack = reach * queries.shape[1] * 2.0**-48
+        # Both the threshold and what is compared with it are rounded sums.
+        slack = 2 * reach * queries.shape[1] * 2.0**-48
         known = np.full(len(queries), -np.inf)
         own = [np.flatnonzero(self.ids == query_id) for query_id in query_ids]
         active = np.arange(len(queries))
@@ -87,9 +88,7 @@ class Lists:
                     lower[row, own[query]] = upper[row, own[query]] = -np.inf
                     others = count - len(own[query])
                     if others >= k:
-                        likely = np.argpartition(lower[row], count - k)[count - k :]
-                        scores = self.vectors[likely] @ queries[query]
-                        known[query] = max(known[query], scores.min())
+                        known[query] = max(known[query], np.partition(lower[row], count - k)[count - k])
                     open_ = np.flatnonzero(upper[row] >= known[query] - slack[query])
                     open_ = open_[np.isfinite(upper[row, open_])]
                     if len(open_) > max(RESOLVED, RESOLVED_SHARE * count) and depth < count:

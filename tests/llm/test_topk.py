@@ -62,6 +62,33 @@ def test_queries_are_dealt_by_their_values(spark, monkeypatch):
     assert len(placed) == 1 and "AS column" in placed[0]
 
 
+class Watched(np.ndarray):
+    """Vectors that note how many of them are fetched, and when."""
+
+    def __getitem__(self, places):
+        self.fetched.append((self.lists.depth, len(places)))
+        return np.asarray(self)[places]
+
+
+def test_whole_vectors_are_fetched_only_when_few_are_left():
+    rng = np.random.default_rng(5)
+    count, k = 2000, 3
+    vectors, queries = rng.integers(-50, 51, (count, 4)), rng.integers(-50, 51, (20, 4))
+    lists = topk.Lists(np.arange(count), vectors)
+    watched = vectors.view(Watched)
+    watched.lists, watched.fetched = lists, []
+    lists.vectors = watched
+    query, place, score = lists.best(np.full(20, -1), queries, k)
+    scores = queries @ vectors.T
+    for q in range(20):
+        order = np.lexsort((np.arange(count), -scores[q]))[:k]
+        assert place[query == q].tolist() == order.tolist()
+    # One fetch for each query, of no more than may be left before the end of the lists.
+    most = max(topk.RESOLVED, topk.RESOLVED_SHARE * count)
+    assert len(watched.fetched) == len(queries)
+    assert all(size <= most for depth, size in watched.fetched if depth < count)
+
+
 def test_few_or_no_vectors(spark):
     frame = spark.createDataFrame([(0, [1.0]), (1, [2.0])], "vec_id long, embedding array<float>")
     assert [tuple(r) for r in topk.top_k(frame, F.col("vec_id") == 0, 5).collect()] == [

@@ -8,7 +8,8 @@ A candidate is a run of at least ``WINDOW`` characters of keys. A window of so m
 over it; the sum of ``count * log2(count)`` over the window's characters, and with it the Shannon
 entropy, is kept up to date with the two counts that change. Hexadecimal runs and runs of mixed
 characters have limits of their own. What the allow list matches, such as words, paths and UUIDs, is
-no candidate. A span reaches over all windows of a candidate above its limit.
+no candidate; letters of mixed cases are on it only in the shape of words. A span reaches over all
+windows of a candidate above its limit.
 """
 
 from __future__ import annotations
@@ -40,13 +41,18 @@ WINDOW = 20
 CANDIDATE = r"()([A-Za-z0-9+/_=-]{20,})"
 HEX_LIMIT = 3.0
 MIXED_LIMIT = 3.7
+
+# A number, or letters in the shape of words: small ones, capitals, a capitalised word, or words run
+# together, each with two small letters at least. No group matches in two ways, and the loops keep what
+# they matched, so a long candidate takes linear time and no deep stack.
+GROUP = r"(?:[A-Z]?[a-z]{2,}(?:[A-Z][a-z]{2,})*+|[A-Z]?[a-z]|[A-Z]+|[0-9]+)"
 ALLOWED = (
     # one word, one number
     r"^[A-Z]?[a-z]+$",
     r"^[A-Z]+$",
     r"^[0-9]+$",
-    # words joined by signs, as in paths and names
-    r"^[/_=+-]*(?:[A-Za-z]+|[0-9]+)(?:[/_=+-]+(?:[A-Za-z]+|[0-9]+))*[/_=+-]*$",
+    # words run together, and words joined by signs, as in paths and names
+    rf"^[/_=+-]*{GROUP}(?:[/_=+-]+{GROUP})*+[/_=+-]*$",
     # a UUID
     r"^[0-9A-Fa-f]{8}-(?:[0-9A-Fa-f]{4}-){3}[0-9A-Fa-f]{12}$",
 )

@@ -231,6 +231,24 @@ def test_planted_secrets(spark, planted):
     check_secrets(secrets.secret_spans(docs).collect(), planted)
 
 
+def test_keys_without_digits(spark):
+    keys = ["QzXvKpWmTjRbNcYdHsLg", "kWqz-xTbR-0193-pLvJ-QmZd", "hKqVbZrTnXwYmLdPcGsF/jWtQ", "aBcDeFgHiJkLmNoPqRsT"]
+    words = [
+        "/usr/local/share/dictionary", "severalWordsRunTogetherHere", "AbstractReader/LargeFactory",
+        "A-Tale-of-Two-Cities-by-Dickens", "LOUD_NAME_OF_CONSTANT_42", "abcdefghijklmnopqrstuvwxyz",
+        "one-two/" * 5000 + "three",
+    ]
+    docs = spark.createDataFrame(
+        [(i, f"say {text} now") for i, text in enumerate(keys + words)], "doc_id long, text string"
+    )
+    found = {row.doc_id: row.spans for row in secrets.secret_spans(docs).collect()}
+    assert found == {
+        i: f"entropy:4:{4 + len(text)}" if i < len(keys) else "" for i, text in enumerate(keys + words)
+    }
+    masked = {row.doc_id: row.text for row in secrets.redact(docs).collect()}
+    assert all(masked[i] == "say [secret] now" for i in range(len(keys)))
+
+
 def test_redaction(spark, planted):
     docs = spark.createDataFrame(planted, "doc_id long, text string")
     redacted = {row.doc_id: row.text for row in secrets.redact(docs, "*").collect()}

@@ -257,7 +257,8 @@ def learn_rules(
 def labelled_statistics(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> list[dict]:
     """Features and ``bad`` of at most ``sample`` labelled documents, by the order of hashed ids.
 
-    The labels are chosen before the texts are read, so only chosen texts are measured. A label
+    The labels are chosen before the texts are read, so only chosen texts are measured. Of several rows
+    of one id the text with the smallest hash teaches, taken by every task before the shuffle. A label
     without quality, and a document that fails the base rules anyway, teach nothing.
     """
     chosen = (
@@ -267,8 +268,11 @@ def labelled_statistics(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE
         .orderBy(F.xxhash64("labelled"), "labelled")
         .limit(sample)
     )
-    found = docs.select("doc_id", "text").join(
-        F.broadcast(chosen), F.col("doc_id") == F.col("labelled")
+    found = (
+        docs.select("doc_id", "text")
+        .join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled"))
+        .groupBy("labelled", "label")
+        .agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     )
     measured = let(
         statistics(F.col("text")),

@@ -175,8 +175,9 @@ def fit_toxicity(
 ) -> OrdinalModel:
     """The model of at most ``sample`` labelled documents and ``most_features`` features.
 
-    Of documents that share their smallest hash of three words, as copies do, one teaches, so that the
-    label of a much copied text counts once. Labels without id or verdict are left out, of several
+    Of several rows of one id the text with the smallest hash teaches, taken by every task before the
+    shuffle. Of documents that share their smallest hash of three words, as copies do, one teaches, so that
+    the label of a much copied text counts once. Labels without id or verdict are left out, of several
     for one id the highest counts. Without toxic and other documents the model has no features and
     gives the rate of the labels.
     """
@@ -187,8 +188,11 @@ def fit_toxicity(
         .orderBy(F.xxhash64("labelled"), "labelled")
         .limit(sample)
     )
-    texts = docs.select("doc_id", "text").join(
-        F.broadcast(chosen), F.col("doc_id") == F.col("labelled")
+    texts = (
+        docs.select("doc_id", "text")
+        .join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled"))
+        .groupBy("labelled", "label")
+        .agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     )
     labelled = texts.select("labelled", "label", _words_of(F.col("text")).alias("words"))
     found = (

@@ -113,6 +113,18 @@ def test_rules_find_bad_documents_that_they_have_not_seen(spark):
     assert sum(bad) < 0.15 * len(bad)
 
 
+def test_one_text_of_an_id_teaches(spark):
+    folder = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    single = quality.labelled_statistics(docs, labels)
+    held = single[0]["labelled"]
+    hot = docs.union(docs.withColumn("doc_id", F.lit(held).cast(docs.schema["doc_id"].dataType)))
+    rows = quality.labelled_statistics(hot, labels)
+    assert len(rows) == len({row["labelled"] for row in rows})
+    assert [r for r in rows if r["labelled"] != held] == [r for r in single if r["labelled"] != held]
+    assert rows == quality.labelled_statistics(hot.union(hot).repartition(5), labels)
+
+
 @settings(max_examples=5, deadline=None)
 @given(st.integers(0, 10**6))
 def test_statistics_of_repetitive_texts(spark, seed):

@@ -75,6 +75,21 @@ def test_verdicts_of_both_forms_agree(spark, odd_documents, no_documents):
     assert toxicity.drop_toxic(no_documents, model).collect() == []
 
 
+def test_one_text_of_an_id_teaches(spark, monkeypatch):
+    folder = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    labels = labels.filter("toxic IS NOT NULL").limit(60).cache()
+    ids = [row.doc_id for row in labels.collect()]
+    hot = docs.union(docs.selectExpr(f"{ids[0]} AS doc_id", *docs.columns[1:]))
+    fitted = []
+    fit = toxicity.fit_ordinal
+    monkeypatch.setattr(toxicity, "fit_ordinal", lambda x, *rest: fitted.append(len(x)) or fit(x, *rest))
+    first = toxicity.fit_toxicity(hot, labels)
+    again = toxicity.fit_toxicity(hot.union(hot).repartition(5), labels)
+    assert all(0 < size <= len(set(ids)) for size in fitted)
+    assert first.features == again.features and np.allclose(first.weights, again.weights)
+
+
 def test_fit_of_odd_labels(spark, odd_documents, no_documents):
     schema = "doc_id long, quality int, toxic int"
     for rows in ([], [(1, 1, None), (None, 1, 1)], [(1, 1, 0), (2, 1, 0)], [(1, 1, 1)]):

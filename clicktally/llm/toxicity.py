@@ -5,7 +5,8 @@ ones 1 to 3 by how dense the features are that tell the toxic apart in the sampl
 The model has one weight for each feature, shared by all grades, and one threshold for each grade:
 ``P(grade >= g) = sigmoid(weights . x - threshold[g])``. The expected severity is the sum of these
 probabilities. A feature is ``log(1 + occurrences among 100 words)`` of a word or of a beginning of
-words, which catches what is inflected.
+words, which catches what is inflected. A word is a run of letters of any script, so where a script puts
+no space between words it is a whole phrase.
 
 The features come from a chi-squared test on a sample of labelled documents, counted by Spark; the
 model is fitted on the driver to the features of the same sample, both of a size that a parameter
@@ -14,12 +15,12 @@ bounds.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,9 +38,9 @@ GRADES = 3
 BEGINNINGS = (4, 5, 6, 7)
 REMEMBERED = 100_000
 
-# Latin letters; the pattern splits words the same way in Java and in Python.
-WORD = r"[a-zà-öø-ÿ]+"
-_WORD = re.compile(WORD)
+# Letters of any script with their marks; the pattern splits words the same way in Java and in Python.
+WORD = r"\p{L}[\p{L}\p{M}]*"
+_WORD = regex.compile(WORD)
 
 
 class Lexicon(dict):

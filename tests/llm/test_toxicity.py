@@ -90,6 +90,21 @@ def test_one_text_of_an_id_teaches(spark, monkeypatch):
     assert first.features == again.features and np.allclose(first.weights, again.weights)
 
 
+def test_words_of_other_scripts(spark):
+    texts = ["Ты ДУРАК, ёлка", "cœur łódź Straße", "हिन्दी शब्द", "Ηλίθιος ΣΑΣ İx", "e\u0301te\u0301 2x_y"]
+    docs = spark.createDataFrame([(text,) for text in texts], "text string")
+    split = [row[0] for row in docs.select(toxicity._words_of(docs.text)).collect()]
+    assert split == [toxicity._WORD.findall(text.lower()) for text in texts]
+    assert split[:3] == [["ты", "дурак", "ёлка"], ["cœur", "łódź", "straße"], ["हिन्दी", "शब्द"]]
+    names = [" ".join(chr(1072 + (i * n) % 31) * 3 + chr(1072 + i // 8) for n in (3, 5, 7, 11)) for i in range(200)]
+    rows = [(i, f"{'дурак' if i % 4 == 0 else 'друг'} {names[i]}") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "int(doc_id % 4 = 0) AS toxic").filter("doc_id < 160")
+    model = toxicity.fit_toxicity(docs, labels)
+    judged = toxicity.severities(docs, model).filter("doc_id >= 160").collect()
+    assert all(row.rejected == (row.doc_id % 4 == 0) for row in judged)
+
+
 def test_fit_of_odd_labels(spark, odd_documents, no_documents):
     schema = "doc_id long, quality int, toxic int"
     for rows in ([], [(1, 1, None), (None, 1, 1)], [(1, 1, 0), (2, 1, 0)], [(1, 1, 1)]):

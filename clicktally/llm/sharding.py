@@ -4,9 +4,10 @@ Every shard draws a number in (0, 1) for a key from a digest of both, and the ke
 with the largest ``-weight / ln(number)``. The draws of the old shards do not change when one is
 added, so only keys that the new shard wins move, and they move into it.
 
-Everything is an expression of the row; only the place within the shard needs the other rows. It
-is the place within a block of the shard, by the first digits of the key's digest, plus the rows of
-the blocks before it, so no task sees a whole shard.
+Everything is an expression of the row; only the place within the shard needs the other rows. The
+rows are sorted over all tasks by shard, block (the first digits of the key's digest), id, size and
+checksum. Slices of this order are of equal size whatever the ids are, also where one id or one row is
+repeated often. The place is that within a slice plus the rows of the slices before it.
 """
 
 from __future__ import annotations
@@ -21,6 +22,9 @@ from pyspark.sql import functions as F
 DRAW_DIGITS = 13
 BLOCK_DIGITS = 3
 
+# Lower bits of a monotonically increasing id, which count the rows of a partition.
+PLACE_BITS = 33
+
 
 def draw(key: Column, shard: int) -> Column:
     """A number strictly between 0 and 1 for a key text and a shard."""
@@ -60,24 +64,33 @@ def assign_shards(
         rendezvous(F.col("doc_id"), grown).cast("int").alias("grown_shard"),
         F.substring(F.md5(key), 1, BLOCK_DIGITS).alias("block"),
     )
-    within = Window.partitionBy("shard", "block").orderBy("doc_id", "size", "text_crc32")
-    # At most 16 ** BLOCK_DIGITS rows for each shard.
-    blocks = rows.groupBy("shard", "block").agg(F.count("*").alias("rows"))
-    before = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = blocks.select(
-        "shard", "block", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("offset")
+    order = ["shard", "block", "doc_id", "size", "text_crc32"]
+    # The place in the source only splits equal rows, which may take each other's slots.
+    placed = (
+        rows.withColumn("source", F.monotonically_increasing_id())
+        .repartitionByRange(*order, "source")
+        .sortWithinPartitions(*order)
+        .drop("source")
+        .withColumn("at", F.monotonically_increasing_id())
+        .checkpoint()
+        .withColumn("slice", F.shiftright("at", PLACE_BITS).cast("int"))
+        .withColumn("place", F.col("at").bitwiseAND(F.lit(2**PLACE_BITS - 1)))
     )
-    return (
-        rows.withColumn("place", F.row_number().over(within) - 1)
-        .join(offsets, ["shard", "block"])
-        .select(
-            "doc_id",
-            "size",
-            "text_crc32",
-            "shard",
-            (F.col("offset") + F.col("place")).alias("slot"),
-            "grown_shard",
-        )
+    # One row for each slice and one more for each shard that begins inside one.
+    slices = placed.groupBy("shard", "slice").agg(
+        F.count("*").alias("rows"), F.min("place").alias("first")
+    )
+    before = Window.partitionBy("shard").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = slices.select(
+        "shard", "slice", (F.coalesce(F.sum("rows").over(before), F.lit(0)) - F.col("first")).alias("offset")
+    )
+    return placed.join(F.broadcast(offsets), ["shard", "slice"]).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        "shard",
+        (F.col("offset") + F.col("place")).alias("slot"),
+        "grown_shard",
     )
 
 

@@ -113,6 +113,29 @@ def test_rules_find_bad_documents_that_they_have_not_seen(spark):
     assert sum(bad) < 0.15 * len(bad)
 
 
+@pytest.mark.parametrize("texts", [1, 2000])
+def test_rows_of_a_hot_id_are_numbered_by_many_tasks(spark, texts):
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    kept = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        docs = spark.range(3000).selectExpr(
+            "if(id < 2000, 7, id) AS doc_id", f"concat('text ', id % {texts}) AS text"
+        )
+        found = sharding.assign_shards(docs, (1.0,) * 3).withColumn("task", F.spark_partition_id())
+        rows = found.collect()
+    finally:
+        spark.conf.set(setting, kept)
+    for shard in range(3):
+        own = [row for row in rows if row.shard == shard]
+        assert sorted(row.slot for row in own) == list(range(len(own)))
+    hot = [row for row in rows if row.doc_id == 7]
+    assert len(rows) == 3000 and len(hot) == 2000
+    in_order = [(row["size"], row.text_crc32) for row in sorted(hot, key=lambda row: row.slot)]
+    assert in_order == sorted(in_order)
+    assert max(Counter(row.task for row in hot).values()) < 1200
+
+
 def test_one_text_of_an_id_teaches(spark):
     folder = "/root/testdata/sf0.01"
     docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))

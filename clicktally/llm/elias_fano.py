@@ -17,6 +17,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import batched
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,9 @@ from clicktally.llm.chunks import blocks, encoder
 
 MAGIC = b"TOKEF001"
 SAMPLE = 64
+
+# Runs of values, of SAMPLE each, that a reader holds at once.
+RUNS = 32
 HEADER = struct.Struct("<8sqqqqq")
 SEQUENCE = struct.Struct("<qqqqqq")
 LONGEST = 2**62
@@ -108,6 +112,16 @@ class EliasFano:
         places = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))
         return self._value(places - np.arange(self.count), self._low(0, self.count))
 
+    def runs(self) -> Iterator[np.ndarray]:
+        """The values in runs of ``SAMPLE``, each from its sample to the next one."""
+        for run, place in enumerate(self.samples[: -(-self.count // SAMPLE)].tolist()):
+            first, last = run * SAMPLE, min((run + 1) * SAMPLE, self.count)
+            stop = int(self.samples[run + 1]) if last < self.count else 8 * len(self.high)
+            bits = np.unpackbits(self.high[place // 8 : -(-stop // 8)], bitorder="little")
+            bits[: place % 8] = 0
+            places = place // 8 * 8 + np.flatnonzero(bits)[: last - first]
+            yield self._value(places - np.arange(first, last), self._low(first, last))
+
     def to_bytes(self) -> bytes:
         wide = self.samples.itemsize
         sizes = (len(self.low), len(self.high), len(self.samples) * wide)
@@ -268,21 +282,25 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
                 store, place = open_store(folder)
                 with store.open_input_file(f"{place}/{name}") as source:
                     tokens = TokenFile(source.read())
-                ends = tokens.ends.values()
-                starts = np.concatenate([[0], ends[:-1]])
-                sums = [
-                    zlib.crc32(tokens.ids[a:b].astype("<u4"))
-                    for a, b in zip(starts.tolist(), ends.tolist(), strict=True)
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(tokens.doc_ids(), pa.int64()),
-                        pa.array(starts + base),
-                        pa.array(ends - starts),
-                        pa.array(sums, pa.int64()),
-                    ],
-                    ["doc_id", "start", "n_tokens", "ids_crc32"],
-                )
+                keys, first, start = tokens.doc_ids(), 0, 0
+                # The ends are held for some runs at a time, never as a table of the file.
+                for runs in batched(tokens.ends.runs(), RUNS):
+                    ends = np.concatenate(runs)
+                    starts = np.concatenate([[start], ends[:-1]])
+                    sums = [
+                        zlib.crc32(tokens.ids[a:b].astype("<u4"))
+                        for a, b in zip(starts.tolist(), ends.tolist(), strict=True)
+                    ]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(keys[first : first + len(ends)], pa.int64()),
+                            pa.array(starts + base),
+                            pa.array(ends - starts),
+                            pa.array(sums, pa.int64()),
+                        ],
+                        ["doc_id", "start", "n_tokens", "ids_crc32"],
+                    )
+                    first, start = first + len(ends), int(ends[-1])
 
     before = Window.orderBy("part", "number").rowsBetween(Window.unboundedPreceding, -1)
     files = manifest.select(

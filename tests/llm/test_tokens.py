@@ -71,6 +71,15 @@ def test_elias_fano_selects_every_value(steps, first):
     assert [sequence.select(i) for i in range(len(values))] == values.tolist()
 
 
+@given(st.lists(st.integers(0, 10**6), max_size=300), st.integers(1, 40))
+def test_elias_fano_runs_start_at_samples(steps, repeat):
+    values = np.cumsum(np.array(steps * repeat, np.int64))
+    sequence = elias_fano.EliasFano.of(values)
+    runs = [run.tolist() for run in sequence.runs()]
+    assert sum(runs, []) == values.tolist()
+    assert all(len(run) == elias_fano.SAMPLE for run in runs[:-1])
+
+
 def test_elias_fano_is_near_minimal():
     ends = np.cumsum(np.random.default_rng(1).integers(1, 2000, 100_000))
     sequence = elias_fano.EliasFano.of(ends)

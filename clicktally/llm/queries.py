@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from clicktally.llm.elias_fano import read_token_files, write_token_files
 from clicktally.llm.packing import pack_documents
+from clicktally.llm.pii import personal_spans
 from clicktally.llm.quality import labelled_statistics, learn_rules, quality_verdicts
+from clicktally.llm.runs import run_digests
 from clicktally.llm.secrets import secret_spans
 from clicktally.llm.sharding import assign_shards, shard_sql
 from clicktally.llm.simhash import near_duplicate_classes
@@ -97,6 +99,14 @@ def op10_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_classes(_table(spark, sf_dir, "documents"))
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_spans(_table(spark, sf_dir, "documents"))
+
+
+def op13_diagonal_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digests(_table(spark, sf_dir, "documents"), rewrite=True)
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -110,6 +120,8 @@ QUERIES = {
         op8_no_random_access_top_k,
         op9_pre_token_counts,
         op10_simhash_pigeonring,
+        op11_personal_data,
+        op13_diagonal_runs,
     )
 }
 

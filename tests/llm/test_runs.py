@@ -1,0 +1,127 @@
+"""Periodic runs against a version that tries every period at every word."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter
+from fractions import Fraction
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from clicktally.llm import runs
+from clicktally.llm.queries import op13_diagonal_runs
+
+WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def plain_runs(words):
+    """For every period its maximal stretches, without those that have a smaller period."""
+    found = []
+    for q in range(1, len(words) // 3 + 1):
+        i = q
+        while i < len(words):
+            if words[i] != words[i - q]:
+                i += 1
+                continue
+            first = i
+            while i < len(words) and words[i] == words[i - q]:
+                i += 1
+            start, length = first - q, i - first + q
+            if length >= max(24, 3 * q):
+                part = words[start : start + length]
+                if all(part[p:] != part[:-p] for p in range(1, q)):
+                    found.append((start, length, q))
+    return sorted(found, key=lambda run: (run[0], run[2]))
+
+
+def plain_document(doc_id, text, rewrite=True):
+    words = WORDS.findall(text or "")
+    n = len(words)
+    if rewrite and doc_id is not None and n:
+        h = zlib.crc32(str(doc_id).encode())
+        g = h // 10
+        if h % 10 == 0:
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+    found = plain_runs(words)
+    best = min(found, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2])) if found else None
+    dropped = {i for s, length, q in found for i in range(s + q, s + length)}
+    lines = "".join(f"{s},{length},{q}\n" for s, length, q in found)
+    kept = " ".join(w for i, w in enumerate(words) if i not in dropped)
+    return (
+        doc_id,
+        len(found),
+        *(best or (None,) * 3),
+        1000 * best[1] // best[2] if best else None,
+        hashlib.sha256(lines.encode()).hexdigest(),
+        hashlib.sha256(kept.encode()).hexdigest(),
+    )
+
+
+def test_op13(spark, documents, sf_dir):
+    wanted = Counter(plain_document(doc_id, text) for doc_id, text in documents if len(text or "") < 40_000)
+    long = {doc_id for doc_id, text in documents if len(text or "") >= 40_000}
+    rows = op13_diagonal_runs(spark, sf_dir).collect()
+    assert len(rows) == len(documents)
+    assert Counter(tuple(row) for row in rows if row.doc_id not in long) == wanted
+    assert sum(row.n_runs > 0 for row in rows) > len(rows) // 20
+
+
+def numbers(words):
+    places = {}
+    return np.array([places.setdefault(word, len(places)) for word in words], np.int64)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.integers(0, 10**9))
+def test_runs_of_random_texts(seed):
+    rng = random.Random(seed)
+    texts = []
+    for _ in range(rng.randint(1, 5)):
+        words = []
+        while len(words) < rng.randint(0, 160):
+            root = rng.choices("abc"[: rng.randint(1, 3)], k=rng.choice([1, 2, 3, 5, 7, 8, 9, 13, 16, 17, 33]))
+            words += (root * rng.randint(1, 24))[: rng.randint(1, 130)]
+        texts.append(words)
+    assert runs.runs_of_words([numbers(words) for words in texts]) == [plain_runs(w) for w in texts]
+
+
+def test_runs_inside_runs():
+    inner = list("a" * 30 + "b")
+    words = inner * 4 + ["c"] + list("ab" * 20) + inner * 2
+    assert runs.runs_of_words([numbers(words)]) == [plain_runs(words)]
+    assert len(plain_runs(words)) > 5
+
+
+def test_long_texts_take_linear_time():
+    rng = np.random.default_rng(5)
+    one = np.zeros(1_000_000, np.int64)
+    passage = np.tile(rng.integers(0, 50, 100_000), 10)
+    natural = rng.zipf(1.3, 1_000_000) % 5000
+    found = runs.runs_of_words([one, passage, natural])
+    assert found[0] == [(0, 1_000_000, 1)]
+    assert found[1] == [(0, 1_000_000, 100_000)]
+
+
+def test_odd_documents(spark, odd_documents, no_documents):
+    docs = [(row.doc_id, row.text) for row in odd_documents.collect()]
+    wanted = Counter(plain_document(*doc) for doc in docs if len(doc[1] or "") < 10_000)
+    rows = [tuple(row) for row in runs.run_digests(odd_documents, rewrite=True).collect()]
+    assert len(rows) == len(docs)
+    assert not wanted - Counter(rows)
+    assert (None, 1, 0, 30_000, 1, 30_000_000) in {row[:6] for row in rows}
+    for empty in (runs.run_digests(no_documents), runs.periodic_runs(no_documents)):
+        assert empty.collect() == []
+
+
+def test_collapsed_texts(spark):
+    text = "start " + "one two three " * 10 + "end"
+    docs = spark.createDataFrame([(1, text), (None, None)], "doc_id long, text string")
+    rows = {row.doc_id: row for row in runs.periodic_runs(docs).collect()}
+    assert rows[1].collapsed == "start one two three end"
+    assert [tuple(run) for run in rows[1].runs] == [(1, 30, 3)]
+    assert rows[None].runs == [] and rows[None].collapsed == ""

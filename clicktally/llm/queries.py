@@ -18,6 +18,7 @@ from clicktally.llm.token_counts import count_tokens
 from clicktally.llm.topk import top_k
 from clicktally.llm.toxicity import fit_toxicity, severities
 from clicktally.llm.transducer import build_transducer, encode_documents
+from clicktally.llm.trie import rebuilt_trie
 from clicktally.session import fresh_path
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -103,6 +104,10 @@ def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_spans(_table(spark, sf_dir, "documents"))
 
 
+def op12_skeleton_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rebuilt_trie(_table(spark, sf_dir, "conversations"))
+
+
 def op13_diagonal_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_digests(_table(spark, sf_dir, "documents"), rewrite=True)
 
@@ -121,6 +126,7 @@ QUERIES = {
         op9_pre_token_counts,
         op10_simhash_pigeonring,
         op11_personal_data,
+        op12_skeleton_trie,
         op13_diagonal_runs,
     )
 }

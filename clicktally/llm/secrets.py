@@ -1,15 +1,14 @@
 r"""Secrets in texts: fixed patterns, and the entropy of sliding windows over candidate strings.
 
-Everything is a Spark expression of the row. Places of matches are found by putting a character that
-no pattern holds round every match and adding up the lengths of what lies between. The marks are put
-only into texts that match at all.
+Everything is a Spark expression of the row.
 
 A candidate is a run of at least ``WINDOW`` characters of keys. A window of so many characters slides
-over it; the sum of ``count * log2(count)`` over the window's characters, and with it the Shannon
-entropy, is kept up to date with the two counts that change. Hexadecimal runs and runs of mixed
-characters have limits of their own. What the allow list matches, such as words, paths and UUIDs, is
+over it, and how often each character stands in it is counted on: one count rises with the character that
+enters, one falls with the one that leaves. The sum of ``count * log2(count)`` over the window's characters,
+and with it the Shannon entropy, follows from the two counts that change. Hexadecimal runs and runs of
+mixed characters have limits of their own. What the allow list matches, such as words, paths and UUIDs, is
 no candidate; letters of mixed cases are on it only in the shape of words. A span reaches over all
-windows of a candidate above its limit.
+windows of a candidate above its limit. The time grows with the length of a candidate alone.
 """
 
 from __future__ import annotations
@@ -22,10 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clicktally.llm.expressions import let
-
-# A character that the patterns exclude, and what stands for it in a text that holds it.
-MARK = "﷐"
-INSTEAD = "﷑"
+from clicktally.llm.places import matches, replaced
 
 # Fixed patterns: a prefix and a value each, and the length that the part named needs.
 ASSIGN = (
@@ -57,94 +53,102 @@ ALLOWED = (
     r"^[0-9A-Fa-f]{8}-(?:[0-9A-Fa-f]{4}-){3}[0-9A-Fa-f]{12}$",
 )
 
-BLOCK = 128
-
-
-def _marked(text: Column, pattern: str) -> Column:
-    """The parts of a text: outside, prefix, value, outside, prefix, value, ..., outside."""
-    clean = F.translate(text, MARK, INSTEAD)
-    return F.split(F.regexp_replace(clean, pattern, f"{MARK}$1{MARK}$2{MARK}"), MARK)
-
-
-def _total(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0), lambda total, more: total + more)
-
-
-def _starts(lengths: Column) -> Column:
-    """Where each part begins, from sums over blocks of parts."""
-    blocks = F.transform(
-        F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / BLOCK).cast("int")),
-        lambda b: _total(F.slice(lengths, b * BLOCK + 1, F.lit(BLOCK))),
-    )
-    before = F.aggregate(
-        blocks,
-        F.array(F.lit(0)),
-        lambda sums, more: F.concat(sums, F.array(F.element_at(sums, -1) + more)),
-    )
-    return let(
-        before,
-        lambda sums: F.transform(
-            lengths,
-            lambda _, i: F.get(sums, F.floor(i / BLOCK).cast("int"))
-            + _total(F.slice(lengths, i - i % BLOCK + 1, i % BLOCK)),
-        ),
-    )
-
+# The characters of candidates. Their counts are numbers of five bits, twelve of them in a long.
+ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+BITS = 5
+COUNTS = 12
 
-def matches(text: Column, pattern: str) -> Column:
-    """The matches of a pattern in a text that is not null: start, end and value of each."""
+# ``count * log2(count)`` for each count, in units small enough to add whole numbers without any error.
+UNIT = 2**40
+WEIGHTS = [0, *(round(count * math.log2(count) * UNIT) for count in range(1, WINDOW + 1))]
 
-    def of_parts(parts: Column, starts: Column) -> Column:
-        # A value follows a prefix, which follows what lies outside: places 2, 5, 8, ...
-        return F.transform(
-            F.sequence(F.lit(2), F.size(parts) - 2, F.lit(3)),
-            lambda i: F.struct(
-                F.get(starts, i - 1).alias("start"),
-                (F.get(starts, i) + F.length(F.get(parts, i))).alias("end"),
-                F.get(parts, i).alias("value"),
-            ),
-        )
-
-    found = let(
-        _marked(text, pattern),
-        lambda parts: let(
-            F.transform(parts, lambda part: F.length(part)),
-            lambda lengths: let(_starts(lengths), lambda starts: of_parts(parts, starts)),
-        ),
-    )
-    none = F.array().cast("array<struct<start:int,end:int,value:string>>")
-    return F.when(text.rlike(pattern), found).otherwise(none)
-
-
-def _weight(count: Column) -> Column:
-    """``count * log2(count)``, which is 0 for none and one."""
-    return F.when(count > 1, count * F.log2(count)).otherwise(0.0)
+# Characters of a candidate that are split at once.
+PART = 1024
 
 
 def _hot_windows(value: Column, limit: Column) -> Column:
-    """Start of the first and end of the last window whose entropy reaches the limit, or -1."""
-
-    def count(character: Column, start: Column, size: Column) -> Column:
-        window = F.substring(value, start, size)
-        return F.length(window) - F.length(F.replace(window, character, F.lit("")))
-
-    def slide(state: Column, place: Column) -> Column:
-        enters = F.substring(value, place, F.lit(1))
-        first = F.greatest(place - WINDOW, F.lit(1))
-        held = count(enters, first, place - first).cast("double")
-        total = state["sum"] + _weight(held + 1) - _weight(held)
-        leaves = F.substring(value, place - WINDOW, F.lit(1))
-        out = count(leaves, place - WINDOW, F.lit(WINDOW + 1)).cast("double")
-        total = F.when(place > WINDOW, total + _weight(out - 1) - _weight(out)).otherwise(total)
-        hot = (place >= WINDOW) & (math.log2(WINDOW) - total / WINDOW >= limit)
-        return F.struct(
-            total.alias("sum"),
-            F.when(hot & (state["first"] < 0), place - WINDOW).otherwise(state["first"]).alias("first"),
-            F.when(hot, place).otherwise(state["last"]).alias("last"),
-        )
+    """Start of the first and end of the last window whose entropy reaches the limit, or -1.
 
-    start = F.struct(F.lit(0.0).alias("sum"), F.lit(-1).alias("first"), F.lit(-1).alias("last"))
-    return F.aggregate(F.sequence(F.lit(1), F.length(value)), start, slide)
+    The candidate is read in parts. The state holds the counts, the weighted sum, the places found, the
+    number of characters before the part, and the characters of the last window before it.
+    """
+    weights = F.array(*(F.lit(weight) for weight in WEIGHTS))
+    most = (math.log2(WINDOW) - limit) * (WINDOW * UNIT)
+
+    def count(counts: Column, character: Column) -> Column:
+        held = F.get(counts, F.floor(character / COUNTS).cast("int"))
+        return F.call_function("shiftrightunsigned", held, character % COUNTS * BITS).bitwiseAND(F.lit(31))
+
+    def changed(counts: Column, character: Column, by: int) -> Column:
+        one = F.call_function("shiftleft", F.lit(by).cast("long"), character % COUNTS * BITS)
+        place = F.floor(character / COUNTS).cast("int")
+        return F.transform(counts, lambda held, i: F.when(i == place, held + one).otherwise(held))
+
+    def slide(state: Column, enters: Column, leaves: Column, place: Column) -> Column:
+        def added(held: Column) -> Column:
+            total = state["sum"] + F.get(weights, (held + 1).cast("int")) - F.get(weights, held.cast("int"))
+            counts = changed(state["counts"], enters, 1)
+
+            def removed(counts: Column) -> Column:
+                out = count(counts, leaves).cast("int")
+                less = total + F.get(weights, out - 1) - F.get(weights, out)
+                return F.struct(changed(counts, leaves, -1).alias("counts"), less.alias("sum"))
+
+            kept = F.struct(counts.alias("counts"), total.alias("sum"))
+            return F.when(place > WINDOW, let(counts, removed)).otherwise(kept)
+
+        def found(window: Column) -> Column:
+            hot = (place >= WINDOW) & (window["sum"] <= most)
+            return F.struct(
+                window["counts"].alias("counts"),
+                window["sum"].alias("sum"),
+                F.when(hot & (state["first"] < 0), place - WINDOW).otherwise(state["first"]).alias("first"),
+                F.when(hot, place).otherwise(state["last"]).alias("last"),
+            )
+
+        return let(let(count(state["counts"], enters), added), found)
+
+    def over(state: Column, part: Column) -> Column:
+        """Read one part of the candidate."""
+
+        def of_characters(characters: Column) -> Column:
+            held = F.size(state["tail"])
+
+            def step(inner: Column, i: Column) -> Column:
+                leaves = F.get(characters, i - WINDOW)
+                return slide(inner, F.get(characters, i), leaves, state["at"] + i - held + 1)
+
+            windows = F.aggregate(
+                F.sequence(held, F.size(characters) - 1),
+                F.struct(*(state[name].alias(name) for name in ("counts", "sum", "first", "last"))),
+                step,
+            )
+            return let(
+                windows,
+                lambda end: F.struct(
+                    end["counts"].alias("counts"),
+                    end["sum"].alias("sum"),
+                    end["first"].alias("first"),
+                    end["last"].alias("last"),
+                    (state["at"] + F.length(part)).alias("at"),
+                    F.slice(characters, -WINDOW, WINDOW).alias("tail"),
+                ),
+            )
+
+        codes = F.transform(F.split(part, ""), lambda c: F.instr(F.lit(ALPHABET), c) - 1)
+        return let(F.concat(state["tail"], codes), of_characters)
+
+    words = -(-len(ALPHABET) // COUNTS)
+    start = F.struct(
+        F.array_repeat(F.lit(0).cast("long"), words).alias("counts"),
+        F.lit(0).cast("long").alias("sum"),
+        F.lit(-1).alias("first"),
+        F.lit(-1).alias("last"),
+        F.lit(0).alias("at"),
+        F.array().cast("array<int>").alias("tail"),
+    )
+    parts = F.regexp_extract_all(value, F.lit(f".{{{WINDOW},{PART}}}|.+"), F.lit(0))
+    return F.aggregate(parts, start, over)
 
 
 def _span(start: Column, kind: int, end: Column) -> Column:
@@ -164,9 +168,8 @@ def _entropy_spans(text: Column) -> Column:
 
     def hot(match: Column) -> Column:
         limit = F.when(match["value"].rlike("^[0-9A-Fa-f]+$"), HEX_LIMIT).otherwise(MIXED_LIMIT)
-        return F.struct(
-            match["start"].alias("start"), _hot_windows(match["value"], limit).alias("hot")
-        )
+        windows = let(limit, lambda held: _hot_windows(match["value"], held))
+        return F.struct(match["start"].alias("start"), windows.alias("hot"))
 
     candidates = F.filter(matches(text, CANDIDATE), lambda match: ~suppressed(match))
     found = F.filter(F.transform(candidates, hot), lambda match: match["hot"]["first"] >= 0)
@@ -230,23 +233,4 @@ def secret_spans(docs: DataFrame) -> DataFrame:
 def redact(docs: DataFrame, mask: str = "[secret]") -> DataFrame:
     """Replace the spans of every text by a mask; spans that overlap become one. Null stays null."""
     text = F.col("text")
-
-    def cut(state: Column, s: Column) -> Column:
-        fresh = s["start"] >= state["at"]
-        between = F.substring(text, state["at"] + 1, s["start"] - state["at"])
-        return F.struct(
-            F.greatest(state["at"], s["end"]).alias("at"),
-            F.when(fresh, F.concat(state["out"], F.array(between, F.lit(mask))))
-            .otherwise(state["out"])
-            .alias("out"),
-        )
-
-    def rest(state: Column) -> Column:
-        tail = F.substring(text, state["at"] + 1, F.length(text))
-        return F.concat(F.array_join(state["out"], ""), tail)
-
-    def clean(found: Column) -> Column:
-        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-        return F.when(F.size(found) > 0, let(F.aggregate(found, start, cut), rest)).otherwise(text)
-
-    return docs.withColumn("text", let(spans(text), clean))
+    return docs.withColumn("text", let(spans(text), lambda found: replaced(text, found, mask)))

@@ -4,9 +4,12 @@ import hashlib
 import math
 import random
 import re
+import string
+import time
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -284,6 +287,47 @@ def test_keys_without_digits(spark):
     assert all(masked[i] == "say [secret] now" for i in range(len(keys)))
 
 
+def fast_entropy(value, limit):
+    """Start of the first and end of the last hot window, with counts from sums over the whole text."""
+    codes = np.frombuffer(value.encode(), np.uint8)
+    total = np.zeros(len(value) - 19)
+    for code in np.unique(codes):
+        so_far = np.concatenate([[0], np.cumsum(codes == code)])
+        count = (so_far[20:] - so_far[:-20]).astype(float)
+        total += np.where(count > 1, count * np.log2(np.maximum(count, 1)), 0)
+    hot = np.flatnonzero(math.log2(20) - total / 20 >= limit - 1e-9)
+    return (int(hot[0]), int(hot[-1]) + 20) if len(hot) else None
+
+
+@pytest.mark.parametrize("letters", ["base64", "hex", "dull"])
+def test_long_candidates_take_linear_time(spark, letters):
+    rng = random.Random(letters)
+    digits = "0123456789ABCDEF"
+    alphabet = {"base64": string.ascii_letters + string.digits + "+/", "hex": digits, "dull": "aB1"}[letters]
+    # The ends are dull, so that spans do not simply reach over the whole candidate.
+    dull = "A1" * 1500
+    docs = [(n, f"see {dull}{''.join(rng.choices(alphabet, k=n))}{dull} end") for n in (50, 200_000, 1_000_000)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    started = time.monotonic()
+    found = {row.doc_id: row.spans for row in secrets.secret_spans(frame).collect()}
+    assert time.monotonic() - started < 60
+    limit = secrets.HEX_LIMIT if letters == "hex" else secrets.MIXED_LIMIT
+    for n, text in docs:
+        span = fast_entropy(text.split()[1], limit)
+        windows = [s for s in found[n].split(",") if s.startswith("entropy")]
+        assert windows == ([f"entropy:{4 + span[0]}:{4 + span[1]}"] if span else [])
+        assert bool(span) == (letters != "dull")
+
+
+def test_many_spans_are_masked_in_linear_time(spark):
+    text = " ".join(f"token={i:024x} é" for i in range(20_000))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    started = time.monotonic()
+    (row,) = secrets.redact(docs).collect()
+    assert time.monotonic() - started < 20
+    assert row.text == " ".join(["[secret] é"] * 20_000)
+
+
 def test_redaction(spark, planted):
     docs = spark.createDataFrame(planted, "doc_id long, text string")
     redacted = {row.doc_id: row.text for row in secrets.redact(docs, "*").collect()}

@@ -1,3 +1,4 @@
 from clicktally.streaming.click_stream import run_click_stream
+from clicktally.streaming.stateful_counts import run_stateful_stream
 
-__all__ = ["run_click_stream"]
+__all__ = ["run_click_stream", "run_stateful_stream"]

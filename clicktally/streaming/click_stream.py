@@ -50,6 +50,18 @@ def _day(hour: Column) -> Column:
     return F.translate(F.substring(hour, 1, 10), "/", "-")
 
 
+def with_file_marks(lines: DataFrame, layout: ClickLayout) -> DataFrame:
+    """Lines with the hour of their file, and whether it lies in the stream of its day."""
+    path = F.col("_metadata.file_path")
+    hour = layout.hour_of_path(path)
+    stream = layout.stream_of(F.to_date(F.substring(hour, 1, 10), "yyyy/MM/dd"))
+    return lines.select(
+        "value",
+        hour.alias("hour"),
+        F.coalesce(layout.stream_of_path(path) == stream, F.lit(False)).alias("in_place"),
+    )
+
+
 def click_line_stream(
     spark: SparkSession, layout: ClickLayout, files_per_batch: int
 ) -> DataFrame:
@@ -57,18 +69,8 @@ def click_line_stream(
     anywhere = layout.hour_folder.format(stream="*")
     for part in ("%Y", "%m", "%d", "%H"):
         anywhere = anywhere.replace(part, "*")
-    path = F.col("_metadata.file_path")
-    hour = layout.hour_of_path(path)
-    stream = layout.stream_of(F.to_date(F.substring(hour, 1, 10), "yyyy/MM/dd"))
-    return (
-        spark.readStream.option("maxFilesPerTrigger", files_per_batch)
-        .text(f"{layout.root}/{anywhere}/*.gz")
-        .select(
-            "value",
-            hour.alias("hour"),
-            F.coalesce(layout.stream_of_path(path) == stream, F.lit(False)).alias("in_place"),
-        )
-    )
+    new = spark.readStream.option("maxFilesPerTrigger", files_per_batch)
+    return with_file_marks(new.text(f"{layout.root}/{anywhere}/*.gz"), layout)
 
 
 def stream_rejects(lines: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import argparse
 import json
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,12 +16,15 @@ from clicktally.plans.jobs import (
     run_click_statistics,
     run_conversion_consolidation,
     run_conversion_statistics,
+    run_copy_search,
 )
+from clicktally.plans.late_files import run_late_hours
+from clicktally.plans.refresh import run_conversion_refresh
 from clicktally.schemas import CLICK_SNAPSHOT, CONVERSION_LOG, CONVERSION_SNAPSHOT
 from clicktally.session import build_session
 from clicktally.sinks import read_snapshots
-from clicktally.sources import ClickLayout, read_conversion_log
-from clicktally.streaming import run_click_stream
+from clicktally.sources import ClickLayout, read_conversion_log, write_click_copy
+from clicktally.streaming import run_click_stream, run_stateful_stream
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -66,10 +69,21 @@ def _parser() -> argparse.ArgumentParser:
     search = add("search", "find the clicks of the day with a destination subid", "root", "out")
     search.add_argument("subid")
     search.add_argument("--rejects")
+    search.add_argument("--copy", help="folder of a cleaned copy to search instead of the files")
+    late = add("late-hours", "count the hours that got files after their count", "root", "snapshots", "ledger")
+    late.add_argument("--rejects")
+    late.add_argument("--days", type=int, default=2, help="days to look back")
+    copy = add("copy", "copy the clicks of the day for searches", "root", "copy")
+    copy.add_argument("--rejects")
+    refresh = add(
+        "conversion-refresh", "sum up what was loaded since the last run", "log", "snapshots", "totals"
+    )
+    refresh.add_argument("--rejects")
     stream = add(
         "stream", "count the click files that are new", "root", "partials", "snapshots", "progress"
     )
     stream.add_argument("--rejects")
+    stream.add_argument("--delay", help="keep the counts in the state store, and hours open this long")
     return parser
 
 
@@ -127,11 +141,41 @@ def main(arguments: list[str] | None = None) -> None:
         run_conversion_consolidation(
             rows, as_of, options.daily, options.staging, options.rejects
         )
+    elif options.job == "late-hours":
+        hours = run_late_hours(
+            spark,
+            ClickLayout(options.root),
+            as_of - timedelta(days=options.days),
+            as_of,
+            options.snapshots,
+            options.ledger,
+            options.rejects,
+        )
+        print(f"{len(hours)} hours counted")
+    elif options.job == "copy":
+        layout = ClickLayout(options.root)
+        write_click_copy(spark, layout, layout.day_glob(as_of), options.copy, options.rejects)
+    elif options.job == "conversion-refresh":
+        log = _conversion_log(spark, options)
+        run_conversion_refresh(log, as_of, options.snapshots, options.totals, options.rejects)
+    elif options.job == "search" and options.copy:
+        found = run_copy_search(spark, options.copy, as_of, options.subid)
+        found.write.mode("overwrite").csv(options.out)
     elif options.job == "search":
         found = run_click_search(
             spark, ClickLayout(options.root), as_of, options.subid, options.rejects
         )
         found.write.mode("overwrite").csv(options.out)
+    elif options.job == "stream" and options.delay:
+        run_stateful_stream(
+            spark,
+            ClickLayout(options.root),
+            options.partials,
+            options.snapshots,
+            options.progress,
+            options.delay,
+            rejects_path=options.rejects,
+        ).awaitTermination()
     elif options.job == "stream":
         run_click_stream(
             spark,

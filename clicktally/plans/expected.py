@@ -268,10 +268,16 @@ named AS (
 SELECT key_type || chr(9) || '-' || chr(9) || destination_subid AS value, hour,
        'fewer than 7 tokens' AS reason
 FROM events_as_clicks WHERE key_type = 'error'"""),
-    "click_statistics_job": _from_events(_counts(f"""{_WHOLE_LINES} AND date_trunc('hour', ts) >=
-  (SELECT date_trunc('hour', max(ts)) - INTERVAL 2 HOURS FROM events)""")),
+    "click_statistics_job": _from_events(_counts(f"""{_WHOLE_LINES} AND ts >=
+  (SELECT date_trunc('day', max(ts)) FROM events)""")),
     "click_search_job": _from_events(f"""
 SELECT offer_id, offer_advertiser_id FROM events_as_clicks
 WHERE destination_subid = '{{"k": 69}}' AND {_WHOLE_LINES}
   AND ts >= (SELECT date_trunc('day', max(ts)) FROM events)"""),
+    "click_late_hours": _from_events(_counts(_WHOLE_LINES)),
+    "click_copy_search": _from_events(f"""
+SELECT offer_id, offer_advertiser_id FROM events_as_clicks
+WHERE destination_subid = '{{"k": 69}}' AND {_WHOLE_LINES}"""),
+    "conversion_refresh": _from_log(WHOLE_LOG),
+    "stream_stateful_counts": _from_events(_counts(_WHOLE_LINES)),
 }

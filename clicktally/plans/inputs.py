@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -72,13 +73,23 @@ def write_click_files(spark: SparkSession, sf_dir: str, plain: bool = False) ->
         layout = _write_plain_files(spark, sf_dir)
         _written[application, sf_dir, plain] = layout
         return layout
-    layout = ClickLayout(
+    layout = _table_layout(spark)
+    _write_table_files(click_lines(spark, sf_dir), layout)
+    _written[application, sf_dir, plain] = layout
+    return layout
+
+
+def _table_layout(spark: SparkSession) -> ClickLayout:
+    return ClickLayout(
         fresh_path(spark, "click-files"),
         odd_day_stream="stream=offer-stream-even",
         even_day_stream="stream=offer-stream-odd",
         hour_folder=TABLE_FOLDERS,
     )
-    lines = click_lines(spark, sf_dir)
+
+
+def _write_table_files(lines: DataFrame, layout: ClickLayout) -> None:
+    """Add files of lines to the folders of their hours."""
     parts = {
         name: F.split_part("hour", F.lit("/"), F.lit(place + 1))
         for place, name in enumerate(FOLDER_COLUMNS[1:])
@@ -89,12 +100,21 @@ def write_click_files(spark: SparkSession, sf_dir: str, plain: bool = False) ->
         )
         .select("value", *FOLDER_COLUMNS)
         .hint("rebalance", *FOLDER_COLUMNS)
-        .write.partitionBy(*FOLDER_COLUMNS)
+        .write.mode("append")
+        .partitionBy(*FOLDER_COLUMNS)
         .option("compression", "gzip")
         .text(layout.root)
     )
-    _written[application, sf_dir, plain] = layout
-    return layout
+
+
+def deliver_click_files(spark: SparkSession, sf_dir: str) -> Iterator[ClickLayout]:
+    """Events as click files in two deliveries; the second adds files to the hours of odd days."""
+    layout = _table_layout(spark)
+    lines = click_lines(spark, sf_dir)
+    late = (F.dayofmonth("ts") % 2 == 1) & (F.crc32("value") % 2 == 0)
+    for delivered in (~late, late):
+        _write_table_files(lines.filter(delivered), layout)
+        yield layout
 
 
 def _write_plain_files(spark: SparkSession, sf_dir: str) -> ClickLayout:

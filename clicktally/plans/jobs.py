@@ -53,10 +53,10 @@ from clicktally.sinks import (
     write_run,
     write_snapshots,
 )
-from clicktally.sources import ClickLayout, read_click_lines
+from clicktally.sources import ClickLayout, read_click_copy, read_click_lines
 
 
-def _write_rejects(rejects: DataFrame, path: str | None, run: str) -> None:
+def write_rejects(rejects: DataFrame, path: str | None, run: str) -> None:
     """Keep the rejects of a run in the folder of the run; none empty it."""
     if path is not None:
         rejects.write.mode("overwrite").parquet(f"{path}/run={run}")
@@ -67,7 +67,7 @@ def _run_name(*times: datetime) -> str:
 
 
 @contextmanager
-def _fitting(
+def fitting_rows(
     rows: DataFrame, contract: TableContract, rejects_path: str | None, run: str
 ) -> Iterator[DataFrame]:
     """Rows that keep the contract of their table; with a path, the others go to the rejects.
@@ -85,7 +85,7 @@ def _fitting(
             yield rows
         else:
             fitting, broken = split_by_contract(rows, contract)
-            _write_rejects(broken, f"{rejects_path}/{contract.name}", run)
+            write_rejects(broken, f"{rejects_path}/{contract.name}", run)
             yield fitting
     finally:
         delete_path(spark, stored)
@@ -109,12 +109,12 @@ def run_click_statistics(
         parsed := Observation(), F.count("*").alias("clicks")
     )
     run = _run_name(as_of)
-    with _fitting(click_counts(clicks, as_of), CLICK_SNAPSHOT, rejects_path, run) as counts:
+    with fitting_rows(click_counts(clicks, as_of), CLICK_SNAPSHOT, rejects_path, run) as counts:
         write_run(counts, snapshots_path, as_of)
     rejected = seen.get["lines"] - parsed.get["clicks"]
     if rejects_path is not None:
         found = click_rejects(lines) if rejected else click_rejects(lines.limit(0))
-        _write_rejects(found, f"{rejects_path}/lines", run)
+        write_rejects(found, f"{rejects_path}/lines", run)
     return rejected
 
 
@@ -136,10 +136,10 @@ def run_click_history(
     run = _run_name(first, last)
     hours = F.substring("key_dt", 1, 13).between(minute_key(first)[:13], minute_key(last)[:13])
     at_end = F.substring("key_dt", 15, 2) == "59"
-    with _fitting(counts, CLICK_SNAPSHOT, rejects_path, run) as fitting:
+    with fitting_rows(counts, CLICK_SNAPSHOT, rejects_path, run) as fitting:
         write_snapshots(fitting, snapshots_path, CLICK_SNAPSHOT, hours & at_end)
     if rejects_path is not None:
-        _write_rejects(click_rejects(lines), f"{rejects_path}/lines", run)
+        write_rejects(click_rejects(lines), f"{rejects_path}/lines", run)
 
 
 def run_conversion_history(
@@ -148,10 +148,10 @@ def run_conversion_history(
     """Store the last snapshot of every day of the log, in one pass; days without any are emptied."""
     snapshots = conversion_snapshots_by_day(log)
     at_end = F.substring("key_dt", 12, 5) == "23:59"
-    with _fitting(snapshots, CONVERSION_SNAPSHOT, rejects_path, "history") as rows:
+    with fitting_rows(snapshots, CONVERSION_SNAPSHOT, rejects_path, "history") as rows:
         write_snapshots(rows, snapshots_path, CONVERSION_SNAPSHOT, at_end)
     if rejects_path is not None:
-        _write_rejects(conversion_rejects(log), f"{rejects_path}/conversions", "history")
+        write_rejects(conversion_rejects(log), f"{rejects_path}/conversions", "history")
 
 
 def run_conversion_statistics(
@@ -169,11 +169,11 @@ def run_conversion_statistics(
     """
     run = _run_name(as_of)
     snapshot = conversion_snapshot(log, as_of, since)
-    with _fitting(snapshot, CONVERSION_SNAPSHOT, rejects_path, run) as rows:
+    with fitting_rows(snapshot, CONVERSION_SNAPSHOT, rejects_path, run) as rows:
         write_run(rows, snapshots_path, as_of)
     seen = log.filter(in_either_window(log, as_of, since))
     if rejects_path is not None:
-        _write_rejects(conversion_rejects(seen), f"{rejects_path}/conversions", run)
+        write_rejects(conversion_rejects(seen), f"{rejects_path}/conversions", run)
     if values_path is not None:
         marks = window_marks(log, as_of, since)
         values = dimension_values(by_type(seen, marks), "key_type")
@@ -201,11 +201,11 @@ def _consolidate(
     target = read_daily(spark, target_path, contract, as_of)
     run = _run_name(as_of)
     # The days in the table keep the contract already, so only what is new is checked.
-    with _fitting(latest, contract, rejects_path, run) as rows:
+    with fitting_rows(latest, contract, rejects_path, run) as rows:
         merged = upsert(target, rows, contract.key, changed)
         stage_and_replace(merged, staging, run, target_path, contract)
     if rejects_path is not None:
-        _write_rejects(snapshot_rejects(snapshots, offer), f"{rejects_path}/snapshots", run)
+        write_rejects(snapshot_rejects(snapshots, offer), f"{rejects_path}/snapshots", run)
 
 
 def run_click_consolidation(
@@ -313,5 +313,15 @@ def run_click_search(
     With a path for rejects the files are read twice.
     """
     lines = read_click_lines(spark, layout, layout.day_glob(as_of))
-    _write_rejects(click_rejects(lines), rejects_path, _run_name(as_of))
+    write_rejects(click_rejects(lines), rejects_path, _run_name(as_of))
     return search_clicks(parse_clicks(lines), destination_subid)
+
+
+def run_copy_search(
+    spark: SparkSession, copy_path: str, as_of: datetime, destination_subid: str
+) -> DataFrame:
+    """Offer and advertiser of the clicks with a subid on the day of ``as_of``, from the cleaned copy.
+
+    The same as ``run_click_search`` for the hours that are copied; row groups without the id are skipped.
+    """
+    return search_clicks(read_click_copy(spark, copy_path, as_of), destination_subid)

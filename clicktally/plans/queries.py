@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timedelta
+from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,6 +47,8 @@ from clicktally.plans.jobs import (
     run_conversion_consolidation,
     run_conversion_statistics,
 )
+from clicktally.plans.late_files import run_late_hours
+from clicktally.plans.refresh import refresh_totals, totals_snapshot
 from clicktally.schemas import (
     CLICK_DAILY,
     CLICK_SNAPSHOT,
@@ -57,8 +60,8 @@ from clicktally.schemas import (
 )
 from clicktally.session import fresh_path
 from clicktally.sinks import read_daily, read_snapshots
-from clicktally.sources import read_click_lines
-from clicktally.streaming import run_click_stream
+from clicktally.sources import read_click_copy, read_click_lines, write_click_copy
+from clicktally.streaming import run_click_stream, run_stateful_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -72,6 +75,10 @@ LAST = datetime(2100, 1, 1)
 TODAY = datetime(2024, 1, 8, 10, 35)
 # The first events begin on this day; a consolidation as of it takes in all of them.
 FIRST_DAY = datetime(2024, 1, 1)
+# Batch times of the incremental refresh before the last one.
+REFRESHES = (datetime(1996, 3, 1, 12), datetime(1998, 7, 9), datetime(2001, 10, 30, 6))
+# Runs of one query that are started side by side.
+JOBS_AT_ONCE = 6
 SUBID = '{"k": 69}'
 
 
@@ -270,16 +277,49 @@ def width_violation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def click_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The click job at the end of each of the last hours, in the plain folder layout."""
+    """The click job at the end of each hour of the last day, in the plain folder layout."""
     layout = inputs.write_click_files(spark, sf_dir, plain=True)
     path = fresh_path(spark, CLICK_SNAPSHOT.name)
     _, last = inputs.event_span(spark, sf_dir)
-    for back in range(3):
-        as_of = last.replace(minute=59) - timedelta(hours=back)
+
+    def count(hour: int) -> None:
+        as_of = last.replace(hour=hour, minute=59)
         run_click_statistics(spark, layout, as_of, path, fresh_path(spark, "rejects"))
+
+    # The runs of different hours have nothing in common.
+    with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
+        list(pool.map(count, range(last.hour + 1)))
     return read_snapshots(spark, path, CLICK_SNAPSHOT)
 
 
+def click_late_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All hours counted after a first delivery of files, and those of late files after a second."""
+    snapshots, ledger = fresh_path(spark, CLICK_SNAPSHOT.name), fresh_path(spark, "ledger")
+    span = inputs.event_span(spark, sf_dir)
+    for layout in inputs.deliver_click_files(spark, sf_dir):
+        run_late_hours(spark, layout, *span, snapshots, ledger)
+    return read_snapshots(spark, snapshots, CLICK_SNAPSHOT)
+
+
+def conversion_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four runs over a window that takes in the whole log, each from what was loaded since."""
+    totals = fresh_path(spark, "totals")
+    log = inputs.conversion_log(spark, sf_dir)
+    for as_of in (*REFRESHES, LAST):
+        refreshed = refresh_totals(log, totals, as_of, FIRST)
+    return totals_snapshot(refreshed, LAST)
+
+
+def click_copy_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clicks with an id in a cleaned copy of all click files."""
+    layout = inputs.write_click_files(spark, sf_dir)
+    path = fresh_path(spark, "click-copy")
+    write_click_copy(spark, layout, layout.range_glob(*inputs.event_span(spark, sf_dir)), path)
+    return search_clicks(read_click_copy(spark, path), SUBID).select(
+        "offer_id", "offer_advertiser_id"
+    )
+
+
 def click_search_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The search job over the last day, in the plain folder layout."""
     layout = inputs.write_click_files(spark, sf_dir, plain=True)
@@ -304,6 +344,14 @@ def stream_click_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_snapshots(spark, snapshots, CLICK_SNAPSHOT)
 
 
+def stream_stateful_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    layout = inputs.write_click_files(spark, sf_dir)
+    paths = [fresh_path(spark, name) for name in ("layers", "snapshots", "progress")]
+    # A month of files is delivered at once, so no hour is closed before the last.
+    run_stateful_stream(spark, layout, *paths, delay="366 days").awaitTermination()
+    return read_snapshots(spark, paths[1], CLICK_SNAPSHOT)
+
+
 def stream_click_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, rejects = _streamed(spark, sf_dir)
     return spark.read.parquet(rejects).select("value", "hour", "reason")
@@ -350,4 +398,8 @@ QUERIES: dict[str, Query] = {
     "stream_click_rejects": stream_click_rejects,
     "click_statistics_job": click_job,
     "click_search_job": click_search_job,
+    "click_late_hours": click_late_hours,
+    "click_copy_search": click_copy_search,
+    "conversion_refresh": conversion_refresh,
+    "stream_stateful_counts": stream_stateful_counts,
 }

@@ -14,7 +14,7 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,7 +62,8 @@ def write_snapshots(
     """Store the snapshots of many minutes, each in the folder of its day and minute.
 
     ``covered`` tells by ``key_dt`` which minutes these rows are the whole of: a folder of such a
-    minute that gets no rows is emptied. Their number is that of the minutes, not of the rows.
+    minute that gets no rows is emptied. Their number is that of the minutes, not of the rows, which
+    are read once more if there are such folders.
     """
     spark = rows.sparkSession
     key = F.col("key_dt")
@@ -70,13 +71,11 @@ def write_snapshots(
     if covered is not None:
         minutes = read_snapshots(spark, path, contract).filter(covered).select(key).distinct()
         before = [row.key_dt for row in minutes.collect()]
-    seen = Observation()
     folders = {"snapshot_day": day_of_key(key), "snapshot_run": run_of_key(key)}
-    if before:
-        rows = rows.observe(seen, F.array_join(F.collect_set(key), ",").alias("minutes"))
+    now = {row.key_dt for row in rows.select(key).distinct().collect()} if before else set()
     _replace_folders(rows.withColumns(folders), path, RUN_FOLDERS)
     nothing = spark.createDataFrame([], contract.schema)
-    for minute in set(before) - set(seen.get["minutes"].split(",") if before else []):
+    for minute in set(before) - now:
         write_run(nothing, path, datetime.fromisoformat(minute))
 
 

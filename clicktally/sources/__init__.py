@@ -1,4 +1,5 @@
-from clicktally.sources.click_files import ClickLayout, read_click_lines
+from clicktally.sources.click_copy import read_click_copy, write_click_copy
+from clicktally.sources.click_files import ClickLayout, list_click_files, read_click_lines
 from clicktally.sources.databases import (
     conversion_predicates,
     read_conversion_log,
@@ -9,8 +10,11 @@ from clicktally.sources.databases import (
 __all__ = [
     "ClickLayout",
     "conversion_predicates",
+    "list_click_files",
+    "read_click_copy",
     "read_click_lines",
     "read_conversion_log",
     "read_snapshot_table",
     "snapshot_predicates",
+    "write_click_copy",
 ]

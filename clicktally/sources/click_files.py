@@ -6,6 +6,7 @@ shuffled before the first partial aggregation.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from clicktally.functions import as_utc, day_start
 
 LINES_SCHEMA = "value string, hour string"
+FILES_SCHEMA = "path string, length long, modified timestamp, hour string"
 
 
 @dataclass(frozen=True)
@@ -59,6 +61,10 @@ class ClickLayout:
                 hour += timedelta(hours=1)
         return f"{self.root}/{{{','.join(folders)}}}/*.gz"
 
+    def hours_glob(self, hours: Sequence[datetime]) -> str:
+        """The files of some hours."""
+        return f"{self.root}/{{{','.join(self._folder(hour) for hour in hours)}}}/*.gz"
+
     def hour_of_path(self, path: Column) -> Column:
         """The hour of a file as text, ``yyyy/MM/dd/HH``."""
         tail = F.substring_index(path, "/", -5)
@@ -96,3 +102,15 @@ def read_click_lines(spark: SparkSession, layout: ClickLayout, glob: str) -> Dat
             raise
         return spark.createDataFrame([], LINES_SCHEMA)
     return lines.select("value", layout.hour_of_path(F.col("_metadata.file_path")).alias("hour"))
+
+
+def list_click_files(spark: SparkSession, layout: ClickLayout, glob: str) -> DataFrame:
+    """``path``, ``length``, ``modified`` and ``hour`` of the files of a glob; none are read."""
+    try:
+        files = spark.read.format("binaryFile").load(glob)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], FILES_SCHEMA)
+    hour = layout.hour_of_path(F.col("path")).alias("hour")
+    return files.select("path", "length", F.col("modificationTime").alias("modified"), hour)

@@ -1,0 +1,64 @@
+"""The cleaned copy of the click files: the same clicks, found with fewer rows read."""
+
+from datetime import datetime
+
+from clicktally.plans.jobs import run_click_search, run_copy_search
+from clicktally.sources import ClickLayout, read_click_copy, read_click_lines, write_click_copy
+from tests.test_clicks import LINES, line, put
+
+DAY = datetime(2024, 1, 5, 12)
+FOLDER = "offer-stream-even/2024/01/05"
+
+
+def rows(frame):
+    return sorted((tuple(row) for row in frame.collect()), key=repr)
+
+
+def rows_read(frame):
+    """Rows that the scan of a collected result has read."""
+    leaves = frame._jdf.queryExecution().executedPlan().collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+
+
+def test_the_copy_finds_what_the_files_hold(spark, tmp_path):
+    layout = ClickLayout(str(tmp_path / "in"))
+    copy, rejects = str(tmp_path / "copy"), str(tmp_path / "rejects")
+    assert rows(run_copy_search(spark, copy, DAY, "s1")) == []
+    put(tmp_path / "in", f"{FOLDER}/08", "a.gz", LINES)
+    put(tmp_path / "in", f"{FOLDER}/09", "a.gz", [LINES[0], line("C", "s1", "adv7", "off7")])
+    put(tmp_path / "in", "offer-stream-odd/2024/01/06/09", "a.gz", LINES)
+    span = (DAY.replace(hour=0), DAY.replace(day=6))
+    for _ in range(2):
+        write_click_copy(spark, layout, layout.range_glob(*span), copy, rejects)
+    for subid in ("s1", "s5", "none"):
+        wanted = rows(run_click_search(spark, layout, DAY, subid))
+        assert rows(run_copy_search(spark, copy, DAY, subid)) == wanted
+    assert len(rows(run_copy_search(spark, copy, DAY, "s1"))) == 3
+    assert [row.value for row in spark.read.parquet(rejects).collect()] == ["C\tx"] * 2
+    # An hour with a new file is replaced whole, others stay.
+    put(tmp_path / "in", f"{FOLDER}/09", "b.gz", LINES[:1])
+    write_click_copy(spark, layout, layout.hour_glob(DAY.replace(hour=9)), copy)
+    assert len(rows(run_copy_search(spark, copy, DAY, "s1"))) == 4
+    assert rows(read_click_copy(spark, copy).select("day").distinct()) == [("2024-01-05",), ("2024-01-06",)]
+
+
+def test_a_search_skips_row_groups(spark, tmp_path):
+    layout = ClickLayout(str(tmp_path / "in"))
+    copy = str(tmp_path / "copy")
+    for hour in range(4):
+        # Ids of every hour spread over the same range, so ranges alone could not tell hours apart.
+        lines = [line("C", f"{(i * 7919 + hour) % 40_009:08}x", "adv", f"off{hour}") for i in range(20_000)]
+        put(tmp_path / "in", f"{FOLDER}/{hour:02}", "a.gz", lines)
+    write_click_copy(spark, layout, layout.day_glob(DAY), copy, row_group=64 * 1024)
+    whole = read_click_copy(spark, copy).count()
+    assert whole == 80_000 == read_click_lines(spark, layout, layout.day_glob(DAY)).count()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for subid, most in (("00007919x", 40_000), ("no such id", 0), ("00020000y", 0)):
+            found = run_copy_search(spark, copy, DAY, subid)
+            assert rows(found) == rows(run_click_search(spark, layout, DAY, subid))
+            assert rows_read(found) <= most
+            plan = found._jdf.queryExecution().executedPlan().toString()
+            assert f"EqualTo(destination_subid,{subid})" in plan and "PartitionFilters" in plan
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")

@@ -36,6 +36,10 @@ WRITING = {
     "stream_click_rejects",
     "click_statistics_job",
     "click_search_job",
+    "click_late_hours",
+    "click_copy_search",
+    "conversion_refresh",
+    "stream_stateful_counts",
 }
 
 

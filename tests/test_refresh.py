@@ -1,0 +1,133 @@
+"""The refresh from what was loaded since the last run against the run over the whole day."""
+
+import random
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from clicktally.operators.conversions import conversion_snapshot
+from clicktally.plans import refresh
+from clicktally.plans.jobs import run_conversion_statistics
+from clicktally.schemas import CONVERSION_LOG, CONVERSION_SNAPSHOT
+from clicktally.sinks import read_snapshots
+from tests.test_conversions import NTZ_LOG, conversion, log_of
+
+DAY = datetime(2024, 1, 5)
+
+
+def rows(frame):
+    return sorted((tuple(row) for row in frame.collect()), key=repr)
+
+
+def made_log(seed, n=400):
+    """Conversions of three days; most are loaded soon after, some days later, some before."""
+    rng = random.Random(seed)
+    found = []
+    for _ in range(n):
+        happened = DAY + timedelta(seconds=rng.randint(-100_000, 130_000))
+        delay = rng.choice([0, 5, 300, 7000, 90_000, -3000])
+        loaded = happened + timedelta(seconds=delay)
+        found.append(
+            conversion(
+                rng.choice(["1", "1", "1", "2", "3", None]),
+                rng.choice(["1.25", "0.10", None]),
+                rng.choice(["0.05", "3.00", None]),
+                rng.choice(["a1", "a2", "a3", "", None]),
+                rng.choice(["US", "DE", ""]),
+                rng.choice(["z", None]),
+                rng.choice([happened.isoformat()] * 30 + [None]),
+                loaded.isoformat(),
+            )
+        )
+    return found
+
+
+def loaded_by(log, as_of):
+    return [row for row in log if row[-1] <= as_of]
+
+
+@pytest.mark.parametrize("schema", [NTZ_LOG, CONVERSION_LOG], ids=["ntz", "ltz"])
+@pytest.mark.parametrize("seed", range(3))
+def test_any_split_gives_the_run_over_the_day(spark, tmp_path, seed, schema):
+    rng = random.Random(seed)
+    log = made_log(seed)
+    times = sorted(DAY + timedelta(minutes=rng.randint(1, 1439)) for _ in range(4))
+    times.append(DAY + timedelta(hours=23, minutes=59))
+    for as_of in times:
+        # Rows are in the log once they are loaded; those of a later load may be there as well.
+        known = log_of(spark, loaded_by(log, as_of), schema)
+        totals = refresh.refresh_totals(log_of(spark, log, schema), str(tmp_path), as_of)
+        found = rows(refresh.totals_snapshot(totals, as_of))
+        assert found == rows(conversion_snapshot(known, as_of))
+        assert found
+    assert len(list(tmp_path.glob("run-*"))) == refresh.KEPT_RUNS
+    assert len(list((tmp_path / "notes").glob("name=*"))) == refresh.KEPT_RUNS
+
+
+def test_a_new_day_and_a_repeated_run_begin_from_the_right_totals(spark, tmp_path):
+    log = made_log(9)
+    frame = log_of(spark, log)
+    order = [(9, 0), (12, 0), (12, 0), (15, 0), (12, 0), (24 + 2, 0), (24 + 5, 30), (24 + 5, 30)]
+    for hours, minutes in order:
+        as_of = DAY + timedelta(hours=hours, minutes=minutes)
+        totals = refresh.refresh_totals(frame, str(tmp_path), as_of)
+        wanted = conversion_snapshot(log_of(spark, loaded_by(log, as_of)), as_of)
+        assert rows(refresh.totals_snapshot(totals, as_of)) == rows(wanted)
+
+
+@pytest.mark.parametrize("step", ["_note_run", "_forget"])
+def test_a_run_that_dies_is_made_up_for(spark, tmp_path, monkeypatch, step):
+    log = made_log(4)
+    frame = log_of(spark, log)
+    first, second, third = (DAY + timedelta(hours=h) for h in (6, 12, 18))
+    refresh.refresh_totals(frame, str(tmp_path), first)
+
+    def killed(*_):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(refresh, step, killed)
+        with pytest.raises(RuntimeError, match="killed"):
+            refresh.refresh_totals(frame, str(tmp_path), second)
+    totals = refresh.refresh_totals(frame, str(tmp_path), third)
+    wanted = conversion_snapshot(log_of(spark, loaded_by(log, third)), third)
+    assert rows(refresh.totals_snapshot(totals, third)) == rows(wanted)
+
+
+def test_only_new_loads_are_read(spark, tmp_path):
+    path = str(tmp_path / "log")
+    log_of(spark, made_log(2)).write.parquet(path)
+    log = spark.read.parquet(path)
+    noon = DAY + timedelta(hours=12)
+    refresh.refresh_totals(log, str(tmp_path / "totals"), noon)
+    later = noon + timedelta(minutes=5)
+    condition = refresh._newly_loaded(log, noon, later, DAY)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        plan = log.filter(condition)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "GreaterThan(redshift_time" in plan and "LessThanOrEqual(redshift_time" in plan
+    assert log.filter(condition).count() < log.count() / 10
+
+
+def test_the_job_stores_what_the_run_over_the_day_stores(spark, tmp_path):
+    log = made_log(5)
+    out, full, totals, rejects = (str(tmp_path / n) for n in ("out", "full", "totals", "rejects"))
+    times = [DAY + timedelta(hours=h) for h in (8, 16, 23)]
+    for as_of in times:
+        frame = log_of(spark, loaded_by(log, as_of))
+        refresh.run_conversion_refresh(frame, as_of, out, totals, rejects)
+        run_conversion_statistics(frame, as_of, full, f"{rejects}-full")
+    stored = rows(read_snapshots(spark, out, CONVERSION_SNAPSHOT))
+    assert stored == rows(read_snapshots(spark, full, CONVERSION_SNAPSHOT))
+    reasons = spark.read.parquet(f"{rejects}/conversions").select("reason").distinct()
+    assert [row.reason for row in reasons.collect()] == ["no offer"]
+
+
+def test_conversions_without_a_load_time_are_told(spark):
+    log = log_of(spark, made_log(1, 20)).withColumn("redshift_time", F.lit(None).cast("timestamp_ntz"))
+    found = refresh.unplaced_conversions(log)
+    assert {row.reason for row in found.collect()} <= {"no offer", "no load time"}
+    assert found.count() == 20

@@ -99,11 +99,12 @@ def fit_ordinal(
 ) -> tuple[np.ndarray, np.ndarray]:
     """Weights and thresholds that maximise the cumulative-link likelihood.
 
-    The thresholds are a first one and positive steps, so they stay in order; the weights carry an L2
+    A grade that all or none of the rows reach counts as if half a row did otherwise. The thresholds are a first one and positive steps, so they stay in order; the weights carry an L2
     penalty. Adam runs for a fixed number of steps from fixed starts, so the fit repeats.
     """
     levels = int(max(grades.max(initial=0), 1))
-    rates = np.array([max((grades >= g).mean(), 0.5 / len(grades)) for g in range(1, levels + 1)])
+    rates = np.array([(grades >= g).mean() for g in range(1, levels + 1)])
+    rates = np.clip(rates, 0.5 / len(grades), 1 - 0.5 / len(grades))
     start = np.log((1 - rates) / rates)
     gaps = np.log(np.maximum(np.diff(start), 0.05))
     parameters = np.concatenate([np.zeros(x.shape[1]), start[:1], gaps])
@@ -182,6 +183,7 @@ def fit_toxicity(
     for one id the highest counts. Without toxic and other documents the model has no features and
     gives the rate of the labels.
     """
+    spark = docs.sparkSession
     chosen = (
         labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
         .groupBy(F.col("doc_id").cast("long").alias("labelled"))
@@ -195,14 +197,16 @@ def fit_toxicity(
         .groupBy("labelled", "label")
         .agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     )
-    labelled = texts.select("labelled", "label", _words_of(F.col("text")).alias("words"))
-    found = (
-        labelled.withColumn("sketch", _sketch(F.col("words")))
+    words = _words_of(F.col("text"))
+    labelled = texts.select("labelled", "label", words.alias("words")).checkpoint()
+    # Teachers are told by two numbers a row, whose smallest a task takes before the shuffle; the words
+    # stay where they are.
+    teachers = (
+        labelled.select("labelled", _sketch(F.col("words")).alias("sketch"))
         .groupBy("sketch")
-        .agg(F.min_by(F.struct("labelled", "label", "words"), "labelled").alias("first"))
-        .select("first.*")
-        .checkpoint()
+        .agg(F.min("labelled").alias("labelled"))
     )
+    found = labelled.join(teachers.select("labelled"), "labelled", "left_semi").checkpoint()
     totals = found.agg(F.count("*").alias("n"), F.coalesce(F.sum("label"), F.lit(0)).alias("toxic"))
     n, toxic = (float(value) for value in totals.first())
     a, b = F.col("in_toxic"), F.col("in_all") - F.col("in_toxic")
@@ -226,21 +230,32 @@ def fit_toxicity(
     chosen_rows = telling.collect()
     chosen_features = tuple(row.feature for row in chosen_rows)
     positive = {i for i, row in enumerate(chosen_rows) if row.positive}
-    number = {feature: i for i, feature in enumerate(chosen_features)}
-    held: dict[int, dict[int, int]] = {}
-    for row in counted.join(F.broadcast(telling), "feature").collect():
-        held.setdefault(row.labelled, {})[number[row.feature]] = row.times
-    rows = found.select("labelled", "label", F.size("words").alias("total")).orderBy("labelled")
-    rows = rows.collect()
+    telling = spark.createDataFrame(
+        list(enumerate(chosen_features)), "number int, feature string"
+    )
+    held = (
+        counted.join(F.broadcast(telling), "feature")
+        .groupBy("labelled")
+        .agg(F.collect_list(F.struct("number", F.col("times").cast("int").alias("times"))).alias("held"))
+    )
+    # Two lists of numbers for each of the sample, no longer than the features.
+    rows = (
+        found.select("labelled", "label", F.size("words").alias("total"))
+        .join(held, "labelled", "left")
+        .select("labelled", "label", "total", "held.number", "held.times")
+        .orderBy("labelled")
+        .collect()
+    )
     if not rows:
         return OrdinalModel((), np.zeros(0), np.full(GRADES, np.inf))
-    counts = [(held.get(row.labelled, {}), row.total) for row in rows]
-    density = [
-        sum(times for i, times in found.items() if i in positive) / max(total, 1)
-        for found, total in counts
-    ]
-    grades = severity_grades(np.array([row.label for row in rows]), np.array(density))
-    weights, thresholds = fit_ordinal(features(counts, len(chosen_features)), grades)
+    x = np.zeros((len(rows), len(chosen_features)))
+    density = np.zeros(len(rows))
+    for place, row in enumerate(rows):
+        times = np.array(row.times or [], np.float64)
+        x[place, row.number or []] = np.log1p(100 * times / max(row.total, 1))
+        density[place] = times[np.isin(row.number or [], list(positive))].sum() / max(row.total, 1)
+    grades = severity_grades(np.array([row.label for row in rows]), density)
+    weights, thresholds = fit_ordinal(x, grades)
     return OrdinalModel(chosen_features, weights, thresholds)
 
 

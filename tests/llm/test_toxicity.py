@@ -1,12 +1,14 @@
 """The ordinal model: its gradient, its fit and held-out accuracy."""
 
+import math
 import re
 from collections import Counter
 
 import numpy as np
 import pytest
+import regex
 
-from clicktally.llm import toxicity
+from clicktally.llm import queries, toxicity
 from clicktally.llm.queries import op5_ordinal_toxicity
 
 SF = "/root/testdata/sf0.1"
@@ -57,6 +59,80 @@ def test_op5_has_a_row_for_every_document_and_severity_rises_with_the_grade(spar
     assert all(row.rejected == (row.toxic_probability >= 0.5) for row in rows)
 
 
+def plain_severity(model, text):
+    """Probabilities of the grades by the formula, with a dictionary of weights."""
+    weights = dict(zip(model.features, model.weights))
+    words = regex.findall(r"\p{L}[\p{L}\p{M}]*", (text or "").lower())
+    times = Counter()
+    for word in words:
+        for feature in (word, *(f"^{word[:size]}" for size in (4, 5, 6, 7) if len(word) >= size)):
+            if feature in weights:
+                times[feature] += 1
+    score = sum(weights[f] * math.log(1 + 100 * n / len(words)) for f, n in times.items())
+    return [1 / (1 + math.exp(min(700, t - score))) for t in model.thresholds]
+
+
+def test_every_row_is_that_of_the_plain_version(spark, monkeypatch):
+    folder = "/root/testdata/sf0.01"
+    models = []
+    fit = toxicity.fit_toxicity
+    monkeypatch.setattr(queries, "fit_toxicity", lambda *tables: models.append(fit(*tables)) or models[0])
+    rows = {row.doc_id: row for row in op5_ordinal_toxicity(spark, folder).collect()}
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()
+    assert len(rows) == len(docs)
+    for doc_id, text in docs:
+        row, reached = rows[doc_id], plain_severity(models[0], text)
+        assert abs(row.expected_severity - sum(reached)) < 2e-6
+        assert abs(row.toxic_probability - reached[0]) < 2e-6
+        each = [a - b for a, b in zip([1, *reached], [*reached, 0])]
+        assert each[row.grade] > max(each) - 1e-9
+        if abs(reached[0] - 0.5) > 1e-9:
+            assert row.rejected == (reached[0] > 0.5)
+    assert 0 < sum(row.rejected for row in rows.values()) < len(rows) / 4
+
+
+def plain_likelihood(x, grades, weights, thresholds, penalty):
+    total = -penalty / 2 * sum(w * w for w in weights)
+    for row, grade in zip(x.tolist(), grades.tolist()):
+        score = sum(a * b for a, b in zip(row, weights))
+        reached = [1.0, *(1 / (1 + math.exp(t - score)) for t in thresholds), 0.0]
+        total += math.log(reached[grade] - reached[grade + 1])
+    return total
+
+
+def test_no_step_makes_the_fit_likelier():
+    rng = np.random.default_rng(4)
+    x = rng.random((300, 2))
+    grades = (3 * x[:, 0] + rng.logistic(size=300) > 1).astype(int) + (x[:, 1] > 0.8)
+    weights, thresholds = toxicity.fit_ordinal(x, grades, steps=2000)
+    best = plain_likelihood(x, grades, weights, thresholds, 1.0)
+    for step in (0.05, -0.05):
+        for place in range(2):
+            moved = weights + step * np.eye(2)[place]
+            assert plain_likelihood(x, grades, moved, thresholds, 1.0) < best
+            moved = thresholds + step * np.eye(2)[place]
+            assert plain_likelihood(x, grades, weights, moved, 1.0) < best
+
+
+def test_copies_teach_once_by_two_numbers(spark):
+    texts = [f"{'vile ' if i % 3 == 0 else ''}copied text of many rows" for i in range(600)]
+    texts += [f"{'vile ' if i % 4 == 0 else 'kind '}w{chr(97 + i % 26)} x{chr(97 + i // 26)} y z" for i in range(200)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "int(text like 'vile%') AS toxic")
+    model = toxicity.fit_toxicity(docs, labels)
+    assert "vile" in model.features
+    rejected = {row.doc_id for row in toxicity.severities(docs, model).collect() if row.rejected}
+    assert rejected == {i for i, text in enumerate(texts) if text.startswith("vile")}
+
+
+@pytest.mark.filterwarnings("error::RuntimeWarning")
+@pytest.mark.parametrize("grades", [[1, 1, 1], [0, 0], [3, 3, 3, 3], [0, 3]])
+def test_labels_of_one_kind_fit_without_a_warning(grades):
+    x = np.ones((len(grades), 1))
+    weights, thresholds = toxicity.fit_ordinal(x, np.array(grades))
+    assert np.isfinite(weights).all() and (np.diff(thresholds) > 0).all()
+
+
 def test_verdicts_of_both_forms_agree(spark, odd_documents, no_documents):
     model = toxicity.OrdinalModel(("same", "^repe"), np.array([3.0, 4.0]), np.array([1.0, 2.0, 3.0]))
     rows = toxicity.severities(odd_documents, model).collect()

@@ -84,7 +84,8 @@ def conversation_paths(turns: DataFrame, shards: int) -> DataFrame:
     """``conv_id`` and ``path`` of every conversation, its turns in order.
 
     Turns are ordered by ``turn``, null first, then by role and text. Rows are sorted by range over all
-    tasks, so that the texts of one conversation may lie in several; only keys are put together.
+    tasks, so that the texts of one conversation may lie in several; only keys are put together, and they are
+    stored, so that texts are sorted once. The path of one conversation, 20 bytes a turn, is one value.
     """
     schema = T.StructType(
         [
@@ -121,7 +122,8 @@ def conversation_paths(turns: DataFrame, shards: int) -> DataFrame:
             yield rows([(current, b"".join(held))])
 
     order = [F.col("conv_id"), F.col("turn").asc_nulls_first(), F.col("role"), F.col("text")]
-    pieces = (
+    store = fresh_path(turns.sparkSession, "turn-keys")
+    (
         turns.filter("conv_id IS NOT NULL")
         .select(
             F.col("conv_id").cast("long").alias("conv_id"),
@@ -133,7 +135,9 @@ def conversation_paths(turns: DataFrame, shards: int) -> DataFrame:
         .sortWithinPartitions(*order)
         .select("conv_id", turn_key(F.col("role"), F.col("text")).alias("key"))
         .mapInArrow(together, schema)
+        .write.parquet(store)
     )
+    pieces = turns.sparkSession.read.parquet(store)
     whole = F.array_sort(F.collect_list(F.struct("task", "keys")))
     joined = F.aggregate(whole, F.lit(b""), lambda path, piece: F.concat(path, piece["keys"]))
     return (

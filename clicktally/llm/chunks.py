@@ -3,11 +3,13 @@
 A text is cut where the tokenizer always cuts: at a space or a newline that stands between two
 characters that are not white space. Each piece is encoded by the library once and then remembered,
 since natural text repeats its words. A text that has other white space next to a cut, or the start of
-a special token, is handed to the library whole, so the ids are the library's for every text.
+a special token, is handed to the library whole, so the ids are the library's for every text. Files for
+which these cuts are not proven are refused.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Iterable, Iterator, Sequence
@@ -17,8 +19,44 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 
-# Pieces remembered by one Python worker before it drops the less used half: about 250 MB.
+# What one Python worker remembers: pieces of up to so many characters, and no more pieces, and bytes of
+# them and their ids, than these; beyond, it drops the half that was used less. Longer pieces, as texts
+# without spaces have them, are encoded like others and not kept. With what Python needs for a piece
+# this is about 250 MB for words, and 500 MB at most.
+LONGEST = 128
 MEMORY = 1_000_000
+MEMORY_BYTES = 192_000_000
+
+# The number of a piece that is not kept, from which on they count.
+PASSING = 2**40
+
+# The normalizer and pre-tokenizer for which the cuts of this module are proven, for files
+# whose words keep the space before them and for those that drop white space.
+SPACED_FORM = (None, {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True})
+DROPPED_FORM = (
+    {
+        "type": "Sequence",
+        "normalizers": [
+            {"type": "NFC"},
+            {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+            {"type": "Lowercase"},
+        ],
+    },
+    {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split",
+                "pattern": {
+                    "Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+                },
+                "behavior": "Removed",
+                "invert": True,
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "use_regex": False},
+        ],
+    },
+)
 
 # White space but for space and newline; white space beside a space or newline.
 OTHER_SPACE = re.compile(r"[^\S \n]")
@@ -39,6 +77,31 @@ def load_tokenizer(path: str):
     return tokenizer
 
 
+def _without_offsets(part):
+    """A part of a file without what only tells how places in texts are reported."""
+    if isinstance(part, dict):
+        return {key: _without_offsets(value) for key, value in part.items() if key != "trim_offsets"}
+    return [_without_offsets(value) for value in part] if isinstance(part, list) else part
+
+
+def require_form(path: str, spaced: bool) -> dict:
+    """The vocabulary file, if texts may be cut as this module does; raises if that is not proven."""
+    with open(path, encoding="utf-8") as file:
+        data = json.load(file)
+    form = _without_offsets([data.get("normalizer"), data.get("pre_tokenizer")])
+    model = data["model"]
+    plain = model.get("type") == "BPE" and not model.get("dropout") and not model.get("ignore_merges")
+    tokens = data.get("added_tokens") or []
+    marked = all(
+        token["content"].startswith("<|")
+        and not any(token.get(flag) for flag in ("single_word", "lstrip", "rstrip", "normalized"))
+        for token in tokens
+    )
+    if form != list(SPACED_FORM if spaced else DROPPED_FORM) or not plain or not marked:
+        raise ValueError(f"{path}: not a vocabulary file whose texts may be cut at spaces")
+    return data
+
+
 def blocks(
     batch: pa.RecordBatch, column: str = "text", chars: int = BLOCK_CHARS
 ) -> Iterator[pa.RecordBatch]:
@@ -63,9 +126,15 @@ def expand(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 class _Slots(dict):
-    """Numbers pieces in the order they are first asked for."""
+    """Numbers pieces in the order they are first asked for; long ones apart, in ``passing``."""
+
+    def __init__(self, *known):
+        super().__init__(*known)
+        self.passing: dict[str, int] = {}
 
     def __missing__(self, piece: str) -> int:
+        if len(piece) > LONGEST:
+            return PASSING + self.passing.setdefault(piece, len(self.passing))
         self[piece] = number = len(self)
         return number
 
@@ -74,7 +143,9 @@ class ChunkEncoder:
     """Encodes lists of texts; ``spaced`` tells that a word keeps the space before it."""
 
     def __init__(self, path: str, spaced: bool, memory: int = MEMORY):
+        require_form(path, spaced)
         self.memory = memory
+        self.chars = 0
         self.tokenizer = load_tokenizer(path)
         self.spaced = spaced
         self.slot = _Slots()
@@ -88,10 +159,11 @@ class ChunkEncoder:
 
     def _forget(self) -> None:
         """Keep the half of the pieces that was used most."""
-        half = self.memory // 2
+        half = min(self.memory, len(self.slot)) // 2
         kept = np.sort(np.argpartition(-self.uses, half)[:half])
         pieces = list(self.slot)
         self.slot = _Slots(zip((pieces[i] for i in kept.tolist()), range(len(kept))))
+        self.chars = sum(map(len, self.slot))
         self.flat = self.flat[expand(self.starts[kept], self.lengths[kept])]
         self.lengths = self.lengths[kept]
         self.starts = np.cumsum(self.lengths) - self.lengths
@@ -137,21 +209,27 @@ class ChunkEncoder:
         a piece is made from the one without it, which is encoded if it is new too. Not after a
         letter that ends in a mark when it is made small, since marks and stops are one pre-token.
         """
+        fresh = list(islice(reversed(self.slot), len(self.slot) - known))[::-1]
         ended = [
             piece
-            for piece in islice(self.slot, known, None)
+            for piece in fresh
             if piece[-1:] in self.stops
             and piece[-2:-1].lower()[-1:].isalpha()
             and piece[-2] < "\u0250"
         ]
+        # A stem is shorter than its piece, so it is kept as well.
         stems = np.fromiter(
             map(self.slot.__getitem__, (piece[:-1] for piece in ended)), np.int64, len(ended)
         )
         made = np.fromiter(map(self.slot.__getitem__, ended), np.int64, len(ended))
-        new = len(self.slot) - known
+        # The stems may be new as well.
+        stems_from = len(self.slot) - known - len(fresh)
+        fresh += list(islice(reversed(self.slot), stems_from))[::-1]
+        new = len(fresh)
+        self.chars += sum(map(len, fresh))
         by_library = np.ones(new, bool)
         by_library[made - known] = False
-        pieces = list(compress(islice(self.slot, known, None), by_library))
+        pieces = list(compress(fresh, by_library))
         ids, sizes = self._library(pieces)
         lengths, starts = np.zeros(new, np.int64), np.zeros(new, np.int64)
         lengths[by_library] = sizes
@@ -173,7 +251,8 @@ class ChunkEncoder:
         """Ids of all texts one after the other, and how many each text has; null is empty."""
         texts = [text or "" for text in texts]
         cut = [self._pieces(text) for text in texts]
-        if len(self.slot) > self.memory:
+        # A character takes four bytes at most.
+        if len(self.slot) > self.memory or 4 * self.chars + self.flat.nbytes > MEMORY_BYTES:
             self._forget()
         known = len(self.slot)
         counts = np.fromiter(map(len, cut), np.int64, len(cut))
@@ -182,9 +261,17 @@ class ChunkEncoder:
         )
         if len(self.slot) > known:
             self._learn(known)
-        self.uses += np.bincount(slots, minlength=len(self.uses))
-        lengths = self.lengths[slots]
-        ids = self.flat[expand(self.starts[slots], lengths)]
+        starts, lengths, flat = self.starts, self.lengths, self.flat
+        if self.slot.passing:
+            found, sizes = self._library(list(self.slot.passing))
+            starts = np.concatenate([starts, len(flat) + np.cumsum(sizes) - sizes])
+            lengths, flat = np.concatenate([lengths, sizes]), np.concatenate([flat, found])
+            passing = slots >= PASSING
+            slots[passing] += len(self.slot) - PASSING
+            self.slot.passing = {}
+        self.uses += np.bincount(slots, minlength=len(self.uses))[: len(self.uses)]
+        lengths = lengths[slots]
+        ids = flat[expand(starts[slots], lengths)]
         ends = np.concatenate([[0], np.cumsum(lengths)])[np.cumsum([0, *counts])]
         lead = int(self.spaced)
         if lead:

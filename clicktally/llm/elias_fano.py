@@ -36,8 +36,9 @@ HEADER = struct.Struct("<8sqqqqq")
 SEQUENCE = struct.Struct("<qqqqqq")
 LONGEST = 2**62
 
-# Tokens after which a task starts its next file.
+# Tokens after which a task starts its next file, and tokens of the files that a task reads.
 FILE_TOKENS = 16_000_000
+READ_TOKENS = 64_000_000
 
 MANIFEST = "path string, part int, number int, n_docs long, n_tokens long"
 
@@ -149,21 +150,28 @@ class EliasFano:
 
 
 class TokenFile:
-    """A token file in memory: ``document(i)`` finds the ids of one document."""
+    """A token file whose head is in memory; ``document(i)`` reads the ids of one document."""
 
-    def __init__(self, data: bytes):
-        magic, width, self.nulls, self.n_docs, ids_at, self.n_tokens = HEADER.unpack_from(data)
+    def __init__(self, source: pa.NativeFile):
+        self.source = source
+        magic, self.width, self.nulls, self.n_docs, self.ids_at, self.n_tokens = HEADER.unpack(
+            source.read_at(HEADER.size, 0)
+        )
         if magic != MAGIC:
             raise ValueError("not a token file")
-        view = memoryview(data)
+        view = memoryview(source.read_at(self.ids_at, 0))
         self.ends, size = EliasFano.from_bytes(view[HEADER.size :])
         self.keys, _ = EliasFano.from_bytes(view[HEADER.size + size :])
-        kind = {2: np.dtype("<u2"), 4: np.dtype("<u4")}[width]
-        self.ids = np.frombuffer(data, kind, self.n_tokens, ids_at)
+
+    def ids(self, start: int, end: int) -> np.ndarray:
+        """The ids from one place to another, which alone are read."""
+        kind = {2: np.dtype("<u2"), 4: np.dtype("<u4")}[self.width]
+        data = self.source.read_at((end - start) * self.width, self.ids_at + start * self.width)
+        return np.frombuffer(data, kind)
 
     def document(self, index: int) -> np.ndarray:
         start = self.ends.select(index - 1) if index else 0
-        return self.ids[start : self.ends.select(index)]
+        return self.ids(start, self.ends.select(index))
 
     def doc_ids(self) -> list[int | None]:
         """The ids of the documents; those without one come first."""
@@ -267,6 +275,27 @@ def write_token_files(
     return spark.read.schema(MANIFEST).parquet(manifest)
 
 
+def placed_files(manifest: DataFrame) -> tuple[DataFrame, int]:
+    """``path`` of every file and ``base``, the tokens before it; and the number of tasks to read them.
+
+    The tokens of the parts before a part, one number for each task that wrote, are added up by the
+    driver; those before a file within its part by a window over the part. There is a task for every
+    ``READ_TOKENS`` tokens, but for no less than a file, and no fewer than there are cores.
+    """
+    spark = manifest.sparkSession
+    parts = manifest.groupBy("part").agg(F.sum("n_tokens"), F.count("*")).collect()
+    bases, tokens, files = [], 0, 0
+    for part, held, count in sorted(parts):
+        bases.append((part, tokens))
+        tokens, files = tokens + held, files + count
+    before = Window.partitionBy("part").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
+    within = manifest.withColumn("within", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
+    placed = within.join(spark.createDataFrame(bases, "part int, tokens long"), "part")
+    wanted = max(-(-tokens // READ_TOKENS), spark.sparkContext.defaultParallelism)
+    paths = placed.select("path", (F.col("tokens") + F.col("within")).alias("base"))
+    return paths, max(1, min(files, wanted))
+
+
 def read_token_files(manifest: DataFrame) -> DataFrame:
     """Per document: ``doc_id``, ``start`` over all files, ``n_tokens`` and ``ids_crc32``.
 
@@ -281,31 +310,31 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
                 folder, _, name = path.rpartition("/")
                 store, place = open_store(folder)
                 with store.open_input_file(f"{place}/{name}") as source:
-                    tokens = TokenFile(source.read())
-                keys, first, start = tokens.doc_ids(), 0, 0
-                # The ends are held for some runs at a time, never as a table of the file.
-                for runs in batched(tokens.ends.runs(), RUNS):
-                    ends = np.concatenate(runs)
-                    starts = np.concatenate([[start], ends[:-1]])
-                    sums = [
-                        zlib.crc32(tokens.ids[a:b].astype("<u4"))
-                        for a, b in zip(starts.tolist(), ends.tolist(), strict=True)
-                    ]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(keys[first : first + len(ends)], pa.int64()),
-                            pa.array(starts + base),
-                            pa.array(ends - starts),
-                            pa.array(sums, pa.int64()),
-                        ],
-                        ["doc_id", "start", "n_tokens", "ids_crc32"],
-                    )
-                    first, start = first + len(ends), int(ends[-1])
+                    yield from documents_of(TokenFile(source), base)
+
+    def documents_of(tokens: TokenFile, base: int) -> Iterator[pa.RecordBatch]:
+        keys, first, start = tokens.doc_ids(), 0, 0
+        # The ends and ids are held for some runs at a time, never as a table of the file.
+        for runs in batched(tokens.ends.runs(), RUNS):
+            ends = np.concatenate(runs)
+            starts = np.concatenate([[start], ends[:-1]])
+            ids = tokens.ids(start, int(ends[-1]))
+            sums = [
+                zlib.crc32(ids[a:b].astype("<u4"))
+                for a, b in zip((starts - start).tolist(), (ends - start).tolist(), strict=True)
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(keys[first : first + len(ends)], pa.int64()),
+                    pa.array(starts + base),
+                    pa.array(ends - starts),
+                    pa.array(sums, pa.int64()),
+                ],
+                ["doc_id", "start", "n_tokens", "ids_crc32"],
+            )
+            first, start = first + len(ends), int(ends[-1])
 
-    before = Window.orderBy("part", "number").rowsBetween(Window.unboundedPreceding, -1)
-    files = manifest.select(
-        "path", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("base")
-    )
-    return files.repartition(F.col("path")).mapInArrow(
+    files, tasks = placed_files(manifest)
+    return files.repartitionByRange(tasks, "base").mapInArrow(
         read, "doc_id long, start long, n_tokens long, ids_crc32 long"
     )

@@ -1,5 +1,8 @@
 """Ids, token files and packing against the tokenizers library."""
 
+import json
+import random
+import string
 import zlib
 from collections import defaultdict
 from itertools import accumulate
@@ -10,8 +13,9 @@ import pyarrow.fs
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from clicktally.llm import chunks, elias_fano, packing
+from clicktally.llm import chunks, elias_fano, packing, pretokens
 from clicktally.llm.queries import op2_elias_fano_files, op3_tiered_packing
 from clicktally.session import fresh_path
 
@@ -58,6 +62,64 @@ def test_forgetting_keeps_ids_right(documents):
         assert encoder.encode(texts)[0].tolist() == [i for t in texts for i in ids_of(BYTE, t)]
 
 
+def unbroken_texts(n, chars):
+    """Texts without spaces: of Han characters, and of base64."""
+    rng = random.Random(7)
+    han = [chr(0x4E00 + i) for i in range(3000)]
+    base64 = string.ascii_letters + string.digits + "+/"
+    return ["".join(rng.choices(rng.choice([han, base64]), k=chars)) + rng.choice([".", "", " a"]) for _ in range(n)]
+
+
+@pytest.mark.parametrize(("path", "spaced", "tokenizer"), [(BYTE_BPE, True, BYTE), (WORD_BPE, False, WORD)])
+def test_long_pieces_are_encoded_and_not_kept(path, spaced, tokenizer):
+    encoder = chunks.ChunkEncoder(path, spaced)
+    n = chunks.LONGEST
+    texts = unbroken_texts(60, 300) + ["x" * n + ".", "y" * (n + 1) + ".", "z" * (n + 1), "a " + "é" * n + ", c"]
+    for _ in range(2):
+        ids, lengths = encoder.encode(texts)
+        assert ids.tolist() == [i for text in texts for i in ids_of(tokenizer, text)]
+        assert lengths.tolist() == [len(ids_of(tokenizer, text)) for text in texts]
+    assert max(map(len, encoder.slot)) <= chunks.LONGEST
+    assert len(encoder.slot) < 20 and not encoder.slot.passing
+
+
+def test_what_a_worker_keeps_is_bounded_in_bytes(monkeypatch):
+    monkeypatch.setattr(chunks, "MEMORY_BYTES", 300_000)
+    encoder = chunks.ChunkEncoder(BYTE_BPE, True)
+    rng = random.Random(3)
+    for _ in range(12):
+        texts = [" ".join(unbroken_texts(40, rng.randint(20, 63))) for _ in range(10)]
+        assert encoder.encode(texts)[0].tolist() == [i for t in texts for i in ids_of(BYTE, t)]
+        assert encoder.chars == sum(map(len, encoder.slot))
+        # No more than the bound and what one call brings.
+        assert 4 * encoder.chars + encoder.flat.nbytes < 300_000 + 4 * sum(map(len, texts)) * 4
+
+
+@pytest.mark.parametrize(
+    "change",
+    [
+        {"normalizer": {"type": "NFC"}},
+        {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": True, "use_regex": True}},
+        {"added_tokens": [{"id": 50256, "content": "[END]"}]},
+        {"added_tokens": [{"id": 50256, "content": "<|end|>", "lstrip": True}]},
+    ],
+    ids=str,
+)
+def test_files_without_proven_cuts_are_refused(tmp_path, change):
+    with open(BYTE_BPE) as file:
+        data = json.load(file)
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(data | change))
+    with pytest.raises(ValueError, match="other.json"):
+        chunks.ChunkEncoder(str(path), True)
+    with pytest.raises(ValueError, match="other.json"):
+        pretokens.require_pre_tokens(str(path))
+    path.write_text(json.dumps(data | {"added_tokens": [{"id": 50256, "content": "<|other|>"}]}))
+    assert chunks.require_form(str(path), True)["added_tokens"]
+    with pytest.raises(ValueError, match="special"):
+        pretokens.require_pre_tokens(str(path))
+
+
 @given(
     st.lists(st.integers(0, 10**6), max_size=300),
     st.integers(-(2**62), 2**61),
@@ -113,13 +175,34 @@ def test_token_files_of_odd_documents(spark, odd_documents, no_documents):
     assert keys == sorted(keys)
     file = manifest.orderBy("part", "number").first()
     store, path = pyarrow.fs.FileSystem.from_uri(f"file://{file.path.removeprefix('file:')}")
-    tokens = elias_fano.TokenFile(store.open_input_file(path).read())
+    tokens = elias_fano.TokenFile(store.open_input_file(path))
     assert len(tokens.document(0)) == by_start[0].n_tokens
     empty = fresh_path(spark, "token-files")
     manifest = elias_fano.write_token_files(no_documents, empty, BYTE_BPE, 0)
     assert elias_fano.read_token_files(manifest).collect() == []
 
 
+def test_files_are_read_by_many_tasks(spark, documents, monkeypatch):
+    monkeypatch.setattr(elias_fano, "READ_TOKENS", 20_000)
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(setting, "false")
+    try:
+        docs = spark.createDataFrame(documents, "doc_id long, text string").repartition(4)
+        folder = fresh_path(spark, "token-files")
+        manifest = elias_fano.write_token_files(docs, folder, BYTE_BPE, 0, file_tokens=5_000)
+    finally:
+        spark.conf.set(setting, "true")
+    files, tasks = elias_fano.placed_files(manifest)
+    assert tasks == files.count() > 4
+    rows = elias_fano.read_token_files(manifest)
+    found = rows.withColumn("task", F.spark_partition_id()).collect()
+    assert len({row.task for row in found}) > 4
+    starts = [0, *accumulate(len(ids_of(BYTE, text)) + 1 for _, text in sorted(documents))]
+    assert sorted(row.start for row in found) == starts[:-1]
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
+
+
 def check_pieces(rows, documents, tokens=4096):
     """Every id in one piece, sequences gapless; returns the used tokens of each sequence."""
     pieces, sequences = defaultdict(list), defaultdict(list)

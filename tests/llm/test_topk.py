@@ -89,6 +89,37 @@ def test_whole_vectors_are_fetched_only_when_few_are_left():
     assert all(size <= most for depth, size in watched.fetched if depth < count)
 
 
+def test_skewed_vectors_take_less_than_all_scores():
+    rng = np.random.default_rng(8)
+    count, k = 4000, 5
+    vectors = np.floor(256 * rng.lognormal(0, 1.5, (count, 6))).astype(np.int64)
+    queries = rng.integers(1, 200, (30, 6))
+    queries[::3, 2] *= -1
+    lists = topk.Lists(np.arange(count), vectors)
+    query, place, score = lists.best(np.full(30, -1), queries, k)
+    scores = queries @ vectors.T
+    for q in range(30):
+        order = np.lexsort((np.arange(count), -scores[q]))[:k]
+        assert place[query == q].tolist() == order.tolist()
+    assert lists.depth <= count // 8
+    # Bounds of all steps together are fewer than a score for every pair.
+    assert lists.bounded < queries.shape[0] * count / 2
+
+
+def test_a_query_of_zeros_has_candidates_by_id():
+    vectors = np.random.default_rng(1).integers(-9, 9, (500, 3))
+    lists = topk.Lists(np.arange(500), vectors)
+    query, place, score = lists.best(np.array([0, 1]), np.zeros((2, 3), np.int64), 3)
+    assert place.tolist() == [1, 2, 3, 0, 2, 3] and not score.any()
+
+
+def test_scores_that_may_not_fit_end_the_run():
+    vectors = np.array([[2**40, 1], [1, 2**40]])
+    with pytest.raises(ValueError, match="64 bits"):
+        topk.Lists(np.arange(2), vectors).best(np.array([0]), vectors[:1], 1)
+    assert len(topk.Lists(np.arange(2), vectors >> 20).best(np.array([0]), vectors[:1] >> 20, 1)[0]) == 1
+
+
 def test_few_or_no_vectors(spark):
     frame = spark.createDataFrame([(0, [1.0]), (1, [2.0])], "vec_id long, embedding array<float>")
     assert [tuple(r) for r in topk.top_k(frame, F.col("vec_id") == 0, 5).collect()] == [

@@ -11,7 +11,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clicktally.llm.chunks import blocks
+from clicktally.llm.chunks import blocks, require_form
 
 # The special token, which is found before anything else.
 SPECIAL = "<|endoftext|>"
@@ -34,8 +34,13 @@ _NARROW = re.compile(
     rf"|[{_NARROW_SPACE}]+(?![^{_NARROW_SPACE}])|[{_NARROW_SPACE}]+"
 )
 
-# Different pre-tokens that a task counts before it hands them on: about 50 MB.
+# Different pre-tokens that a task counts before it hands them on, and their characters together.
 COUNTED = 250_000
+COUNTED_CHARS = 8_000_000
+
+# Bytes of a pre-token from which on it counts as rare, however often it occurs: what is sent to all tasks
+# or kept by the driver has so many bytes for each word at most.
+LONGEST_BYTES = 64
 
 
 def pre_tokens(text: str | None) -> list[str]:
@@ -71,7 +76,7 @@ def pre_token_counts(docs: DataFrame) -> DataFrame:
             for block in blocks(batch):
                 for text in block.column("text").to_pylist():
                     counts.update(pre_tokens(text))
-                if len(counts) >= COUNTED:
+                if len(counts) >= COUNTED or sum(map(len, counts)) >= COUNTED_CHARS:
                     yield from rows()
                     counts.clear()
         yield from rows()
@@ -81,6 +86,17 @@ def pre_token_counts(docs: DataFrame) -> DataFrame:
 
 
 def frequent(counts: DataFrame, bound: int) -> DataFrame:
-    """The rows of words that are at least one in ``bound`` of all: so there are at most that many."""
+    """The rows of short words that are at least one in ``bound`` of all: so there are at most that many.
+
+    Together they have no more than ``bound * LONGEST_BYTES`` bytes, whatever the texts.
+    """
     total = counts.agg(F.coalesce(F.sum("times"), F.lit(0))).first()[0]
-    return counts.filter(F.col("times") * bound >= total)
+    short = F.octet_length("word") <= LONGEST_BYTES
+    return counts.filter(short & (F.col("times") * bound >= total))
+
+
+def require_pre_tokens(path: str) -> None:
+    """Raise unless the pre-tokens of a vocabulary file are those of this module."""
+    tokens = [token["content"] for token in require_form(path, spaced=True)["added_tokens"]]
+    if tokens not in ([], [SPECIAL]):
+        raise ValueError(f"{path}: other special tokens than {SPECIAL}")

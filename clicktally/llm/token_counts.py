@@ -18,10 +18,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clicktally.llm.chunks import blocks, load_tokenizer
-from clicktally.llm.pretokens import frequent, pre_token_counts, pre_tokens
+from clicktally.llm.pretokens import (
+    frequent,
+    pre_token_counts,
+    pre_tokens,
+    require_pre_tokens,
+)
 from clicktally.session import fresh_path
 
-# Most pre-tokens that are sent to all tasks: those that make up a millionth of all, about 50 MB.
+# Most pre-tokens that are sent to all tasks: those that make up a millionth of all. Each has at most
+# ``LONGEST_BYTES``, so they are no more than 64 MB, and typically 10.
 BROADCAST_WORDS = 2**20
 
 PARTS = "row long, doc_id long, n_bytes long, word string, times long, counted long"
@@ -51,6 +57,7 @@ def count_tokens(
     A null text is empty and has no tokens. Repeated rows get a row each, null ids are carried, and other
     columns are left out.
     """
+    require_pre_tokens(tokenizer_path)
     spark = docs.sparkSession
     path = fresh_path(spark, "pieces")
     with_pieces(pre_token_counts(docs), tokenizer_path).write.parquet(path)

@@ -24,14 +24,22 @@ from pyspark.sql import types as T
 
 from clicktally.llm.chunks import blocks, expand
 from clicktally.llm.elias_fano import open_store
-from clicktally.llm.pretokens import SPECIAL, frequent, pre_token_counts, pre_tokens
+from clicktally.llm.pretokens import (
+    SPECIAL,
+    frequent,
+    pre_token_counts,
+    pre_tokens,
+    require_pre_tokens,
+)
 from clicktally.session import fresh_path
 
 # Most words of the automaton: those that are one of so many pre-tokens of the corpus.
 LEXICON_WORDS = 2**20
 
-# Words outside the automaton whose ids a worker remembers.
+# Words outside the automaton whose ids a worker remembers, and bytes of these and their ids; a block of
+# texts may add as much as it has itself.
 REMEMBERED = 200_000
+REMEMBERED_BYTES = 64_000_000
 
 # Bytes of text that are encoded at once: the arrays of a block take about 50 times as much.
 CODEC_CHARS = 500_000
@@ -277,7 +285,7 @@ class Codec:
         self._forget()
 
     def _forget(self) -> None:
-        self.others = Numbers()
+        self.others, self.chars = Numbers(), 0
         self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.int32)
 
@@ -295,12 +303,14 @@ class Codec:
 
     def _others(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of words outside the transducer, and how many each has."""
-        if len(self.others) > REMEMBERED:
+        if len(self.others) > REMEMBERED or 4 * self.chars + self.flat.nbytes > REMEMBERED_BYTES:
             self._forget()
         known = len(self.others)
         places = np.fromiter(map(self.others.__getitem__, words), np.int64, len(words))
         if len(self.others) > known:
-            self._merge(list(islice(self.others, known, None)))
+            new = list(islice(self.others, known, None))
+            self.chars += sum(map(len, new))
+            self._merge(new)
         lengths = self.lengths[places]
         return self.flat[expand(self.starts[places], lengths)].astype(np.int64), lengths
 
@@ -334,8 +344,10 @@ class Codec:
 def build_transducer(docs: DataFrame, tokenizer_path: str, most: int = LEXICON_WORDS) -> str:
     """Store the transducer of the frequent words of all texts in the shared folder; its path.
 
-    ``most`` is a proven bound of its words: each is at least one in so many pre-tokens.
+    ``most`` is a proven bound of its words: each is at least one in so many pre-tokens. They are short
+    ones, so the driver holds ``most * LONGEST_BYTES`` bytes of them at most.
     """
+    require_pre_tokens(tokenizer_path)
     spark = docs.sparkSession
     counts = pre_token_counts(docs).checkpoint()
     words = sorted(

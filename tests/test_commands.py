@@ -1,5 +1,5 @@
 from clicktally.__main__ import main
-from clicktally.schemas import CLICK_DAILY, CLICK_SNAPSHOT, CONVERSION_DAILY
+from clicktally.schemas import CLICK_DAILY, CLICK_SNAPSHOT, CONVERSION_DAILY, CONVERSION_SNAPSHOT
 from clicktally.sinks import read_daily, read_snapshots
 from tests.test_clicks import LINES, put
 from tests.test_conversions import GOLDEN, log_of
@@ -23,6 +23,14 @@ def test_click_jobs(spark, tmp_path, capsys):
     found = str(tmp_path / "found")
     main(["search", *at, "--root", root, "--out", found, "s2"])
     assert [row.value for row in spark.read.text(found).collect()] == ["off1,adv1"]
+    copy = str(tmp_path / "copy")
+    main(["copy", *at, "--root", root, "--copy", copy])
+    main(["search", *at, "--root", root, "--copy", copy, "--out", found, "s3"])
+    assert [row.value for row in spark.read.text(found).collect()] == ["off1,adv2"]
+    ledger = str(tmp_path / "ledger")
+    for wanted in ("1 hours counted", "0 hours counted"):
+        main(["late-hours", *at, "--root", root, "--snapshots", snapshots, "--ledger", ledger])
+        assert wanted in capsys.readouterr().out
 
 
 def test_conversion_jobs(spark, tmp_path):
@@ -39,6 +47,11 @@ def test_conversion_jobs(spark, tmp_path):
         ["consolidate-conversions", *at, "--snapshots", snapshots, "--daily", daily]
         + ["--staging", str(tmp_path / "staging")]
     )
+    refreshed = str(tmp_path / "refreshed")
+    totals = ["--totals", str(tmp_path / "totals")]
+    main(["conversion-refresh", *at, "--log", log, "--snapshots", refreshed, *totals])
+    stored = [read_snapshots(spark, path, CONVERSION_SNAPSHOT) for path in (snapshots, refreshed)]
+    assert sorted(map(tuple, stored[0].collect())) == sorted(map(tuple, stored[1].collect()))
     rows = read_daily(spark, daily, CONVERSION_DAILY).orderBy("key_type").collect()
     assert [(row.key_type, row.roi, row.click_count) for row in rows] == [
         ("C", 10.5, 2),

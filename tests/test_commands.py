@@ -47,11 +47,14 @@ def test_conversion_jobs(spark, tmp_path):
         ["consolidate-conversions", *at, "--snapshots", snapshots, "--daily", daily]
         + ["--staging", str(tmp_path / "staging")]
     )
-    refreshed = str(tmp_path / "refreshed")
-    totals = ["--totals", str(tmp_path / "totals")]
-    main(["conversion-refresh", *at, "--log", log, "--snapshots", refreshed, *totals])
-    stored = [read_snapshots(spark, path, CONVERSION_SNAPSHOT) for path in (snapshots, refreshed)]
+    # All conversions are loaded by then, so the refresh and the run over the day see the same.
+    later = ["--as-of", "2024-01-05T14:00:05+02:00", "--log", log, "--snapshots"]
+    whole, refreshed = str(tmp_path / "whole"), str(tmp_path / "refreshed")
+    main(["conversion-statistics", *later, whole])
+    main(["conversion-refresh", *later, refreshed, "--totals", str(tmp_path / "totals")])
+    stored = [read_snapshots(spark, path, CONVERSION_SNAPSHOT) for path in (whole, refreshed)]
     assert sorted(map(tuple, stored[0].collect())) == sorted(map(tuple, stored[1].collect()))
+    assert stored[1].count() == 2
     rows = read_daily(spark, daily, CONVERSION_DAILY).orderBy("key_type").collect()
     assert [(row.key_type, row.roi, row.click_count) for row in rows] == [
         ("C", 10.5, 2),

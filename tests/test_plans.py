@@ -149,6 +149,9 @@ def test_no_collect_in_the_library():
         "click_stream.py": {"first(", "take(", "collect("},  # one id, one writer, a folder for each hour
         "checks.py": {"take("},  # a few examples
         "inputs.py": {"first("},  # one row
+        "late_files.py": {"collect("},  # hours of a range
+        "refresh.py": {"collect("},  # noted runs, of which a few are kept
+        "stateful_counts.py": {"first(", "collect("},  # one number, files and folders of a batch
         "tables.py": {"collect("},  # minutes of a history, runs that died
     }
     root = pathlib.Path(clicktally.__file__).parent

@@ -139,4 +139,4 @@ def test_entry_offers_every_query():
     names = __spark_entry__.queries()
     assert importlib.util.find_spec("corpus_pipeline")
     assert "pipeline" in names
-    assert {int(name[2:].split("_")[0]) for name in names if name.startswith("op")} == set(range(1, 11))
+    assert {int(name[2:].split("_")[0]) for name in names if name.startswith("op")} == set(range(1, 14))

@@ -239,6 +239,8 @@ FROM click_snapshots WHERE key_type IN ('error', 'view')""",
     "upsert_conversion_consolidate": UPSERT_CONVERSIONS,
     "consolidate_clicks": UPSERT_CLICKS,
     "consolidate_conversions": UPSERT_CONVERSIONS,
+    "consolidate_clicks_bucketed": UPSERT_CLICKS,
+    "consolidate_conversions_bucketed": UPSERT_CONVERSIONS,
     "click_snapshot_append": _from_events(_counts(_WHOLE_LINES)),
     "conversion_snapshot_append": _from_log(f"""
 SELECT *, CASE WHEN length(affiliates) > 500 THEN 'too long: affiliates' END AS reason

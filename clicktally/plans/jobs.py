@@ -45,14 +45,19 @@ from clicktally.schemas import (
 )
 from clicktally.session import delete_path, fresh_path
 from clicktally.sinks import (
+    BucketedDays,
     append_rows,
     finish_replacements,
+    key_code,
+    read_bucketed_days,
     read_daily,
     stage_and_replace,
     upsert_rows,
+    write_bucketed_days,
     write_run,
     write_snapshots,
 )
+from clicktally.sinks.bucketed import KEY_CODE
 from clicktally.sources import ClickLayout, read_click_copy, read_click_lines
 
 
@@ -252,6 +257,47 @@ def run_conversion_consolidation(
     )
 
 
+def _consolidate_in_buckets(
+    snapshots: DataFrame,
+    latest: DataFrame,
+    offer: str,
+    table: BucketedDays,
+    changed: tuple[str, ...],
+    as_of: datetime,
+    rejects_path: str | None,
+) -> None:
+    """Upsert into a table in buckets, of which the days from that of ``as_of`` on are read in place."""
+    spark, contract = latest.sparkSession, table.contract
+    run = _run_name(as_of)
+    with fitting_rows(latest, contract, rejects_path, run) as rows:
+        target = read_bucketed_days(spark, table, as_of)
+        updates = rows.withColumn(KEY_CODE, key_code(contract))
+        merged = upsert(target, updates, contract.key, changed, KEY_CODE)
+        write_bucketed_days(merged, table, as_of)
+    if rejects_path is not None:
+        write_rejects(snapshot_rejects(snapshots, offer), f"{rejects_path}/snapshots", run)
+
+
+def run_bucketed_click_consolidation(
+    snapshots: DataFrame, as_of: datetime, table: BucketedDays, rejects_path: str | None = None
+) -> None:
+    """``run_click_consolidation`` into a table in buckets, whose rows are not shuffled for it."""
+    today = since_today(snapshots, as_of)
+    _consolidate_in_buckets(
+        today, latest_clicks(today), "offer_id", table, CLICK_UPDATES, as_of, rejects_path
+    )
+
+
+def run_bucketed_conversion_consolidation(
+    snapshots: DataFrame, as_of: datetime, table: BucketedDays, rejects_path: str | None = None
+) -> None:
+    """``run_conversion_consolidation`` into a table in buckets, whose rows are not shuffled for it."""
+    today = since_today(snapshots, as_of)
+    _consolidate_in_buckets(
+        today, latest_conversions(today), "offerid", table, CONVERSION_UPDATES, as_of, rejects_path
+    )
+
+
 def append_click_statistics(
     spark: SparkSession,
     layout: ClickLayout,

@@ -40,6 +40,8 @@ from clicktally.operators.latest import (
 from clicktally.operators.upsert import upsert
 from clicktally.plans import inputs
 from clicktally.plans.jobs import (
+    run_bucketed_click_consolidation,
+    run_bucketed_conversion_consolidation,
     run_click_consolidation,
     run_click_history,
     run_click_search,
@@ -59,7 +61,7 @@ from clicktally.schemas import (
     TableContract,
 )
 from clicktally.session import fresh_path
-from clicktally.sinks import read_daily, read_snapshots
+from clicktally.sinks import BucketedDays, read_bucketed_days, read_daily, read_snapshots
 from clicktally.sources import read_click_copy, read_click_lines, write_click_copy
 from clicktally.streaming import run_click_stream, run_stateful_stream
 
@@ -245,6 +247,22 @@ def _consolidation(
     return query
 
 
+def _bucketed_consolidation(
+    snapshots: Callable[[SparkSession, str], DataFrame],
+    run: Callable[..., None],
+    contract: TableContract,
+) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows = snapshots(spark, sf_dir)
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        table = BucketedDays(fresh_path(spark, contract.name), contract, buckets)
+        for seen in (_earlier(rows), _later(rows)):
+            run(seen, FIRST_DAY, table)
+        return read_bucketed_days(spark, table).select(*contract.columns)
+
+    return query
+
+
 def click_snapshot_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     layout = inputs.write_click_files(spark, sf_dir)
     path = fresh_path(spark, CLICK_SNAPSHOT.name)
@@ -390,6 +408,12 @@ QUERIES: dict[str, Query] = {
     "consolidate_conversions": _consolidation(
         inputs.conversion_snapshots, run_conversion_consolidation, CONVERSION_DAILY
     ),
+    "consolidate_clicks_bucketed": _bucketed_consolidation(
+        inputs.click_snapshots, run_bucketed_click_consolidation, CLICK_DAILY
+    ),
+    "consolidate_conversions_bucketed": _bucketed_consolidation(
+        inputs.conversion_snapshots, run_bucketed_conversion_consolidation, CONVERSION_DAILY
+    ),
     "click_snapshot_append": click_snapshot_append,
     "conversion_snapshot_append": conversion_snapshot_append,
     "key_violations": key_violation,

@@ -35,7 +35,7 @@ def _replace_folders(rows: DataFrame, path: str, folders: tuple[str, ...]) -> No
     )
 
 
-def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A table by its schema, empty where nothing has been written yet."""
     try:
         return spark.read.schema(schema).parquet(path)
@@ -86,7 +86,7 @@ def read_snapshots(
     schema = T.StructType(
         contract.schema.fields + [T.StructField(name, T.StringType()) for name in RUN_FOLDERS]
     )
-    rows = _read(spark, path, schema)
+    rows = read_table(spark, path, schema)
     if as_of is not None:
         rows = rows.filter(F.col("snapshot_day") >= day_key(as_of))
     return rows.select(*contract.columns)
@@ -96,7 +96,7 @@ def read_daily(
     spark: SparkSession, path: str, contract: TableContract, as_of: datetime | None = None
 ) -> DataFrame:
     """Daily rows, all or those since the day of ``as_of`` (older folders unread)."""
-    rows = _read(spark, path, contract.schema)
+    rows = read_table(spark, path, contract.schema)
     if as_of is not None:
         rows = rows.filter(F.col(DAY_FOLDER) >= day_key(as_of))
     return rows.select(*contract.columns)
@@ -113,7 +113,7 @@ def replace_days(spark: SparkSession, staged: str, path: str, contract: TableCon
     Nothing is read from ``path``, so a replacement that was cut short is finished by calling
     this again with the same staged days.
     """
-    _replace_folders(_read(spark, staged, contract.schema), path, (DAY_FOLDER,))
+    _replace_folders(read_table(spark, staged, contract.schema), path, (DAY_FOLDER,))
 
 
 _JOURNAL = T.StructType(
@@ -136,7 +136,7 @@ def finish_replacements(
     spark: SparkSession, staging: str, path: str, contract: TableContract
 ) -> None:
     """Replace the days that an earlier run staged for ``path`` and did not get to replace."""
-    notes = _read(spark, f"{staging}/journal", _JOURNAL)
+    notes = read_table(spark, f"{staging}/journal", _JOURNAL)
     unfinished = (
         notes.filter(F.col("target") == path)
         .groupBy("staged")

@@ -1,0 +1,178 @@
+"""Daily tables in buckets: plans, versions, runs that die, and the same rows as the plain tables."""
+
+import random
+import re
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from clicktally.operators.upsert import upsert
+from clicktally.plans import jobs
+from clicktally.plans.jobs import (
+    run_bucketed_click_consolidation,
+    run_bucketed_conversion_consolidation,
+    run_click_consolidation,
+    run_conversion_consolidation,
+)
+from clicktally.schemas import (
+    CLICK_DAILY,
+    CLICK_SNAPSHOT,
+    CLICK_UPDATES,
+    CONVERSION_DAILY,
+)
+from clicktally.sinks import (
+    BucketedDays,
+    bucketed,
+    key_code,
+    read_bucketed_days,
+    read_daily,
+    write_bucketed_days,
+)
+from clicktally.sinks.bucketed import KEY_CODE, OtherBuckets
+
+AS_OF = datetime(2024, 1, 5, 10, 35)
+
+
+def rows(frame):
+    return sorted((tuple(row) for row in frame.collect()), key=repr)
+
+
+def held(spark, table, as_of=None):
+    return rows(read_bucketed_days(spark, table, as_of).drop(KEY_CODE))
+
+
+def snapshots_of(spark, rng, days, number=60):
+    values = [
+        (
+            f"2024-01-{rng.choice(days):02d} {rng.randrange(24):02d}:{rng.randrange(60):02d}",
+            rng.choice("CR"),
+            f"off{rng.randrange(12)}",
+            rng.choice(["adv1", None]),
+            rng.choice(["s", "NA"]),
+            rng.randrange(100),
+        )
+        for _ in range(number)
+    ]
+    return spark.createDataFrame(values, CLICK_SNAPSHOT.schema)
+
+
+def coded(frame):
+    return frame.withColumn(KEY_CODE, key_code(CLICK_DAILY))
+
+
+def test_clicks_equal_those_of_the_plain_table(spark, tmp_path):
+    rng = random.Random(4)
+    table = BucketedDays(str(tmp_path / "bucketed"), CLICK_DAILY, 4)
+    plain, staging = str(tmp_path / "plain"), str(tmp_path / "staging")
+    for day in (5, 5, 6, 5, 7):
+        seen = snapshots_of(spark, rng, range(4, 9))
+        as_of = datetime(2024, 1, day, 12)
+        run_bucketed_click_consolidation(seen, as_of, table)
+        run_click_consolidation(seen, as_of, plain, staging)
+        assert held(spark, table) == rows(read_daily(spark, plain, CLICK_DAILY))
+        assert held(spark, table, as_of) == rows(read_daily(spark, plain, CLICK_DAILY, as_of))
+
+
+def test_conversions_and_rejects_equal_those_of_the_plain_table(spark, tmp_path):
+    values = [
+        ("2024-01-05 10:00", "C", "o1", 1.0, 0.5, 0.5, 2),
+        ("2024-01-05 11:00", "C", "o1", 3.0, 0.5, 2.5, 4),
+        ("2024-01-05 11:00", "R", "o" * 40, 3.0, 0.5, 2.5, 4),
+        ("2024-01-05", "R", "o2", 1.0, 1.0, 0.0, 1),
+        ("2024-01-05 09:00", "R", None, 1.0, 1.0, 0.0, 1),
+    ]
+    seen = spark.createDataFrame(values, CONVERSION_DAILY.schema)
+    table = BucketedDays(str(tmp_path / "bucketed"), CONVERSION_DAILY, 3)
+    plain, staging = str(tmp_path / "plain"), str(tmp_path / "staging")
+    ours, theirs = str(tmp_path / "ours"), str(tmp_path / "theirs")
+    for _ in range(2):
+        run_bucketed_conversion_consolidation(seen, AS_OF, table, ours)
+        run_conversion_consolidation(seen, AS_OF, plain, staging, theirs)
+        assert held(spark, table) == rows(read_daily(spark, plain, CONVERSION_DAILY))
+        assert held(spark, table) == [("2024-01-05", "C", "o1", 3.0, 0.5, 2.5, 4)]
+        for kind in (CONVERSION_DAILY.name, "snapshots"):
+            found, wanted = (spark.read.parquet(f"{path}/{kind}") for path in (ours, theirs))
+            assert rows(found) == rows(wanted) != []
+
+
+def test_only_the_updates_are_shuffled(spark, tmp_path):
+    table = BucketedDays(str(tmp_path / "bucketed"), CLICK_DAILY, 4)
+    first = jobs.latest_clicks(snapshots_of(spark, random.Random(1), [5, 6]))
+    write_bucketed_days(coded(first), table)
+    stored = str(tmp_path / "updates")
+    jobs.latest_clicks(snapshots_of(spark, random.Random(2), [6])).write.parquet(stored)
+    updates = coded(spark.read.parquet(stored))
+    target = read_bucketed_days(spark, table, datetime(2024, 1, 6))
+    merged = upsert(target, updates, CLICK_DAILY.key, CLICK_UPDATES, KEY_CODE)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"\bExchange\b", plan)) == 1
+    assert "Bucketed: true" in plan and "Broadcast" not in plan
+    plainly = upsert(target, updates, CLICK_DAILY.key, CLICK_UPDATES)
+    plan = plainly._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"\bExchange\b", plan)) == 2
+    assert rows(merged) == rows(plainly)
+
+
+def test_only_the_latest_versions_of_the_days_are_read(spark, tmp_path):
+    table = BucketedDays(str(tmp_path / "bucketed"), CLICK_DAILY, 2)
+    for seed in range(3):
+        days = jobs.latest_clicks(snapshots_of(spark, random.Random(seed), [5, 6, 7]))
+        write_bucketed_days(coded(days), table)
+    found = read_bucketed_days(spark, table, datetime(2024, 1, 7))
+    files = found.inputFiles()
+    assert files and all("key_dt=2024-01-07/version=000000000003-" in file for file in files)
+    # The version before is kept for readers that have begun with it.
+    for day in (5, 6, 7):
+        kept = sorted(p.name for p in (tmp_path / "bucketed" / "days" / f"key_dt=2024-01-{day:02d}").iterdir())
+        assert [name[:20] for name in kept] == ["version=000000000002", "version=000000000003"]
+
+
+@pytest.mark.parametrize("step", ["_note_version", "_delete_old_versions"])
+def test_a_run_that_dies_leaves_the_table_whole(spark, tmp_path, monkeypatch, step):
+    table = BucketedDays(str(tmp_path / "bucketed"), CLICK_DAILY, 4)
+    rng = random.Random(9)
+    first, second = (snapshots_of(spark, rng, [5, 6]) for _ in range(2))
+    run_bucketed_click_consolidation(first, AS_OF, table)
+    before = held(spark, table)
+
+    def killed(*_):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(bucketed, step, killed)
+        with pytest.raises(RuntimeError, match="killed"):
+            run_bucketed_click_consolidation(second, AS_OF, table)
+    if step == "_note_version":
+        assert held(spark, table) == before
+    run_bucketed_click_consolidation(second, AS_OF, table)
+    plain, staging = str(tmp_path / "plain"), str(tmp_path / "staging")
+    for seen in (first, second):
+        run_click_consolidation(seen, AS_OF, plain, staging)
+    assert held(spark, table) == rows(read_daily(spark, plain, CLICK_DAILY))
+
+
+def test_another_number_of_buckets_is_refused(spark, tmp_path):
+    seen = snapshots_of(spark, random.Random(3), [5])
+    path = str(tmp_path / "bucketed")
+    run_bucketed_click_consolidation(seen, AS_OF, BucketedDays(path, CLICK_DAILY, 4))
+    with pytest.raises(OtherBuckets, match="has 4 buckets, not 8"):
+        run_bucketed_click_consolidation(seen, AS_OF, BucketedDays(path, CLICK_DAILY, 8))
+
+
+def test_no_snapshots_write_no_version(spark, tmp_path):
+    table = BucketedDays(str(tmp_path / "bucketed"), CLICK_DAILY, 4)
+    none = spark.createDataFrame([], CLICK_SNAPSHOT.schema)
+    run_bucketed_click_consolidation(none, AS_OF, table)
+    assert held(spark, table) == []
+    run_bucketed_click_consolidation(snapshots_of(spark, random.Random(3), [5]), AS_OF, table)
+    run_bucketed_click_consolidation(none, AS_OF, table)
+    assert held(spark, table) != []
+
+
+def test_keys_that_share_their_hash_stay_apart(spark):
+    schema = "k string, n int, code long"
+    target = spark.createDataFrame([("a", 1, 7), (None, 2, 7)], schema)
+    updates = spark.createDataFrame([("a", 3, 7), ("b", 4, 7), (None, 5, 7)], schema)
+    merged = upsert(target, updates, ["k"], ["n"], "code")
+    assert rows(merged.select("k", F.col("n"))) == [("a", 3), ("b", 4), (None, 5)]

@@ -32,6 +32,8 @@ WRITING = {
     "conversion_snapshot_append",
     "consolidate_clicks",
     "consolidate_conversions",
+    "consolidate_clicks_bucketed",
+    "consolidate_conversions_bucketed",
     "stream_click_counts",
     "stream_click_rejects",
     "click_statistics_job",
@@ -147,6 +149,7 @@ def test_no_collect_in_the_library():
 
     allowed = {
         "click_stream.py": {"first(", "take(", "collect("},  # one id, one writer, a folder for each hour
+        "bucketed.py": {"collect("},  # a version for each day since the batch time
         "checks.py": {"take("},  # a few examples
         "inputs.py": {"first("},  # one row
         "late_files.py": {"collect("},  # hours of a range

@@ -34,6 +34,8 @@ from clicktally.operators.latest import (
     snapshot_rejects,
 )
 from clicktally.operators.upsert import upsert
+from clicktally.plans.rejects import write_rejects
+from clicktally.plans.whole_files import over_whole_files
 from clicktally.schemas import (
     CLICK_DAILY,
     CLICK_SNAPSHOT,
@@ -61,12 +63,6 @@ from clicktally.sinks.bucketed import KEY_CODE
 from clicktally.sources import ClickLayout, read_click_copy, read_click_lines
 
 
-def write_rejects(rejects: DataFrame, path: str | None, run: str) -> None:
-    """Keep the rejects of a run in the folder of the run; none empty it."""
-    if path is not None:
-        rejects.write.mode("overwrite").parquet(f"{path}/run={run}")
-
-
 def _run_name(*times: datetime) -> str:
     return "_".join(as_utc(time).strftime("%Y-%m-%dT%H%M") for time in times)
 
@@ -105,21 +101,25 @@ def run_click_statistics(
 ) -> int:
     """Count the clicks of the hour of ``as_of``, store the snapshot, return the lines rejected.
 
-    The files are read again for the rejects only if there are any and a path is given. The
-    number is exact unless a lost task was run again.
+    The files are read again for the rejects only if there are any and a path is given. Then files
+    that break off are left out too. The number is exact unless a lost task was run again.
     """
-    lines = read_click_lines(spark, layout, layout.hour_glob(as_of))
-    seen = Observation()
-    clicks = parse_clicks(lines.observe(seen, F.count("*").alias("lines"))).observe(
-        parsed := Observation(), F.count("*").alias("clicks")
-    )
     run = _run_name(as_of)
-    with fitting_rows(click_counts(clicks, as_of), CLICK_SNAPSHOT, rejects_path, run) as counts:
-        write_run(counts, snapshots_path, as_of)
-    rejected = seen.get["lines"] - parsed.get["clicks"]
-    if rejects_path is not None:
-        found = click_rejects(lines) if rejected else click_rejects(lines.limit(0))
-        write_rejects(found, f"{rejects_path}/lines", run)
+
+    def count(lines: DataFrame) -> int:
+        seen, parsed = Observation(), Observation()
+        clicks = parse_clicks(lines.observe(seen, F.count("*").alias("lines")))
+        clicks = clicks.observe(parsed, F.count("*").alias("clicks"))
+        with fitting_rows(click_counts(clicks, as_of), CLICK_SNAPSHOT, rejects_path, run) as counts:
+            write_run(counts, snapshots_path, as_of)
+        rejected = seen.get["lines"] - parsed.get["clicks"]
+        if rejects_path is not None:
+            found = click_rejects(lines) if rejected else click_rejects(lines.limit(0))
+            write_rejects(found, f"{rejects_path}/lines", run)
+        return rejected
+
+    glob = layout.hour_glob(as_of)
+    rejected, _ = over_whole_files(spark, layout, glob, rejects_path, run, count)
     return rejected
 
 

@@ -19,11 +19,13 @@ from pyspark.sql import functions as F
 
 from clicktally.functions import as_utc, day_key
 from clicktally.operators.clicks import click_counts_by_hour, click_rejects, parse_clicks
-from clicktally.plans.jobs import fitting_rows, write_rejects
+from clicktally.plans.jobs import fitting_rows
+from clicktally.plans.rejects import write_rejects
+from clicktally.plans.whole_files import over_whole_files
 from clicktally.schemas import CLICK_SNAPSHOT
 from clicktally.session import delete_path, fresh_path
 from clicktally.sinks import write_snapshots
-from clicktally.sources import ClickLayout, list_click_files, read_click_lines
+from clicktally.sources import ClickLayout, list_click_files
 
 FILE = ("path", "length", "modified")
 LEDGER_SCHEMA = "path string, length long, modified timestamp, hour string, day string"
@@ -76,7 +78,8 @@ def run_late_hours(
     Returns these hours, as ``yyyy/MM/dd/HH``. Each gets the snapshot of its last minute, the one that
     ``run_click_history`` stores; a snapshot that is left without rows is emptied. A file that was changed
     counts as new, one that was deleted changes nothing. With a path for rejects the files of the hours
-    are read twice.
+    are read twice, and files that break off are left out of the count and of the ledger, so their hour
+    is counted again by every run until they are whole.
     """
     listing = fresh_path(spark, "click-files")
     list_click_files(spark, layout, layout.range_glob(first, last)).write.parquet(listing)
@@ -87,15 +90,19 @@ def run_late_hours(
     hours = sorted({row.hour for row in found.collect()} & set(_hours_between(first, last)))
     if hours:
         times = [datetime.strptime(hour, HOUR_FORMAT) for hour in hours]
-        lines = read_click_lines(spark, layout, layout.hours_glob(times))
         run = f"{hours[0]}_{hours[-1]}_{len(hours)}".replace("/", "-")
-        counts = click_counts_by_hour(parse_clicks(lines))
         keys = [f"{time:%Y-%m-%d %H}:59" for time in times]
-        with fitting_rows(counts, CLICK_SNAPSHOT, rejects_path, run) as rows:
-            write_snapshots(rows, snapshots_path, CLICK_SNAPSHOT, F.col("key_dt").isin(keys))
-        if rejects_path is not None:
-            write_rejects(click_rejects(lines), f"{rejects_path}/lines", run)
-        counted = listed.filter(F.col("hour").isin(hours))
+
+        def count(lines: DataFrame) -> None:
+            counts = click_counts_by_hour(parse_clicks(lines))
+            with fitting_rows(counts, CLICK_SNAPSHOT, rejects_path, run) as rows:
+                write_snapshots(rows, snapshots_path, CLICK_SNAPSHOT, F.col("key_dt").isin(keys))
+            if rejects_path is not None:
+                write_rejects(click_rejects(lines), f"{rejects_path}/lines", run)
+
+        glob = layout.hours_glob(times)
+        _, broken = over_whole_files(spark, layout, glob, rejects_path, run, count)
+        counted = listed.filter(F.col("hour").isin(hours) & ~F.col("path").isin(broken))
         note_files(uncounted_files(counted, ledger), ledger_path)
     delete_path(spark, listing)
     return hours

@@ -30,7 +30,8 @@ from clicktally.operators.conversions import (
     in_window,
     merge_combinations,
 )
-from clicktally.plans.jobs import fitting_rows, write_rejects
+from clicktally.plans.jobs import fitting_rows
+from clicktally.plans.rejects import write_rejects
 from clicktally.schemas import CONVERSION_LOG, CONVERSION_SNAPSHOT
 from clicktally.session import delete_path, fresh_path
 from clicktally.sinks import write_run

@@ -6,6 +6,7 @@ from clicktally.sources.databases import (
     read_snapshot_table,
     snapshot_predicates,
 )
+from clicktally.sources.whole_files import write_broken_files
 
 __all__ = [
     "ClickLayout",
@@ -16,5 +17,6 @@ __all__ = [
     "read_conversion_log",
     "read_snapshot_table",
     "snapshot_predicates",
+    "write_broken_files",
     "write_click_copy",
 ]

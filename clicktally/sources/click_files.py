@@ -90,10 +90,13 @@ class ClickLayout:
         return as_utc(moment).strftime(day).format(stream=self.stream(moment))
 
 
-def read_click_lines(spark: SparkSession, layout: ClickLayout, glob: str) -> DataFrame:
+def read_click_lines(
+    spark: SparkSession, layout: ClickLayout, glob: str, without: Sequence[str] = ()
+) -> DataFrame:
     """Lines of the files of a glob, each with the hour of its folder.
 
-    No file at all gives no lines; any other failure is raised.
+    Files named by ``without``, as ``_metadata.file_path`` gives them, are not opened. No file at all
+    gives no lines; any other failure is raised.
     """
     try:
         lines = spark.read.text(glob)
@@ -101,6 +104,8 @@ def read_click_lines(spark: SparkSession, layout: ClickLayout, glob: str) -> Dat
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], LINES_SCHEMA)
+    if without:
+        lines = lines.filter(~F.col("_metadata.file_path").isin(list(without)))
     return lines.select("value", layout.hour_of_path(F.col("_metadata.file_path")).alias("hour"))
 
 

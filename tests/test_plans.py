@@ -155,6 +155,7 @@ def test_no_collect_in_the_library():
         "late_files.py": {"collect("},  # hours of a range
         "refresh.py": {"collect("},  # noted runs, of which a few are kept
         "stateful_counts.py": {"first(", "collect("},  # one number, files and folders of a batch
+        "whole_files.py": {"collect("},  # paths of files that break off
         "tables.py": {"collect("},  # minutes of a history, runs that died
     }
     root = pathlib.Path(clicktally.__file__).parent

@@ -281,5 +281,11 @@ WHERE destination_subid = '{{"k": 69}}' AND {_WHOLE_LINES}
 SELECT offer_id, offer_advertiser_id FROM events_as_clicks
 WHERE destination_subid = '{{"k": 69}}' AND {_WHOLE_LINES}"""),
     "conversion_refresh": _from_log(WHOLE_LOG),
+    "conversion_distinct_counts": _from_log("""
+SELECT offer_id, dimension, count(DISTINCT value) AS n_values
+FROM (SELECT offer_id, 'affiliates' AS dimension, affiliate_id AS value FROM log
+      UNION ALL SELECT offer_id, 'geo', geo_country FROM log
+      UNION ALL SELECT offer_id, 'zones', subid4 FROM log)
+WHERE value <> '' GROUP BY offer_id, dimension"""),
     "stream_stateful_counts": _from_events(_counts(_WHOLE_LINES)),
 }

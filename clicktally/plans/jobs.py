@@ -134,17 +134,20 @@ def run_click_history(
     """Store the last snapshot of every hour from ``first`` to ``last``, in one pass.
 
     An hour has one folder, whichever run stores it; hours without clicks are left empty. With a path
-    for rejects the files are read twice.
+    for rejects the files are read twice, and those that break off are left out.
     """
-    lines = read_click_lines(spark, layout, layout.range_glob(first, last))
-    counts = click_counts_by_hour(parse_clicks(lines))
     run = _run_name(first, last)
     hours = F.substring("key_dt", 1, 13).between(minute_key(first)[:13], minute_key(last)[:13])
     at_end = F.substring("key_dt", 15, 2) == "59"
-    with fitting_rows(counts, CLICK_SNAPSHOT, rejects_path, run) as fitting:
-        write_snapshots(fitting, snapshots_path, CLICK_SNAPSHOT, hours & at_end)
-    if rejects_path is not None:
-        write_rejects(click_rejects(lines), f"{rejects_path}/lines", run)
+
+    def count(lines: DataFrame) -> None:
+        counts = click_counts_by_hour(parse_clicks(lines))
+        with fitting_rows(counts, CLICK_SNAPSHOT, rejects_path, run) as fitting:
+            write_snapshots(fitting, snapshots_path, CLICK_SNAPSHOT, hours & at_end)
+        if rejects_path is not None:
+            write_rejects(click_rejects(lines), f"{rejects_path}/lines", run)
+
+    over_whole_files(spark, layout, layout.range_glob(first, last), rejects_path, run, count)
 
 
 def run_conversion_history(

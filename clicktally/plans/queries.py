@@ -39,6 +39,7 @@ from clicktally.operators.latest import (
 )
 from clicktally.operators.upsert import upsert
 from clicktally.plans import inputs
+from clicktally.plans.distinct_values import add_conversions, offer_value_counts, read_bitmaps
 from clicktally.plans.jobs import (
     run_bucketed_click_consolidation,
     run_bucketed_conversion_consolidation,
@@ -328,6 +329,18 @@ def conversion_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals_snapshot(refreshed, LAST)
 
 
+def conversion_distinct_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct values per offer from the bitmaps of four loads of the whole log."""
+    store = fresh_path(spark, "distinct-values")
+    log = inputs.conversion_log(spark, sf_dir)
+    before = FIRST
+    for number, until in enumerate((*REFRESHES, LAST)):
+        loaded = F.col("redshift_time")
+        add_conversions(log.filter((loaded > before) & (loaded <= until)), store, f"load-{number}")
+        before = until
+    return offer_value_counts(read_bitmaps(spark, store))
+
+
 def click_copy_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clicks with an id in a cleaned copy of all click files."""
     layout = inputs.write_click_files(spark, sf_dir)
@@ -425,5 +438,6 @@ QUERIES: dict[str, Query] = {
     "click_late_hours": click_late_hours,
     "click_copy_search": click_copy_search,
     "conversion_refresh": conversion_refresh,
+    "conversion_distinct_counts": conversion_distinct_counts,
     "stream_stateful_counts": stream_stateful_counts,
 }

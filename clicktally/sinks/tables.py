@@ -5,8 +5,8 @@ one per day. A write replaces the folders it stands for and no others, so a repe
 one copy, and none if there is nothing left to count. Rows are rebalanced by folder before a write: a
 large folder is split over tasks, small ones share one.
 
-Days are replaced by way of a staging folder and a journal of what is staged and what is done. A job
-that starts first finishes what is staged and not done, so a run that died leaves nothing to repair.
+Days are replaced by way of a staging folder and a note of what is staged, both deleted when the days are
+in place. A job that starts first finishes what is noted, so a run that died leaves nothing to repair.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from clicktally.functions import as_utc, day_key, day_of_key
 from clicktally.schemas import TableContract
+from clicktally.session import delete_path
 
 RUN_FOLDERS = ("snapshot_day", "snapshot_run")
 DAY_FOLDER = "key_dt"
@@ -116,47 +117,46 @@ def replace_days(spark: SparkSession, staged: str, path: str, contract: TableCon
     _replace_folders(read_table(spark, staged, contract.schema), path, (DAY_FOLDER,))
 
 
-_JOURNAL = T.StructType(
-    [T.StructField(name, T.StringType()) for name in ("staged", "target", "state")]
+_UNFINISHED = T.StructType(
+    [T.StructField("staged", T.StringType()), T.StructField("target", T.StringType())]
     + [T.StructField("noted", T.TimestampType())]
 )
 
 
-def _note(spark: SparkSession, journal: str, staged: str, target: str, state: str) -> None:
-    row = spark.range(1).select(
-        F.lit(staged).alias("staged"),
-        F.lit(target).alias("target"),
-        F.lit(state).alias("state"),
-        F.current_timestamp().alias("noted"),
-    )
-    row.write.mode("append").parquet(journal)
+def _notes(staging: str) -> str:
+    return f"{staging}/unfinished"
+
+
+def _finish(spark: SparkSession, staging: str, name: str, path: str, contract: TableContract) -> None:
+    """Replace the days staged under a name, then delete the note of them and the staged copy."""
+    replace_days(spark, f"{staging}/{name}", path, contract)
+    delete_path(spark, f"{_notes(staging)}/run={name}", _notes(staging))
+    delete_path(spark, f"{staging}/{name}", staging)
 
 
 def finish_replacements(
     spark: SparkSession, staging: str, path: str, contract: TableContract
 ) -> None:
     """Replace the days that an earlier run staged for ``path`` and did not get to replace."""
-    notes = read_table(spark, f"{staging}/journal", _JOURNAL)
-    unfinished = (
-        notes.filter(F.col("target") == path)
-        .groupBy("staged")
-        .agg(F.max_by("state", "noted").alias("state"), F.max("noted").alias("noted"))
-        .filter(F.col("state") == "staged")
-        .orderBy("noted")
-    )
+    notes = read_table(spark, _notes(staging), _UNFINISHED)
     # One for each run that died since the last that did not.
-    for row in unfinished.collect():
-        replace_days(spark, row.staged, path, contract)
-        _note(spark, f"{staging}/journal", row.staged, path, "done")
+    for row in notes.filter(F.col("target") == path).orderBy("noted").collect():
+        _finish(spark, staging, row.staged.rpartition("/")[2], path, contract)
 
 
 def stage_and_replace(
     rows: DataFrame, staging: str, name: str, path: str, contract: TableContract
 ) -> None:
-    """Stage complete days under a name, note that, replace them in the table and note that."""
+    """Stage complete days under a name, note that, and replace them in the table.
+
+    Neither the staged copy nor the note outlives the replacement.
+    """
     spark = rows.sparkSession
-    staged = f"{staging}/{name}"
-    stage_days(rows, staged)
-    _note(spark, f"{staging}/journal", staged, path, "staged")
-    replace_days(spark, staged, path, contract)
-    _note(spark, f"{staging}/journal", staged, path, "done")
+    stage_days(rows, f"{staging}/{name}")
+    note = spark.range(1).select(
+        F.lit(f"{staging}/{name}").alias("staged"),
+        F.lit(path).alias("target"),
+        F.current_timestamp().alias("noted"),
+    )
+    note.write.mode("overwrite").parquet(f"{_notes(staging)}/run={name}")
+    _finish(spark, staging, name, path, contract)

@@ -530,3 +530,13 @@ def test_intermediate_tables_are_deleted_and_nothing_else_is(spark, tmp_path):
     for path in (str(tmp_path), shared_folder(spark), f"{shared_folder(spark)}/"):
         with pytest.raises(ValueError):
             delete_path(spark, path)
+
+
+def test_staged_copies_and_notes_do_not_outlive_their_run(spark, tmp_path):
+    daily, staging = str(tmp_path / "daily"), tmp_path / "staging"
+    for minute in (35, 36):
+        seen = snapshot(spark, ("2024-01-05 10:00", "C", "o1", "a", "s", minute))
+        run_click_consolidation(seen, datetime(2024, 1, 5, 10, minute), daily, str(staging))
+        held = [path for path in staging.rglob("*") if path.is_file() and path.name[0] not in "._"]
+        assert held == []
+    assert [row.count_of_clicks for row in read_daily(spark, daily, CLICK_DAILY).collect()] == [36]

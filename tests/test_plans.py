@@ -41,6 +41,7 @@ WRITING = {
     "click_late_hours",
     "click_copy_search",
     "conversion_refresh",
+    "conversion_distinct_counts",
     "stream_stateful_counts",
 }
 
@@ -151,6 +152,7 @@ def test_no_collect_in_the_library():
         "click_stream.py": {"first(", "take(", "collect("},  # one id, one writer, a folder for each hour
         "bucketed.py": {"collect("},  # a version for each day since the batch time
         "checks.py": {"take("},  # a few examples
+        "distinct_values.py": {"first("},  # one number
         "inputs.py": {"first("},  # one row
         "late_files.py": {"collect("},  # hours of a range
         "refresh.py": {"collect("},  # noted runs, of which a few are kept

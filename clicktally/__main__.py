@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from clicktally.plans.jobs import (
     append_click_statistics,
     append_conversion_statistics,
+    run_bucketed_click_consolidation,
+    run_bucketed_conversion_consolidation,
     run_click_consolidation,
     run_click_search,
     run_click_statistics,
@@ -20,9 +22,15 @@ from clicktally.plans.jobs import (
 )
 from clicktally.plans.late_files import run_late_hours
 from clicktally.plans.refresh import run_conversion_refresh
-from clicktally.schemas import CLICK_SNAPSHOT, CONVERSION_LOG, CONVERSION_SNAPSHOT
+from clicktally.schemas import (
+    CLICK_DAILY,
+    CLICK_SNAPSHOT,
+    CONVERSION_DAILY,
+    CONVERSION_LOG,
+    CONVERSION_SNAPSHOT,
+)
 from clicktally.session import build_session
-from clicktally.sinks import read_snapshots
+from clicktally.sinks import BucketedDays, read_snapshots
 from clicktally.sources import ClickLayout, read_conversion_log, write_click_copy
 from clicktally.streaming import run_click_stream, run_stateful_stream
 
@@ -63,8 +71,10 @@ def _parser() -> argparse.ArgumentParser:
             f"keep the latest snapshot per day and {what}",
             "snapshots",
             "daily",
-            "staging",
         )
+        kind = job.add_mutually_exclusive_group(required=True)
+        kind.add_argument("--staging", help="folder in which days are staged")
+        kind.add_argument("--buckets", type=int, help="the daily table is in so many buckets")
         job.add_argument("--rejects")
     search = add("search", "find the clicks of the day with a destination subid", "root", "out")
     search.add_argument("subid")
@@ -133,6 +143,14 @@ def main(arguments: list[str] | None = None) -> None:
         run_conversion_statistics(
             log, as_of, options.snapshots, options.rejects, values_path=options.values
         )
+    elif options.job == "consolidate-clicks" and options.buckets:
+        rows = read_snapshots(spark, options.snapshots, CLICK_SNAPSHOT, as_of)
+        table = BucketedDays(options.daily, CLICK_DAILY, options.buckets)
+        run_bucketed_click_consolidation(rows, as_of, table, options.rejects)
+    elif options.job == "consolidate-conversions" and options.buckets:
+        rows = read_snapshots(spark, options.snapshots, CONVERSION_SNAPSHOT, as_of)
+        table = BucketedDays(options.daily, CONVERSION_DAILY, options.buckets)
+        run_bucketed_conversion_consolidation(rows, as_of, table, options.rejects)
     elif options.job == "consolidate-clicks":
         rows = read_snapshots(spark, options.snapshots, CLICK_SNAPSHOT, as_of)
         run_click_consolidation(rows, as_of, options.daily, options.staging, options.rejects)

@@ -1,6 +1,6 @@
 from clicktally.__main__ import main
 from clicktally.schemas import CLICK_DAILY, CLICK_SNAPSHOT, CONVERSION_DAILY, CONVERSION_SNAPSHOT
-from clicktally.sinks import read_daily, read_snapshots
+from clicktally.sinks import BucketedDays, read_bucketed_days, read_daily, read_snapshots
 from tests.test_clicks import LINES, put
 from tests.test_conversions import GOLDEN, log_of
 
@@ -20,6 +20,15 @@ def test_click_jobs(spark, tmp_path, capsys):
         + ["--staging", staging]
     )
     assert read_daily(spark, daily, CLICK_DAILY).count() == 2
+    bucketed = str(tmp_path / "bucketed")
+    main(
+        ["consolidate-clicks", *at, "--snapshots", snapshots, "--daily", bucketed]
+        + ["--buckets", "4"]
+    )
+    table = BucketedDays(bucketed, CLICK_DAILY, 4)
+    stored = read_bucketed_days(spark, table).select(*CLICK_DAILY.columns)
+    assert stored.exceptAll(read_daily(spark, daily, CLICK_DAILY)).count() == 0
+    assert stored.count() == 2
     found = str(tmp_path / "found")
     main(["search", *at, "--root", root, "--out", found, "s2"])
     assert [row.value for row in spark.read.text(found).collect()] == ["off1,adv1"]

@@ -58,11 +58,12 @@ def test_op10_against_brute_force(spark, documents, sf_dir):
 
 
 @settings(max_examples=50, deadline=None)
-@given(st.integers(0, 2**32), st.sampled_from([3, 4, 7]))
-def test_pigeonring_finds_every_pair(seed, distance):
+@given(st.integers(0, 2**32), st.sampled_from([(3, 2), (4, 2), (4, 3), (7, 2), (7, 3)]))
+def test_pigeonring_finds_every_pair(seed, form):
     """Any two fingerprints within the distance share a key and stay within all chains."""
     rng = random.Random(seed)
-    ring = simhash.Ring(distance)
+    distance, chain = form
+    ring = simhash.Ring(distance, chain)
     a = rng.getrandbits(64)
     b = a
     for bit in rng.sample(range(64), rng.randint(0, distance)):
@@ -74,11 +75,93 @@ def test_pigeonring_finds_every_pair(seed, distance):
             after = (start + 1) % ring.count
             low = [(v >> ring.offsets[after]) & (2 ** ring.widths[after] - 1) for v in (a, b)]
             assert (low[0] ^ low[1]).bit_count() <= 1
+            shared = set(plain_keys(ring, a, start)) & set(plain_keys(ring, b, start))
+            assert shared
 
 
-@pytest.mark.parametrize("small_run", [1, 24])
-def test_links_of_clustered_fingerprints(spark, monkeypatch, small_run):
+def plain_keys(ring, fp, start):
+    places = [(start + i) % ring.count for i in range(ring.chain)]
+    key = start
+    for at in places:
+        key = key << ring.wide | (fp >> ring.offsets[at]) & (2 ** ring.widths[at] - 1)
+    return [key | bits for bits in ring._zeros(start) if not key & bits]
+
+
+def test_keys_of_rings(spark):
+    """The column holds the keys of all starts, and longer keys begin with shorter ones."""
+    rng = random.Random(3)
+    prints = [rng.getrandbits(64) for _ in range(20)] + [0, 2**64 - 1]
+    signed = [(int(np.uint64(v).astype(np.int64)),) for v in prints]
+    frame = spark.createDataFrame(signed, "fp long")
+    for distance, chain in [(3, 2), (4, 2), (4, 3), (7, 3)]:
+        ring = simhash.Ring(distance, chain)
+        rows = frame.select(ring.keys(simhash.F.col("fp")).alias("keys")).collect()
+        for fp, row in zip(prints, rows, strict=True):
+            wanted = [key for start in range(ring.count) for key in plain_keys(ring, fp, start)]
+            assert sorted(row.keys) == sorted(wanted)
+            if chain > 2:
+                short = simhash.Ring(distance, chain - 1)
+                begun = {key >> ring.wide for key in row.keys}
+                assert begun == {k for s in range(ring.count) for k in plain_keys(short, fp, s)}
+    for distance, chain in [(4, 1), (4, 4), (2, 3), (1, 2)]:
+        with pytest.raises(ValueError):
+            simhash.Ring(distance, chain)
+    assert simhash.Ring(2).longer() is None
+
+
+def components_of(spark, links, prints):
+    roots = {row.node: row.root for row in connected_components(links, "a", "b").collect()}
+    return [roots.get(fp, fp) for fp in prints]
+
+
+def test_a_template_of_many_near_copies_is_split(spark, monkeypatch):
+    """Copies that share the first key are dealt over tasks by longer chains, and no link is lost."""
+    rng = random.Random(8)
+    template = rng.getrandbits(64)
+    prints = {template, *(rng.getrandbits(64) for _ in range(200))}
+    while len(prints) < 1500:
+        value = template
+        for bit in rng.sample(range(25, 64), rng.randint(1, 9)):
+            value ^= 1 << bit
+        prints.add(value)
+    prints = sorted(prints)
+    signed = [int(np.uint64(v).astype(np.int64)) for v in prints]
+    frame = spark.createDataFrame([(v,) for v in signed], "fp long")
+    wanted = plain_components(list(zip(signed, prints, strict=True)))
+    tasks = simhash.F.spark_partition_id()
+    joining = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(joining, "false")
+    # The key of the first two segments of the template, under which all its copies meet.
+    key = plain_keys(simhash.Ring(4), template, 0)[0]
+    whole = simhash.Ring(4)
+    keyed = frame.select(simhash.F.explode(whole.keys(simhash.F.col("fp"))).alias("key"), "fp")
+    one = simhash._links(keyed.filter(simhash.F.col("key") == key), whole)
+    assert one.select(tasks).distinct().count() == 1
+    monkeypatch.setattr(simhash, "CROWDED", 300)
+    monkeypatch.setattr(simhash, "ONE_IN", 1)
+    crowded = simhash._crowded(keyed)
+    assert key in {row.key for row in crowded.collect()}
+    longer = whole.longer()
+    of_key = simhash.F.filter(
+        longer.keys(simhash.F.col("fp")), lambda k: longer.shorter_key(k) == key
+    )
+    split = simhash._links(frame.select(simhash.F.explode(of_key).alias("key"), "fp"), longer)
+    assert split.select(tasks).distinct().count() > 1
+    spark.conf.unset(joining)
+    links = simhash.fingerprint_links(frame)
+    assert components_of(spark, links, signed) == wanted
+    # Nor where the keys of a join are few enough to be sent to every task.
+    with_joins = simhash._links(keyed.join(crowded, "key", "left_anti"), whole)
+    assert components_of(spark, with_joins.unionByName(split), signed) == wanted
+
+
+@pytest.mark.parametrize(
+    "small_run, chain, crowded", [(1, 2, 16_384), (24, 2, 16_384), (24, 3, 16_384), (24, 2, 20)]
+)
+def test_links_of_clustered_fingerprints(spark, monkeypatch, small_run, chain, crowded):
     monkeypatch.setattr(simhash, "SMALL_RUN", small_run)
+    monkeypatch.setattr(simhash, "CROWDED", crowded)
+    monkeypatch.setattr(simhash, "ONE_IN", 2)
     rng = random.Random(5)
     prints = [rng.getrandbits(64) for _ in range(300)]
     for _ in range(900):
@@ -88,7 +171,7 @@ def test_links_of_clustered_fingerprints(spark, monkeypatch, small_run):
         prints.append(value)
     prints = list(dict.fromkeys(prints))
     signed = [(int(np.uint64(v).astype(np.int64)),) for v in prints]
-    links = simhash.fingerprint_links(spark.createDataFrame(signed, "fp long"))
+    links = simhash.fingerprint_links(spark.createDataFrame(signed, "fp long"), chain=chain)
     roots = {row.node: row.root for row in connected_components(links, "a", "b").collect()}
     found = [roots.get(fp, fp) for (fp,) in signed]
     wanted = plain_components([(fp, v) for (fp,), v in zip(signed, prints, strict=True)])

@@ -32,7 +32,13 @@ from clicktally.schemas import (
 from clicktally.session import build_session
 from clicktally.sinks import BucketedDays, read_snapshots
 from clicktally.sources import ClickLayout, read_conversion_log, write_click_copy
-from clicktally.streaming import run_click_stream, run_stateful_stream
+from clicktally.streaming import (
+    CLICKS,
+    CONVERSIONS,
+    run_click_stream,
+    run_latest_stream,
+    run_stateful_stream,
+)
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -75,6 +81,8 @@ def _parser() -> argparse.ArgumentParser:
         kind = job.add_mutually_exclusive_group(required=True)
         kind.add_argument("--staging", help="folder in which days are staged")
         kind.add_argument("--buckets", type=int, help="the daily table is in so many buckets")
+        job.add_argument("--progress", help="read only snapshots that are new since the last run, noted here")
+        job.add_argument("--delay", default="2 days", help="days stay open this long with --progress")
         job.add_argument("--rejects")
     search = add("search", "find the clicks of the day with a destination subid", "root", "out")
     search.add_argument("subid")
@@ -119,7 +127,10 @@ def _conversion_log(spark: SparkSession, options: argparse.Namespace) -> DataFra
 
 
 def main(arguments: list[str] | None = None) -> None:
-    options = _parser().parse_args(arguments)
+    parser = _parser()
+    options = parser.parse_args(arguments)
+    if options.job.startswith("consolidate") and options.progress and options.buckets:
+        parser.error("--progress needs --staging")
     if options.as_of is None:
         options.as_of = datetime.now(timezone.utc)
     spark = build_session(f"clicktally {options.job}")
@@ -143,6 +154,17 @@ def main(arguments: list[str] | None = None) -> None:
         run_conversion_statistics(
             log, as_of, options.snapshots, options.rejects, values_path=options.values
         )
+    elif options.job.startswith("consolidate") and options.progress:
+        run_latest_stream(
+            spark,
+            CLICKS if options.job == "consolidate-clicks" else CONVERSIONS,
+            options.snapshots,
+            options.daily,
+            options.staging,
+            options.progress,
+            options.delay,
+            rejects_path=options.rejects,
+        ).awaitTermination()
     elif options.job == "consolidate-clicks" and options.buckets:
         rows = read_snapshots(spark, options.snapshots, CLICK_SNAPSHOT, as_of)
         table = BucketedDays(options.daily, CLICK_DAILY, options.buckets)

@@ -288,4 +288,6 @@ FROM (SELECT offer_id, 'affiliates' AS dimension, affiliate_id AS value FROM log
       UNION ALL SELECT offer_id, 'zones', subid4 FROM log)
 WHERE value <> '' GROUP BY offer_id, dimension"""),
     "stream_stateful_counts": _from_events(_counts(_WHOLE_LINES)),
+    "stream_latest_clicks": UPSERT_CLICKS,
+    "stream_latest_conversions": UPSERT_CONVERSIONS,
 }

@@ -64,7 +64,14 @@ from clicktally.schemas import (
 from clicktally.session import fresh_path
 from clicktally.sinks import BucketedDays, read_bucketed_days, read_daily, read_snapshots
 from clicktally.sources import read_click_copy, read_click_lines, write_click_copy
-from clicktally.streaming import run_click_stream, run_stateful_stream
+from clicktally.streaming import (
+    CLICKS,
+    CONVERSIONS,
+    Consolidation,
+    run_click_stream,
+    run_latest_stream,
+    run_stateful_stream,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -221,6 +228,11 @@ def _later(snapshots: DataFrame) -> DataFrame:
     return snapshots.filter(F.substring("key_dt", 12, 5) >= "08:00")
 
 
+def _from_four(snapshots: DataFrame) -> DataFrame:
+    """What arrives after four in the afternoon of each day."""
+    return snapshots.filter(F.substring("key_dt", 12, 5) >= "16:00")
+
+
 def upsert_click_consolidate(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = inputs.click_snapshots(spark, sf_dir)
     target, updates = latest_clicks(_earlier(rows)), latest_clicks(_later(rows))
@@ -383,6 +395,23 @@ def stream_stateful_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_snapshots(spark, paths[1], CLICK_SNAPSHOT)
 
 
+def _streamed_consolidation(
+    snapshots: Callable[[SparkSession, str], DataFrame], kind: Consolidation
+) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows = snapshots(spark, sf_dir)
+        arrived, *places = (
+            fresh_path(spark, name) for name in ("snapshots", "daily", "staging", "progress")
+        )
+        for seen in (_earlier(rows), _from_four(rows)):
+            seen.write.mode("append").parquet(arrived)
+            # Each delivery is of all days, so no day is closed before the last.
+            run_latest_stream(spark, kind, arrived, *places, delay="366 days").awaitTermination()
+        return read_daily(spark, places[0], kind.daily)
+
+    return query
+
+
 def stream_click_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, rejects = _streamed(spark, sf_dir)
     return spark.read.parquet(rejects).select("value", "hour", "reason")
@@ -440,4 +469,8 @@ QUERIES: dict[str, Query] = {
     "conversion_refresh": conversion_refresh,
     "conversion_distinct_counts": conversion_distinct_counts,
     "stream_stateful_counts": stream_stateful_counts,
+    "stream_latest_clicks": _streamed_consolidation(inputs.click_snapshots, CLICKS),
+    "stream_latest_conversions": _streamed_consolidation(
+        inputs.conversion_snapshots, CONVERSIONS
+    ),
 }

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -31,6 +33,19 @@ def build_session(
     return builder.getOrCreate()
 
 
+@contextmanager
+def settings_of(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Settings that a query takes with it when it starts; the session gets its own back."""
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The checkpoint folder of the session, which all executors can reach.
 

@@ -14,9 +14,6 @@ watermark, are taken from the log of the checkpoint, so a batch that is run agai
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +26,7 @@ from clicktally.operators.clicks import (
     partial_counts,
 )
 from clicktally.schemas import CLICK_SNAPSHOT
-from clicktally.session import delete_path, fresh_path
+from clicktally.session import delete_path, fresh_path, settings_of
 from clicktally.sinks import write_snapshots
 from clicktally.sources import ClickLayout
 from clicktally.streaming.click_stream import (
@@ -57,19 +54,6 @@ STATE_SETTINGS = {
 SOURCE_LOG_SCHEMA = "path string, timestamp long, batchId long"
 
 
-@contextmanager
-def _settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
-    """Settings that a query takes with it when it starts; the session gets its own back."""
-    before = {name: spark.conf.get(name, None) for name in settings}
-    for name, value in settings.items():
-        spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        for name, value in before.items():
-            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
-
-
 def _logged(spark: SparkSession, checkpoint: str, batch: int, field: str, none: int) -> int:
     """A number that the checkpoint notes of a batch before it begins."""
     try:
@@ -234,7 +218,7 @@ def run_stateful_stream(
         delete_path(session, scratch)
 
     lines = click_line_stream(spark, layout, files_per_batch).filter("in_place").drop("in_place")
-    with _settings(spark, STATE_SETTINGS):
+    with settings_of(spark, STATE_SETTINGS):
         return (
             stateful_counts(lines, delay)
             .writeStream.outputMode("update")

@@ -1,0 +1,140 @@
+"""The stream of latest rows against the batch consolidation after each delivery."""
+
+import random
+from datetime import datetime
+
+import pytest
+
+from clicktally.__main__ import main
+from clicktally.plans.jobs import run_click_consolidation, run_conversion_consolidation
+from clicktally.schemas import CLICK_DAILY, CLICK_SNAPSHOT, CONVERSION_DAILY, CONVERSION_SNAPSHOT
+from clicktally.sinks import read_daily, read_snapshots, write_snapshots
+from clicktally.streaming import CLICKS, CONVERSIONS, latest_rows, run_latest_stream
+
+FIRST_DAY = datetime(2024, 1, 4)
+
+
+def click_rows(rng, minutes):
+    return [
+        (f"2024-01-0{day} {minute // 60:02}:{minute % 60:02}", rng.choice("CR"), f"o{rng.randint(0, 6)}")
+        + (f"a{rng.randint(0, 1)}", "s", rng.randint(0, 9))
+        for day in (4, 5)
+        for minute in minutes
+    ]
+
+
+def conversion_rows(rng, minutes):
+    return [
+        (key, kind, offer, count / 2, 1.0, count / 2 - 1, count, "x", "y", "z")
+        for key, kind, offer, _, _, count in click_rows(rng, minutes)
+    ]
+
+
+def rows(frame):
+    return sorted((tuple(row) for row in frame.collect()), key=repr)
+
+
+def unique(held, key_size):
+    return list({row[:key_size]: row for row in held}.values())
+
+
+CASES = {
+    "clicks": (CLICKS, click_rows, 4, run_click_consolidation, CLICK_SNAPSHOT, CLICK_DAILY),
+    "conversions": (
+        CONVERSIONS,
+        conversion_rows,
+        3,
+        run_conversion_consolidation,
+        CONVERSION_SNAPSHOT,
+        CONVERSION_DAILY,
+    ),
+}
+
+
+@pytest.fixture
+def places(tmp_path):
+    """The folders of a stream: snapshots, daily table, staging, checkpoint."""
+    return [str(tmp_path / name) for name in ("snapshots", "daily", "staging", "progress")]
+
+
+@pytest.mark.parametrize("case", CASES)
+def test_random_deliveries_equal_the_batch_job(spark, tmp_path, places, case):
+    kind, make, key_size, consolidate, snapshot, daily = CASES[case]
+    rng = random.Random(3)
+    minutes = rng.sample(range(24 * 60), 36)
+    other = [str(tmp_path / name) for name in ("other-daily", "other-staging")]
+    for part in range(3):
+        made = unique(make(rng, minutes[part::3]), key_size)
+        write_snapshots(spark.createDataFrame(made, snapshot.schema), places[0], snapshot)
+        run_latest_stream(spark, kind, *places).awaitTermination()
+        consolidate(read_snapshots(spark, places[0], snapshot), FIRST_DAY, *other)
+        wanted = rows(read_daily(spark, other[0], daily))
+        assert rows(read_daily(spark, places[1], daily)) == wanted and wanted
+    # Without new snapshots nothing is read or changed.
+    run_latest_stream(spark, kind, *places).awaitTermination()
+    assert rows(read_daily(spark, places[1], daily)) == wanted
+
+
+def click(minute, count, offer="o1", kind="C"):
+    return (minute, kind, offer, "adv", "s", count)
+
+
+def arrive(spark, path, held):
+    spark.createDataFrame(held, CLICK_SNAPSHOT.schema).write.mode("append").parquet(path)
+
+
+def counts(spark, places):
+    return {(row.key_dt, row.offer_id): row.count_of_clicks for row in read_daily(spark, places[1], CLICK_DAILY).collect()}
+
+
+def test_a_killed_batch_is_run_again(spark, places, monkeypatch):
+    arrive(spark, places[0], [click("2024-01-05 10:00", 1), click("2024-01-05 09:00", 5)])
+    run_latest_stream(spark, CLICKS, *places).awaitTermination()
+    arrive(spark, places[0], [click("2024-01-05 11:00", 2), click("2024-01-05 08:00", 9)])
+
+    def killed(*_):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(latest_rows, "stage_and_replace", killed)
+        with pytest.raises(Exception, match="killed"):
+            run_latest_stream(spark, CLICKS, *places).awaitTermination()
+    assert counts(spark, places) == {("2024-01-05", "o1"): 1}
+    run_latest_stream(spark, CLICKS, *places).awaitTermination()
+    assert counts(spark, places) == {("2024-01-05", "o1"): 2}
+
+
+def test_only_days_of_new_snapshots_are_replaced(spark, tmp_path, places):
+    arrive(spark, places[0], [click("2024-01-04 10:00", 1), click("2024-01-05 10:00", 2)])
+    run_latest_stream(spark, CLICKS, *places).awaitTermination()
+    before = {path.name for path in (tmp_path / "daily" / "key_dt=2024-01-04").iterdir()}
+    arrive(spark, places[0], [click("2024-01-05 12:00", 7, "o2")])
+    run_latest_stream(spark, CLICKS, *places).awaitTermination()
+    assert {path.name for path in (tmp_path / "daily" / "key_dt=2024-01-04").iterdir()} == before
+    assert counts(spark, places) == {
+        ("2024-01-04", "o1"): 1,
+        ("2024-01-05", "o1"): 2,
+        ("2024-01-05", "o2"): 7,
+    }
+
+
+def test_odd_snapshots_and_closed_days(spark, places):
+    odd = [click(None, 1), click("2024-01-05", 1), click("2024-01-05 10:00", 1, None)]
+    arrive(spark, places[0], [*odd, click("2024-01-05 10:00", 3), click("2024-01-05 10:00", 4)])
+    run_latest_stream(spark, CLICKS, *places, delay="1 day").awaitTermination()
+    assert counts(spark, places) == {("2024-01-05", "o1"): 4}
+    arrive(spark, places[0], [click("2024-01-08 10:00", 6)])
+    run_latest_stream(spark, CLICKS, *places, delay="1 day").awaitTermination()
+    # The watermark has passed the fifth, and not the eighth.
+    arrive(spark, places[0], [click("2024-01-05 20:00", 9), click("2024-01-08 09:00", 8)])
+    run_latest_stream(spark, CLICKS, *places, delay="1 day").awaitTermination()
+    assert counts(spark, places) == {("2024-01-05", "o1"): 4, ("2024-01-08", "o1"): 6}
+
+
+def test_command(spark, places):
+    arrive(spark, places[0], [click("2024-01-05 10:00", 3)])
+    paths = ["--snapshots", places[0], "--daily", places[1], "--progress", places[3]]
+    main(["consolidate-clicks", *paths, "--staging", places[2]])
+    assert counts(spark, places) == {("2024-01-05", "o1"): 3}
+    with pytest.raises(SystemExit):
+        main(["consolidate-clicks", *paths, "--buckets", "4"])

@@ -43,6 +43,8 @@ WRITING = {
     "conversion_refresh",
     "conversion_distinct_counts",
     "stream_stateful_counts",
+    "stream_latest_clicks",
+    "stream_latest_conversions",
 }
 
 

@@ -69,14 +69,18 @@ def _run_name(*times: datetime) -> str:
 
 @contextmanager
 def fitting_rows(
-    rows: DataFrame, contract: TableContract, rejects_path: str | None, run: str
+    rows: DataFrame,
+    contract: TableContract,
+    rejects_path: str | None,
+    run: str,
+    session: SparkSession | None = None,
 ) -> Iterator[DataFrame]:
     """Rows that keep the contract of their table; with a path, the others go to the rejects.
 
     Without a path a violation ends the run. The rows are stored first, so that they are computed
-    once, and the copy is deleted when the block ends.
+    once, and the copy is deleted when the block ends. ``session`` reads it, if another one than theirs.
     """
-    spark = rows.sparkSession
+    spark = session or rows.sparkSession
     stored = fresh_path(spark, contract.name)
     try:
         rows.select(*contract.columns).write.parquet(stored)

@@ -103,12 +103,13 @@ def run_latest_stream(
     staging = f"{staging_path}/{contract.name}"
 
     def store(changed: DataFrame, batch: int) -> None:
-        session = changed.sparkSession
         run = f"batch-{batch}"
-        finish_replacements(session, staging, target_path, contract)
-        with fitting_rows(changed, contract, rejects_path, run) as rows:
+        finish_replacements(spark, staging, target_path, contract)
+        # The session of a stream with state plans without adaptive execution, which leaves out every
+        # rebalance: each task would write a file for each day. So it only stores what has changed.
+        with fitting_rows(changed, contract, rejects_path, run, spark) as rows:
             days = rows.select("key_dt").distinct()
-            target = read_daily(session, target_path, contract).join(days, "key_dt", "left_semi")
+            target = read_daily(spark, target_path, contract).join(days, "key_dt", "left_semi")
             merged = upsert(target.select(*contract.columns), rows, contract.key, kind.changed)
             stage_and_replace(merged, staging, run, target_path, contract)
 

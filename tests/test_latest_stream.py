@@ -138,3 +138,11 @@ def test_command(spark, places):
     assert counts(spark, places) == {("2024-01-05", "o1"): 3}
     with pytest.raises(SystemExit):
         main(["consolidate-clicks", *paths, "--buckets", "4"])
+
+
+def test_a_batch_writes_one_file_for_each_day(spark, places):
+    made = unique(click_rows(random.Random(5), range(0, 1440, 9)), 4)
+    write_snapshots(spark.createDataFrame(made, CLICK_SNAPSHOT.schema), places[0], CLICK_SNAPSHOT)
+    run_latest_stream(spark, CLICKS, *places).awaitTermination()
+    assert read_daily(spark, places[1], CLICK_DAILY).count() == 14
+    assert len(spark.read.parquet(places[1]).inputFiles()) == 2

@@ -136,3 +136,12 @@ def test_a_joined_layer_is_whole_before_others_go(spark, tmp_path, left):
     after = stateful_counts._layers(spark, path)
     assert rows(stateful_counts._newest(after)) == wanted
     assert rows(after.select("batch", "joined").distinct()) == [(11, 1), (12, 0)]
+
+
+def test_a_batch_writes_one_file_for_each_hour(spark, tmp_path, places):
+    layout = ClickLayout(str(tmp_path / "in"))
+    for hour in range(8, 12):
+        put(tmp_path / "in", f"{DAY}/{hour:02}", "a.gz", [line("C", "s", f"adv{i}", f"off{i}") for i in range(40)])
+    assert run(spark, layout, places).count() == 160
+    for path in places[:2]:
+        assert len(spark.read.parquet(path).inputFiles()) == 4

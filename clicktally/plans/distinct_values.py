@@ -30,7 +30,7 @@ _BITMAPS = (
     .add("offer_id", _TEXT)
     .add("dimension", _TEXT)
     .add("piece", T.LongType())
-    .add("bits", T.BinaryType())
+    .add("bits", T.ArrayType(T.StructType().add("place", T.ShortType()).add("bits", T.LongType())))
     .add("run", _TEXT)
 )
 

@@ -126,3 +126,23 @@ def test_the_log_of_the_other_tests_fits(spark, tmp_path):
         ("7", "geo"): 2,
         ("7", "zones"): 2,
     }
+
+
+def test_an_offer_of_few_values_holds_few_words(spark):
+    """Numbers far apart, as those of many partitions are, make no piece larger than its values."""
+    far = (F.col("id") * 100_000 + 1).alias("number")
+    text = F.col("id").cast("string").alias("value")
+    numbers = spark.range(300).select(F.lit("affiliates").alias("dimension"), text, far)
+    rows = spark.range(3000).select(
+        F.concat(F.lit("o"), F.col("id") % 10).alias("offer_id"),
+        F.lit("affiliates").alias("dimension"),
+        (F.col("id") % 300).cast("string").alias("value"),
+    )
+    bitmaps = operator.value_bitmaps(rows, numbers, "offer_id")
+    merged = operator.merge_bitmaps(bitmaps.unionByName(bitmaps), "offer_id")
+    for frame in (bitmaps, merged):
+        assert frame.select(F.sum(F.size("bits"))).first()[0] == 300
+    counted = operator.distinct_counts(merged, "offer_id").collect()
+    assert {(r.offer_id, r.n_values) for r in counted} == {(f"o{i}", 30) for i in range(10)}
+    plan = operator.distinct_counts(bitmaps, "offer_id")._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan

@@ -155,7 +155,8 @@ def combination_totals(conversions: DataFrame, *by: str) -> DataFrame:
 def merge_combinations(combinations: DataFrame, *by: str) -> DataFrame:
     """Totals per ``by`` and offer, with the distinct affiliates, countries and zones.
 
-    A combination comes in once, so no task meets a value as often as the log holds it.
+    A combination comes in once, or once for each layer of totals, so no task meets a value as often as
+    the log holds it.
     """
     return combinations.groupBy(*by, "offer_id").agg(
         F.sum("click_count").alias("click_count"),
@@ -170,18 +171,15 @@ def offer_statistics(conversions: DataFrame, *by: str) -> DataFrame:
     return merge_combinations(combination_totals(conversions, *by), *by)
 
 
-def by_type(log: DataFrame, marks: dict[str, Column]) -> DataFrame:
-    """The log once for each type, with the ``mark`` of the type where it has one.
-
-    ``marks`` gives, by type, the period a conversion belongs to, or null for none.
-    """
-    types = F.array(
+def by_type(combinations: DataFrame, *types: str) -> DataFrame:
+    """Combinations once for each type, with the ``mark`` in the column of the type where they have one."""
+    marked = F.array(
         *(
-            F.struct(F.lit(key_type).alias("key_type"), mark.alias("mark"))
-            for key_type, mark in marks.items()
+            F.struct(F.lit(key_type).alias("key_type"), F.col(key_type).alias("mark"))
+            for key_type in types
         )
     )
-    return log.select("*", F.inline(types)).filter(F.col("mark").isNotNull())
+    return combinations.select("*", F.inline(marked)).filter(F.col("mark").isNotNull())
 
 
 def clock_statistics(log: DataFrame, marks: dict[str, Column]) -> DataFrame:
@@ -191,14 +189,7 @@ def clock_statistics(log: DataFrame, marks: dict[str, Column]) -> DataFrame:
     combination is totalled over all marks at once and takes one row per type only then.
     """
     marked = log.select("*", *(mark.alias(key_type) for key_type, mark in marks.items()))
-    combinations = combination_totals(marked, *marks)
-    types = F.array(
-        *(
-            F.struct(F.lit(key_type).alias("key_type"), F.col(key_type).alias("mark"))
-            for key_type in marks
-        )
-    )
-    rows = combinations.select("*", F.inline(types)).filter(F.col("mark").isNotNull())
+    rows = by_type(combination_totals(marked, *marks), *marks)
     return merge_combinations(rows, "key_type", "mark")
 
 

@@ -1,13 +1,15 @@
 """Conversion statistics of the day kept up to date without reading the day again.
 
-A run reads the conversions that were loaded after the last one, by the load clock, and adds their totals
-to stored ones: per type, offer and combination of affiliate, country and zone. Totals add up, and the
-distinct values of an offer are those of its combinations, so the snapshot of the day comes from what is
-stored, as large as the number of combinations and not as the log. Conversions that are loaded before they
-happen wait in the store until their time has come.
-
-Every run stores totals and waiting rows in a folder of its own and then notes it. It begins from the
-latest noted run before it, so a run that is repeated gives the same, and one that died was never noted.
+A run reads the conversions that were loaded after the last one, by the load clock, and stores their
+totals as one more layer: per offer and combination of affiliate, country and zone, once for both clocks.
+Totals add up, and the distinct values of an offer are those of its combinations, so the snapshot of the
+day comes from the layers, as large as the number of combinations and not as the log. A run therefore
+writes as much as was loaded since the last one; when there are many layers, it joins them into one.
+Conversions that are loaded before they happen wait in the store until their time has come.
+
+Every run stores its layer and waiting rows in folders of its own and then notes the run with all layers
+of its totals. It begins from the latest noted run before it, so a run that is repeated gives the same, and
+one that died was never noted. A layer goes with the last noted run that has it.
 A batch time must not lie after the latest load, or rows that are loaded late for it are never read.
 """
 
@@ -27,8 +29,8 @@ from clicktally.operators.conversions import (
     by_type,
     combination_totals,
     conversion_rejects,
-    in_window,
     merge_combinations,
+    window_marks,
 )
 from clicktally.plans.jobs import fitting_rows
 from clicktally.plans.rejects import write_rejects
@@ -38,11 +40,17 @@ from clicktally.sinks import write_run
 
 HAPPENED, LOADED = CLOCKS["C"], CLOCKS["R"]
 TOTALS = ("click_count", "received", "paid")
-NOTES_SCHEMA = "as_of long, since long, noted timestamp, name string"
+NOTES_SCHEMA = "as_of long, since long, noted timestamp, layers array<string>, name string"
+
+# The columns that tell on which clocks the rows of a combination count.
+MARKS = tuple(CLOCKS)
 
 # Batch times whose runs are kept; older ones are deleted when a run has been noted.
 KEPT_RUNS = 2
 
+# Layers of totals beyond which a run joins them into one.
+MOST_LAYERS = 8
+
 
 def _seconds(moment: datetime) -> int:
     return int(as_utc(moment).replace(tzinfo=timezone.utc).timestamp())
@@ -59,31 +67,41 @@ def _noted_runs(spark: SparkSession, path: str) -> list[Row]:
     return sorted(notes.collect(), key=lambda note: (note.as_of, note.noted))
 
 
-def _note_run(spark: SparkSession, path: str, name: str, as_of: datetime, since: datetime) -> None:
+def _note_run(
+    spark: SparkSession, path: str, name: str, as_of: datetime, since: datetime, layers: list[str]
+) -> None:
     note = spark.range(1).select(
         F.lit(_seconds(as_of)).cast("long").alias("as_of"),
         F.lit(_seconds(since)).cast("long").alias("since"),
         F.current_timestamp().alias("noted"),
+        F.array(*map(F.lit, layers)).alias("layers"),
     )
     note.write.parquet(f"{path}/notes/name={name}")
 
 
 def _forget(spark: SparkSession, path: str) -> None:
-    """Delete what is older than the last batch times, each note before its run."""
-    latest = {note.as_of: note.name for note in _noted_runs(spark, path)}
-    kept = {latest[as_of] for as_of in sorted(latest)[-KEPT_RUNS:]}
-    for note in _noted_runs(spark, path):
-        if note.name not in kept:
+    """Delete what is older than the last batch times, each note before its run and layers."""
+    runs = _noted_runs(spark, path)
+    latest = {note.as_of: note for note in runs}
+    kept = [latest[as_of] for as_of in sorted(latest)[-KEPT_RUNS:]]
+    names, layers = {note.name for note in kept}, {layer for note in kept for layer in note.layers or ()}
+    for note in runs:
+        if note.name not in names:
             delete_path(spark, f"{path}/notes/name={note.name}", f"{path}/notes")
             delete_path(spark, f"{path}/{note.name}", path)
+            for layer in set(note.layers or ()) - layers:
+                delete_path(spark, f"{path}/layers/{layer}", f"{path}/layers")
 
 
 def _run_before(spark: SparkSession, path: str, as_of: datetime, since: datetime) -> Row | None:
-    """The latest noted run of the same window before ``as_of``."""
+    """The latest noted run of the same window before ``as_of``.
+
+    Notes of a store without layers, as earlier versions wrote them, are passed over.
+    """
     runs = [
         note
         for note in _noted_runs(spark, path)
-        if note.as_of < _seconds(as_of) and note.since == _seconds(since)
+        if note.as_of < _seconds(as_of) and note.since == _seconds(since) and note.layers
     ]
     return runs[-1] if runs else None
 
@@ -106,28 +124,34 @@ def _newly_loaded(
 def new_totals(
     loaded: DataFrame, waited: DataFrame, as_of: datetime, since: datetime
 ) -> DataFrame:
-    """Totals per type, offer and combination of newly loaded conversions and of those that waited.
+    """Totals per clocks, offer and combination of newly loaded conversions and of those that waited.
 
     The latter were counted on the load clock when they were loaded.
     """
-    happened = F.when(in_window(loaded, HAPPENED, as_of, since), True)
-    on_load = F.when(in_window(loaded, LOADED, as_of, since), True)
-    rows = by_type(loaded, {"C": happened, "R": on_load})
-    return combination_totals(rows.unionByName(by_type(waited, {"C": happened})), "key_type")
+    marks = window_marks(loaded, as_of, since)
+    rows = loaded.withColumns(marks).unionByName(
+        waited.withColumns({**marks, "R": F.lit(None).cast("boolean")})
+    )
+    counted = rows.filter(F.coalesce(*MARKS).isNotNull())
+    return combination_totals(counted, *MARKS)
+
+
+def join_totals(layers: DataFrame) -> DataFrame:
+    """One row per clocks, offer and combination; sums keep the type of their parts."""
+    sums = [F.sum(name).cast(layers.schema[name].dataType).alias(name) for name in TOTALS]
+    return layers.groupBy(*MARKS, "offer_id", *DIMENSIONS).agg(*sums)
 
 
-def add_totals(stored: DataFrame, new: DataFrame) -> DataFrame:
-    """One row per type, offer and combination; sums keep the type of their parts."""
-    sums = [F.sum(name).cast(new.schema[name].dataType).alias(name) for name in TOTALS]
-    return stored.unionByName(new).groupBy("key_type", "offer_id", *DIMENSIONS).agg(*sums)
+def _read_layers(spark: SparkSession, path: str, layers: list[str]) -> DataFrame:
+    return spark.read.parquet(*(f"{path}/layers/{layer}" for layer in layers))
 
 
 def refresh_totals(
     log: DataFrame, path: str, as_of: datetime, since: datetime | None = None
 ) -> DataFrame:
-    """The totals of the window up to ``as_of`` per type, offer and combination, brought up to date.
+    """The totals of the window up to ``as_of``, brought up to date.
 
-    The window opens at the start of the day, or at ``since``. ``log`` is read from the last noted run of
+    They are rows of all layers, so a combination of an offer may have one in each. The window opens at the start of the day, or at ``since``. ``log`` is read from the last noted run of
     the same window on, or from the start of the window if there is none.
     """
     spark = log.sparkSession
@@ -137,20 +161,23 @@ def refresh_totals(
     loaded = log.select(*CONVERSION_LOG.names).filter(_newly_loaded(log, mark, as_of, since))
     waited = spark.read.parquet(f"{path}/{before.name}/waiting") if before else loaded.limit(0)
     name = fresh_path(spark, "run").rpartition("/")[2]
-    totals = new_totals(loaded, waited, as_of, since)
-    if before:
-        totals = add_totals(spark.read.parquet(f"{path}/{before.name}/totals"), totals)
-    totals.write.parquet(f"{path}/{name}/totals")
+    new_totals(loaded, waited, as_of, since).write.parquet(f"{path}/layers/{name}")
+    layers = [*(before.layers if before else []), name]
+    if len(layers) > MOST_LAYERS:
+        joined = fresh_path(spark, "joined").rpartition("/")[2]
+        join_totals(_read_layers(spark, path, layers)).write.parquet(f"{path}/layers/{joined}")
+        delete_path(spark, f"{path}/layers/{name}", f"{path}/layers")
+        layers = [joined]
     to_come = F.col(HAPPENED) > time_literal(as_of, log.schema[HAPPENED].dataType)
     loaded.unionByName(waited).filter(to_come).write.parquet(f"{path}/{name}/waiting")
-    _note_run(spark, path, name, as_of, since)
+    _note_run(spark, path, name, as_of, since, layers)
     _forget(spark, path)
-    return spark.read.parquet(f"{path}/{name}/totals")
+    return _read_layers(spark, path, layers)
 
 
 def totals_snapshot(totals: DataFrame, as_of: datetime) -> DataFrame:
     """The snapshot of stored totals, stamped with the batch time."""
-    statistics = merge_combinations(totals, "key_type")
+    statistics = merge_combinations(by_type(totals, *MARKS), "key_type")
     return as_conversion_snapshot(statistics, F.lit(minute_key(as_of)))
 
 

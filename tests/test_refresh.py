@@ -131,3 +131,19 @@ def test_conversions_without_a_load_time_are_told(spark):
     found = refresh.unplaced_conversions(log)
     assert {row.reason for row in found.collect()} <= {"no offer", "no load time"}
     assert found.count() == 20
+
+
+def test_a_run_stores_only_what_was_loaded_since(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(refresh, "MOST_LAYERS", 3)
+    log = made_log(6)
+    frame = log_of(spark, log)
+    held = []
+    for number in range(8):
+        as_of = DAY + timedelta(hours=3 * number + 2)
+        totals = refresh.refresh_totals(frame, str(tmp_path), as_of)
+        wanted = conversion_snapshot(log_of(spark, loaded_by(log, as_of)), as_of)
+        assert rows(refresh.totals_snapshot(totals, as_of)) == rows(wanted)
+        held.append({path.name for path in (tmp_path / "layers").iterdir()})
+    # The second run leaves the layer of the first as it is; layers of no kept run are gone.
+    assert held[0] < held[1] < held[2]
+    assert max(map(len, held)) <= refresh.KEPT_RUNS * 3 and not held[0] & held[-1]

@@ -205,9 +205,12 @@ def run_stateful_stream(
         changed.select(*GROUP, "clicks", "lowest_type", "lowest_subid").write.parquet(scratch)
         new = session.read.schema(COUNTS_SCHEMA).parquet(scratch)
         _store(new, layers_path, F.lit(batch), 0)
-        hours = new.select(*(column.alias(name) for name, column in _hour_folders().items()))
+        # At most as many hours as a batch takes files. As a list they prune the folders, and nothing that
+        # is planned on the layers still reads the changed counts when these are deleted.
+        folder = F.concat_ws(" ", *_hour_folders().values())
+        hours = [row[0] for row in new.select(folder).distinct().collect()]
         layers = _layers(session, layers_path).filter(F.col("batch") <= batch)
-        touched = layers.join(hours.distinct(), list(HOUR_FOLDERS), "left_semi")
+        touched = layers.filter(F.concat_ws(" ", *HOUR_FOLDERS).isin(hours))
         snapshot = as_click_snapshot(_newest(touched), hour_end_key(F.col("hour")))
         write_snapshots(snapshot, snapshots_path, CLICK_SNAPSHOT)
         if rejects_path is not None:

@@ -171,15 +171,23 @@ def offer_statistics(conversions: DataFrame, *by: str) -> DataFrame:
     return merge_combinations(combination_totals(conversions, *by), *by)
 
 
-def by_type(combinations: DataFrame, *types: str) -> DataFrame:
-    """Combinations once for each type, with the ``mark`` in the column of the type where they have one."""
-    marked = F.array(
+def by_type(log: DataFrame, marks: dict[str, Column]) -> DataFrame:
+    """The log once for each type, with the ``mark`` of the type where it has one.
+
+    ``marks`` gives, by type, the period a conversion belongs to, or null for none.
+    """
+    types = F.array(
         *(
-            F.struct(F.lit(key_type).alias("key_type"), F.col(key_type).alias("mark"))
-            for key_type in types
+            F.struct(F.lit(key_type).alias("key_type"), mark.alias("mark"))
+            for key_type, mark in marks.items()
         )
     )
-    return combinations.select("*", F.inline(marked)).filter(F.col("mark").isNotNull())
+    return log.select("*", F.inline(types)).filter(F.col("mark").isNotNull())
+
+
+def by_marked_type(combinations: DataFrame, *types: str) -> DataFrame:
+    """Combinations once for each type, with the ``mark`` in the column of the type where they have one."""
+    return by_type(combinations, {key_type: F.col(key_type) for key_type in types})
 
 
 def clock_statistics(log: DataFrame, marks: dict[str, Column]) -> DataFrame:
@@ -189,7 +197,7 @@ def clock_statistics(log: DataFrame, marks: dict[str, Column]) -> DataFrame:
     combination is totalled over all marks at once and takes one row per type only then.
     """
     marked = log.select("*", *(mark.alias(key_type) for key_type, mark in marks.items()))
-    rows = by_type(combination_totals(marked, *marks), *marks)
+    rows = by_marked_type(combination_totals(marked, *marks), *marks)
     return merge_combinations(rows, "key_type", "mark")
 
 

@@ -26,7 +26,7 @@ from clicktally.operators.conversions import (
     CLOCKS,
     DIMENSIONS,
     as_conversion_snapshot,
-    by_type,
+    by_marked_type,
     combination_totals,
     conversion_rejects,
     merge_combinations,
@@ -177,7 +177,7 @@ def refresh_totals(
 
 def totals_snapshot(totals: DataFrame, as_of: datetime) -> DataFrame:
     """The snapshot of stored totals, stamped with the batch time."""
-    statistics = merge_combinations(by_type(totals, *MARKS), "key_type")
+    statistics = merge_combinations(by_marked_type(totals, *MARKS), "key_type")
     return as_conversion_snapshot(statistics, F.lit(minute_key(as_of)))
 
 
